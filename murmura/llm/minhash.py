@@ -75,7 +75,7 @@ def _sketch(k: int, posted: int):
     return run
 
 
-def _stars(adjacent, n: int, known: np.ndarray | None = None) -> np.ndarray:
+def _stars(adjacent, n: int) -> np.ndarray:
     """For each of n items the first item of its connected part. adjacent(i, rest): which of rest are linked with i.
 
     Breadth first over what isn't reached yet: what is connected already is never compared again."""

@@ -2,8 +2,10 @@
 from __future__ import annotations
 
 from murmura.llm.minhash import op10_minhash
+from murmura.llm.suffix_dedup import op4_suffix_dedup
 
 QUERIES = {
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op10_minhash": op10_minhash,
 }
 
