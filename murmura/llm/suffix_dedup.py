@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from murmura.llm._anchors import anchors
 from murmura.llm._store import table
-from murmura.llm._text import PrefixHash, _power, columns, mix, pieces
+from murmura.llm._text import BYTE_VALUE, PrefixHash, _power, columns, mix, pieces
 
 WINDOW = 100
 #: Contents under one anchor that one task sorts together.
@@ -106,18 +106,19 @@ def _contexts(window: int):
                 times = more[which].astype(np.int64) + 1
                 r = np.repeat(rows[which], times)
                 p = np.repeat(lo[which].astype(np.int64), times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                prefix = PrefixHash(data)
-                key = mix(prefix.of(base[r] + p, base[r] + p + window)).view(np.int64)
-                out.append((r, p, np.zeros(len(r), np.int64), key))
+                out.append((r, p, np.zeros(len(r), np.int64), None))
             for r, p, m, key in out:
                 for a in range(0, len(r), 20_000):
                     rr, pp, mm = r[a : a + 20_000], p[a : a + 20_000], m[a : a + 20_000]
                     size = mm + window
                     ends = np.concatenate(([0], np.cumsum(size)))
                     take = np.repeat(base[rr] + pp - ends[:-1], size) + np.arange(ends[-1])
-                    raw = pa.Array.from_buffers(pa.binary(), len(rr), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[take].tobytes())])
+                    flat = data[take]
+                    raw = pa.Array.from_buffers(pa.binary(), len(rr), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat.tobytes())])
+                    shard = key[a : a + 20_000] if key is not None else mix(
+                        (BYTE_VALUE[flat].reshape(-1, window) * _power("base", window)).sum(1)).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[a : a + 20_000]), pa.array(doc[rr]), pa.array(pp.astype(np.int32)), raw], ["shard", "doc_id", "lo", "bytes"])
+                        [pa.array(shard), pa.array(doc[rr]), pa.array(pp.astype(np.int32)), raw], ["shard", "doc_id", "lo", "bytes"])
 
     return run
 
