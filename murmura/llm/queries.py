@@ -1,10 +1,12 @@
 """The registered queries of this package, and the SQL that some of them must equal."""
 from __future__ import annotations
 
+from murmura.llm.fingerprint import op1_fingerprints
 from murmura.llm.minhash import op10_minhash
 from murmura.llm.suffix_dedup import op4_suffix_dedup
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op10_minhash": op10_minhash,
 }
