@@ -3,10 +3,12 @@ from __future__ import annotations
 
 from murmura.llm.fingerprint import op1_fingerprints
 from murmura.llm.minhash import op10_minhash
+from murmura.llm.packing import op3_packing
 from murmura.llm.suffix_dedup import op4_suffix_dedup
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op3_packing": op3_packing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op10_minhash": op10_minhash,
 }
