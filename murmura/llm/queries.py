@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from murmura.llm.fingerprint import op1_fingerprints
+from murmura.llm.hmm import op7_hmm
 from murmura.llm.minhash import op10_minhash
 from murmura.llm.packing import op3_packing
 from murmura.llm.suffix_dedup import op4_suffix_dedup
@@ -10,6 +11,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op3_packing": op3_packing,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op7_hmm": op7_hmm,
     "op10_minhash": op10_minhash,
 }
 
