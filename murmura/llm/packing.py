@@ -8,6 +8,7 @@ capacity tokens of a worker are not in full ones.
 """
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -21,7 +22,7 @@ END = 2
 #: A class's bin may leave capacity / SLACK unused.
 SLACK = 128
 #: Words that a worker remembers the ids of, and the longest word that stays.
-_CACHE, _LONG = 600_000, 48
+_CACHE, _LONG = 800_000, 48
 
 
 def tokenizer_path() -> str:
@@ -30,27 +31,94 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Latin letters in UTF-8 up to U+024F but the dotted capital I, which becomes two characters in lower case; then ASCII punctuation but the apostrophe.
+_LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)")
+
+
+class _Known(dict):
+    """Ids by word; remembers which words it was asked for in vain."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.missed: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> None:
+        self.missed.append(word)
+        self[word] = None
+
+
 class WordTokenizer:
-    """A tokenizer whose pieces never cross ASCII white space, with the ids of words remembered."""
+    """A tokenizer that lowers case and whose pieces never cross white space, or letters and punctuation.
+
+    Ids of words are remembered. Words of letters are encoded together: each ends with an id that ends a word."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known()
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def letters(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words that are letters below U+0250 only: one piece each."""
+        out: list[bytes] = []
+        for a in range(0, len(words), 2048):
+            part = words[a : a + 2048]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(cut) != len(part):
+                out += self.whole([w.decode() for w in part])
+                continue
+            raw = ids.tobytes()
+            ends = cut.tolist()
+            out += [raw[i:j] for i, j in zip([0, *ends[:-1]], ends)]
+        return out
+
+    def learn(self, new: list[bytes]) -> None:
+        """Adds words to the known ones: letters together, what else there is one by one."""
+        known = self.known
+        plain, other, parts = [], {}, []
+        for w in new:
+            m = _LETTERS.fullmatch(w)
+            if m is None:
+                other[w] = None
+            elif m.end(1) == len(w):
+                plain.append(w)
+            else:
+                stem, end = m.groups()
+                parts.append((w, stem, end))
+                if known.get(stem) is None:
+                    plain.append(stem)
+                other[end] = None
+        ids = dict(zip(plain, self.letters(plain)))
+        rest = list(other)
+        for a in range(0, len(rest), 4096):
+            ids.update(zip(rest[a : a + 4096], self.whole([w.decode() for w in rest[a : a + 4096]])))
+        for w, stem, end in parts:
+            known[w] = (known.get(stem) or ids[stem]) + ids[end]
+        for w in new:
+            if known[w] is None:
+                known[w] = ids[w]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        split = [t.split() for t in texts]
+        # A special token's name counts only as it is written, so such texts keep their case.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.known) > _CACHE:
             self.known.clear()
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for a in range(0, len(new), 4096):
-            part = new[a : a + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join([known[w] for w in words]) for words in split]
+        found = [list(map(known.__getitem__, words)) for words in split]
+        new, known.missed = known.missed, []
+        self.learn(new)
+        for words, ids in zip(split, found):
+            for i in [i for i, x in enumerate(ids) if x is None]:
+                ids[i] = known[words[i]]
+        out = list(map(b"".join, found))
         for w in new:
             if len(w) > _LONG:
                 del known[w]
@@ -133,9 +201,9 @@ def _pack(path: str, capacity: int, end: int | None, with_ids: bool) -> Callable
         tail = b"" if end is None else np.array([end], "<u4").tobytes()
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for a in range(0, len(ids), 256):
-                texts = [t or b"" for t in batch.column("text").slice(a, 256).cast(pa.binary()).to_pylist()]
-                for doc_id, coded in zip(ids[a : a + 256], tokenizer.encode(texts)):
+            for a in range(0, len(ids), 512):
+                texts = [t or b"" for t in batch.column("text").slice(a, 512).cast(pa.binary()).to_pylist()]
+                for doc_id, coded in zip(ids[a : a + 512], tokenizer.encode(texts)):
                     packer.add(doc_id, np.frombuffer(coded + tail, "<u4"))
                 if len(packer.rows) > 10_000:
                     yield rows()
