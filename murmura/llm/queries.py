@@ -6,12 +6,14 @@ from murmura.llm.hmm import op7_hmm
 from murmura.llm.minhash import op10_minhash
 from murmura.llm.packing import op3_packing
 from murmura.llm.suffix_dedup import op4_suffix_dedup
+from murmura.llm.warc import op8_warc
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op3_packing": op3_packing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_hmm": op7_hmm,
+    "op8_warc": op8_warc,
     "op10_minhash": op10_minhash,
 }
 
