@@ -8,6 +8,7 @@ capacity tokens of a worker are not in full ones.
 """
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -22,7 +23,7 @@ END = 2
 #: A class's bin may leave capacity / SLACK unused.
 SLACK = 128
 #: Words that a worker remembers the ids of, and the longest word that stays.
-_CACHE, _LONG = 800_000, 48
+_CACHE, _LONG = 1_500_000, 48
 
 
 def tokenizer_path() -> str:
@@ -125,6 +126,12 @@ class WordTokenizer:
         return out
 
 
+@functools.cache
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for all tasks of a worker."""
+    return WordTokenizer(path)
+
+
 def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """Class and length of each piece of a document of n tokens, in order."""
     out = [(1, capacity)] * (n // capacity)
@@ -185,7 +192,7 @@ class Packer:
 
 def _pack(path: str, capacity: int, end: int | None, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = word_tokenizer(path)
         packer = Packer(capacity, TaskContext.get().partitionId())
 
         def rows() -> pa.RecordBatch:
