@@ -5,6 +5,7 @@ from murmura.llm.fingerprint import op1_fingerprints
 from murmura.llm.hmm import op7_hmm
 from murmura.llm.minhash import op10_minhash
 from murmura.llm.packing import op3_packing
+from murmura.llm.quality import op9_quality
 from murmura.llm.suffix_dedup import op4_suffix_dedup
 from murmura.llm.warc import op8_warc
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_hmm": op7_hmm,
     "op8_warc": op8_warc,
+    "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
 }
 
