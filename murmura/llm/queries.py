@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from murmura.llm.fingerprint import op1_fingerprints
 from murmura.llm.hmm import op7_hmm
+from murmura.llm.licences import op6_licences, scan_sql
 from murmura.llm.minhash import op10_minhash
 from murmura.llm.packing import op3_packing
 from murmura.llm.quality import op9_quality
@@ -13,10 +14,13 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op3_packing": op3_packing,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op6_licences": op6_licences,
     "op7_hmm": op7_hmm,
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_licences": scan_sql(),
+}
