@@ -5,6 +5,7 @@ the same one) is removed; strings are judged on the input and never cross docume
 
 1. Windows are grouped by their anchor (the smallest k-gram hash in them), which only their content decides, so equal
    windows have equal anchors. One row per group of neighbouring windows goes to the shard of its anchor.
+   Of equal groups that one worker holds only the first goes there, so what repeats often does not crowd a shard.
 2. Groups whose whole content was seen before are removed as they are. Only the first group of each content is left,
    and only where its anchor also stands in other content: these are the ends of repeats.
 3. The texts of those groups meet in the anchor's shard. Their suffixes are mergesorted; two suffixes are compared by
@@ -40,9 +41,17 @@ def _groups(window: int):
             ids = np.asarray(batch.column("doc_id"))
             for i, j in pieces(off):
                 doc, lo, hi, key, whole = anchors(data[off[i] : off[j]], off[i : j + 1] - off[i], window, window // 2)
+                doc = ids[i:j][doc]
+                # Of groups with one content only the first needs its anchor's shard; the others are dealt evenly.
+                order = np.lexsort((lo, doc, whole))
+                o_whole, o_doc, o_lo = whole[order], doc[order], lo[order]
+                head = np.maximum.accumulate(np.where(np.concatenate(([True], o_whole[1:] != o_whole[:-1])), np.arange(len(order)), 0)) if len(order) else order
+                known = np.zeros(len(order), bool)
+                known[order] = (o_doc != o_doc[head]) | (o_lo != o_lo[head])
+                key = np.where(known, mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lo.astype(np.uint64)).view(np.int64), key)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i:j][doc]), pa.array(lo.astype(np.int32)), pa.array((hi - lo).astype(np.int16)), pa.array(key), pa.array(whole)],
-                    ["doc_id", "lo", "more", "anchor", "content"])
+                    [pa.array(doc), pa.array(lo.astype(np.int32)), pa.array((hi - lo).astype(np.int16)), pa.array(key), pa.array(whole), pa.array(known)],
+                    ["doc_id", "lo", "more", "anchor", "content", "known"])
 
     return run
 
@@ -56,6 +65,13 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     lone = None  # the first content of an anchor, sent on once there is a second
     for batch in batches:
         n = len(batch)
+        sure = np.asarray(batch.column("known").cast(pa.int8())).astype(bool)
+        if sure.any():
+            own = batch.filter(pa.array(sure))
+            yield pa.RecordBatch.from_arrays(
+                [own.column("doc_id"), own.column("lo"), own.column("more"), pa.array(np.zeros(len(own), bool)), own.column("anchor")], ["doc_id", "lo", "more", "edge", "anchor"])
+            batch = batch.filter(pa.array(~sure))
+            n = len(batch)
         if not n:
             continue
         anchor, content, doc, lo, more = (np.asarray(batch.column(c)) for c in ("anchor", "content", "doc_id", "lo", "more"))
@@ -341,7 +357,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
 
     Rows with the same doc_id are one document. A null doc_id takes no part; a null text is empty."""
     texts = docs.select("doc_id", "text").where("doc_id is not null")
-    groups = texts.mapInArrow(_groups(window), "doc_id long, lo int, more short, anchor long, content long")
+    groups = texts.mapInArrow(_groups(window), "doc_id long, lo int, more short, anchor long, content long, known boolean")
     judged = table(
         groups.repartition("anchor").sortWithinPartitions("anchor", "content", "doc_id", "lo")
         .mapInArrow(_judge, "doc_id long, lo int, more short, edge boolean, anchor long"), "repeats")
