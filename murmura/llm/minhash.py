@@ -27,6 +27,7 @@ from murmura.llm._text import columns, mix, pieces, shingle_sets
 COORDS = 64
 #: Classes of a cluster that one task compares at most, besides as many again of another block.
 BLOCK = 2048
+HOT_PARTS = 1000
 
 _SEEDS = mix(np.arange(1, 2 * COORDS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _MUL, _ADD = _SEEDS[:COORDS] | np.uint64(1), _SEEDS[COORDS:]
@@ -205,7 +206,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, block:
     least, percent = matches(threshold), round(100 * threshold)
     sketched = table(sketches(docs, k, threshold), "sketches")
     some = sketched.where("n_shingles > 0 and doc_id is not null")
-    groups = some.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    groups = some.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))
     # A class posts once, from its first row; the light join leaves the signatures where they were written.
     firsts = some.join(
         groups.select("h1", "h2", "n_shingles", F.col("rep").alias("doc_id")), ["h1", "h2", "n_shingles", "doc_id"], "left_semi"
@@ -230,16 +231,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, block:
         candidates.groupBy("cluster", "x", "y").applyInPandas(_confirm(least, percent), "a long, b long").distinct(), "links")
     labels = components(confirmed)
     classes = groups.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
-        "h1", "h2", "n_shingles", F.coalesce("label", "rep").alias("component"))
+        "h1", "h2", "n_shingles", F.coalesce("label", "rep").alias("component"), "rows")
     return _labelled(sketched, classes)
 
 
 def _labelled(sketched: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows with their class's component. Classes above a part in HOT_PARTS of the rows, so fewer than HOT_PARTS classes, are broadcast."""
+    keys = ["h1", "h2", "n_shingles"]
+    light = sketched.select("doc_id", *keys)
+    limit = light.count() / HOT_PARTS
+    hot = F.broadcast(classes.where(F.col("rows") > limit).drop("rows"))
+    found = light.join(hot, keys).unionByName(
+        light.join(hot.select(*keys), keys, "left_anti").join(classes.where(F.col("rows") <= limit).drop("rows"), keys, "left"))
     component: Column = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
-    return (
-        sketched.select("doc_id", "n_shingles", "h1", "h2")
-        .join(classes, ["h1", "h2", "n_shingles"], "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")))
+    return found.select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def op10_minhash(spark, sf_dir: str) -> DataFrame:
