@@ -8,12 +8,15 @@ from murmura.llm.minhash import op10_minhash
 from murmura.llm.packing import op3_packing
 from murmura.llm.quality import op9_quality
 from murmura.llm.suffix_dedup import op4_suffix_dedup
+from murmura.llm.topk import ORACLE as TOPK_SQL
+from murmura.llm.topk import op5_topk
 from murmura.llm.warc import op8_warc
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op3_packing": op3_packing,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_topk": op5_topk,
     "op6_licences": op6_licences,
     "op7_hmm": op7_hmm,
     "op8_warc": op8_warc,
@@ -22,5 +25,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_topk": TOPK_SQL,
     "op6_licences": scan_sql(),
 }
