@@ -23,7 +23,7 @@ END = 2
 #: A class's bin may leave capacity / SLACK unused.
 SLACK = 128
 #: Words that a worker remembers the ids of, and the longest word that stays.
-_CACHE, _LONG = 1_500_000, 48
+_CACHE, _LONG = 1_000_000, 48
 
 
 def tokenizer_path() -> str:
