@@ -4,6 +4,7 @@ from __future__ import annotations
 from murmura.llm.fingerprint import op1_fingerprints
 from murmura.llm.hmm import op7_hmm
 from murmura.llm.licences import op6_licences, scan_sql
+from murmura.llm.merge_dropout import op2_merge_dropout
 from murmura.llm.minhash import op10_minhash
 from murmura.llm.packing import op3_packing
 from murmura.llm.quality import op9_quality
@@ -14,6 +15,7 @@ from murmura.llm.warc import op8_warc
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_merge_dropout": op2_merge_dropout,
     "op3_packing": op3_packing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_topk": op5_topk,
