@@ -7,13 +7,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir as a URI, or a local one where it is unset (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="murmura-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+        folder = _own.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="murmura-")
+        _own[spark.sparkContext.applicationId] = folder
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toUri().toString()
+    return ("file:///" + uri[len("file:/") :].lstrip("/") if uri.startswith("file:/") else uri).rstrip("/")
 
 
 def fresh(spark: SparkSession, name: str) -> str:

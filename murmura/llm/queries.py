@@ -1,6 +1,7 @@
 """The registered queries of this package, and the SQL that some of them must equal."""
 from __future__ import annotations
 
+from murmura.llm import sql
 from murmura.llm.fingerprint import op1_fingerprints
 from murmura.llm.hmm import op7_hmm
 from murmura.llm.licences import op6_licences, scan_sql
@@ -29,4 +30,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op5_topk": TOPK_SQL,
     "op6_licences": scan_sql(),
+    "op8_warc": sql.WARC,
+    "op10_minhash": sql.MINHASH,
 }

@@ -31,6 +31,8 @@ from murmura.llm._text import BYTE_VALUE, PrefixHash, _power, columns, mix, piec
 WINDOW = 100
 #: Contents under one anchor that one task sorts together.
 HOT = 20_000
+#: Crowded anchors that are broadcast at most.
+BROADCAST = 100_000
 _BATCH = 1 << 20
 
 
@@ -303,13 +305,13 @@ def _merge(lists: pa.ListArray, i: int, window: int, n: int) -> list[tuple[int,
     return list(zip(lo[np.concatenate(([0], cut))].tolist(), hi[np.concatenate((cut - 1, [len(lo) - 1]))].tolist()))
 
 
-def _finish(window: int, names: list[str], whole: bool):
+def _finish(window: int, names: list[str], whole: bool, ranges: str = "ranges"):
     """Adds removed spans to each row; with `whole`, replaces the text by what is kept (cut at characters only)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = columns(batch)
-            lists = batch.column("ranges")
+            lists = batch.column(ranges)
             spans, texts, chars, sizes, gone, sha = [], [], [], [], [], []
             for i in range(len(batch)):
                 raw = data[off[i] : off[i + 1]]
@@ -362,8 +364,10 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
         groups.repartition("anchor").sortWithinPartitions("anchor", "content", "doc_id", "lo")
         .mapInArrow(_judge, "doc_id long, lo int, more short, edge boolean, anchor long"), "repeats")
     edges = judged.where("edge")
-    crowded = edges.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot"))
-    marked = edges.join(crowded, "anchor", "left").groupBy("doc_id").agg(
+    crowded = table(edges.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot")), "crowded")
+    # Few anchors are crowded as a rule; only a list of checked size is broadcast.
+    edges = edges.join(F.broadcast(crowded) if crowded.count() <= BROADCAST else crowded, "anchor", "left")
+    marked = edges.groupBy("doc_id").agg(
         F.collect_list(F.struct("lo", "more", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("groups"))
     contexts = texts.join(marked, "doc_id").mapInArrow(_contexts(window), "shard long, doc_id long, lo int, bytes binary")
     partly = contexts.repartition("shard").sortWithinPartitions("shard", "doc_id", "lo").mapInArrow(
@@ -371,14 +375,17 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     return judged.where("not edge").select("doc_id", "lo", F.col("more").cast("int").alias("more")).unionByName(partly)
 
 
-def _ranged(docs: DataFrame, window: int) -> DataFrame:
-    found = repeats(docs, window).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "more")).alias("ranges"))
-    return docs.join(found.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left").drop("__id")
+def _ranged(docs: DataFrame, window: int) -> tuple[DataFrame, str]:
+    """docs with the ranges found in each, under a name that no column of docs has."""
+    taken = {c.lower() for c in docs.columns}
+    own, ranges = (next(f"{n}{i or ''}" for i in range(len(taken) + 1) if f"{n}{i or ''}" not in taken) for n in ("found_id", "ranges"))
+    found = repeats(docs, window).groupBy(F.col("doc_id").alias(own)).agg(F.collect_list(F.struct("lo", "more")).alias(ranges))
+    return docs.join(found, F.col("doc_id") == F.col(own), "left").drop(own), ranges
 
 
 def removed_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (maximal removed byte ranges), kept_sha256, a row per row of docs."""
-    return _ranged(docs.select("doc_id", "text"), window).mapInArrow(
+    return _ranged(docs.select("doc_id", "text"), window)[0].mapInArrow(
         _finish(window, [], False), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string")
 
 
@@ -386,7 +393,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with repeated passages cut from text, and n_chars renewed; only whole characters are cut.
 
     A null text stays null. Other columns pass through, whatever their names."""
-    return _ranged(docs, window).mapInArrow(_finish(window, docs.columns, True), docs.schema)
+    rows, ranges = _ranged(docs, window)
+    return rows.mapInArrow(_finish(window, docs.columns, True, ranges), docs.schema)
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
