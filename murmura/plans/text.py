@@ -75,7 +75,7 @@ def _ingest(s, d):
     }
     for name, values in made.items():
         s.createDataFrame([(v,) for v in values], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{name}")
-    read = s.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").option("wholetext", "true").text(root)
+    read = s.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(root, wholetext=True)
     texts = read.select(F.col("_metadata.file_path").alias("path"), F.col("value"))
     out = reviews.clean_sentences(reviews.records(texts), "test", root)
     return out.select("domain", "brand", "doc_id", "sentence_idx", "sentence", "ctime").withColumn("doc_id", F.when(F.length("doc_id") == 32, "hashed").otherwise(F.col("doc_id")))

@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session with UTC time, adaptive execution and few shuffle partitions."""
+def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", **more: str) -> SparkSession:
+    """A local session with UTC time, adaptive execution and few shuffle partitions; more: settings with _ for dots."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("murmura")
@@ -16,5 +16,6 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
+        .config(map={k.replace("_", "."): v for k, v in more.items()})
         .getOrCreate()
     )

@@ -15,7 +15,7 @@ ID_KEYS = ("id", "review_id", "doc_id", "comment_id", "content_id")
 
 def files(spark: SparkSession, folder: str) -> DataFrame:
     """path and value (the whole text, without a byte order mark) of every .json and .jsonl file below a folder."""
-    read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}").option("wholetext", "true").text(folder)
+    read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}").text(folder, wholetext=True)
     return read.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^﻿", "").alias("value"))
 
 
