@@ -58,28 +58,31 @@ TEMPLATES = {
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def normal(text):
-    """Words of a-z and 0-9, one space between them."""
-    return F.trim(F.regexp_replace(F.translate(text, _UPPER, _LOWER), "[^a-z0-9]+", " "))
+def words(text):
+    """Words of a-z and 0-9, in lower case."""
+    return F.filter(F.split(text, "[^a-z0-9]+"), lambda x: x != "")
 
 
-def bigrams(text):
-    """The distinct pairs of neighbouring words of a text; none for fewer than two words.
+def lower(text):
+    return F.translate(text, _UPPER, _LOWER)
 
-    The words are bound by a lambda, so that they are split once however often they are used."""
-    def pairs(words):
-        last = F.size(words) - 1
-        return F.when(last > 0, F.array_distinct(F.zip_with(
-            F.slice(words, 1, F.greatest(last, F.lit(0))), F.slice(words, 2, F.greatest(last, F.lit(0))), lambda x, y: F.concat(x, F.lit(" "), y)))).otherwise(F.array().cast("array<string>"))
 
-    return F.get(F.transform(F.array(F.split(normal(text), " ")), pairs), 0)
+def bigrams(w):
+    """The distinct pairs of neighbouring words; w must be a column or a lambda's variable, as it is used more than once."""
+    last = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(w, 1, last), F.slice(w, 2, last), lambda x, y: F.concat(x, F.lit(" "), y)))
+
+
+def bound(value, use):
+    """use(value) with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def templates(spark, texts: dict[str, list[str]] | None = None) -> DataFrame:
     """licence, template (number), bigrams, size of every template of two words or more."""
     rows = [(licence, i, t) for licence, ts in (texts or TEMPLATES).items() for i, t in enumerate(ts)]
     made = spark.createDataFrame(rows, "licence string, template int, text string")
-    return made.select("licence", "template", bigrams(F.col("text")).alias("bigrams")).withColumn("size", F.size("bigrams")).where("size > 0")
+    return made.select("licence", "template", bound(words(lower(F.col("text"))), bigrams).alias("bigrams")).withColumn("size", F.size("bigrams")).where("size > 0")
 
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD, texts: dict[str, list[str]] | None = None) -> DataFrame:
@@ -95,17 +98,19 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, texts: dict[str, list[st
         raise ValueError("no template has two words")
     ratio = (2 - threshold) / threshold
     low, high = bounds["least"] / ratio, bounds["most"] * ratio
-    lines = F.split(F.col("text"), "\n")
-    whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("raw"))))
-    units = F.concat(
-        F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("raw"))),
-        F.coalesce(whole, F.array().cast("array<struct<line:int,raw:string>>")))
-    # A unit of n distinct bigrams has n + 1 words or more, and each word but the last takes two characters or more.
-    long_enough = F.filter(units, lambda u: F.length(u["raw"]) >= 2 * int(low) + 1)
-    formed = F.transform(long_enough, lambda u: F.struct(u["line"].alias("line"), bigrams(u["raw"]).alias("b")))
-    # The distinct bigrams can be fewer than the length says, so only they decide the upper bound.
-    fitting = F.filter(formed, lambda u: F.size(u["b"]).between(low, high))
-    sets = docs.select("doc_id", F.explode(fitting).alias("u")).select("doc_id", "u.line", "u.b").withColumn("n", F.size("b"))
+    parts = F.transform(F.split(lower(F.col("text")), "\n"), words)
+
+    def units(ps):
+        """Lines, and the text as a whole: a line break parts words, so its words are those of the lines."""
+        every = F.transform(ps, lambda w, i: F.struct(i.alias("line"), w.alias("w")))
+        whole = F.when(F.size(ps) > 1, F.array(F.struct(F.lit(-1).alias("line"), F.flatten(ps).alias("w"))))
+        return F.concat(every, F.coalesce(whole, F.array().cast("array<struct<line:int,w:array<string>>>")))
+
+    # n words make n - 1 bigrams at most, and every distinct word but the first is the second of one.
+    fitting = F.filter(bound(parts, units), lambda u: (F.size(u["w"]) - 1 >= max(low, 1)) & (F.size(F.array_distinct(u["w"])) - 1 <= high))
+    formed = F.transform(fitting, lambda u: F.struct(u["line"].alias("line"), bound(u["w"], bigrams).alias("b")))
+    sets = docs.where(F.col("text").isNotNull()).select("doc_id", F.explode(F.filter(formed, lambda u: F.size(u["b"]).between(low, high))).alias("u")).select(
+        "doc_id", "u.line", "u.b").withColumn("n", F.size("b"))
     pairs = sets.join(
         F.broadcast(known), (F.col("n") * ratio >= F.col("size")) & (F.col("n") <= F.col("size") * ratio))
     common = F.size(F.array_intersect("b", "bigrams"))
