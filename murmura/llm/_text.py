@@ -1,7 +1,8 @@
 """Vectorised byte, word and hash helpers for Arrow batches of texts."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,20 @@ _BASE_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
 
+def tidy(run: Callable) -> Callable:
+    """A function over batches that, at its end, gives memory it no longer needs back to the system: workers live on between tasks."""
+
+    def inner(*args):
+        yield from run(*args)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return inner
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x ^ (x >> U64(33))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmura.llm._store import table
-from murmura.llm._text import columns, mix, pieces, word_hashes
+from murmura.llm._text import columns, mix, pieces, word_hashes, tidy
 
 STATES, CLASSES, ROUNDS = 6, 16384, 4
 #: Tokens of a training sequence; longer texts train as several.
@@ -41,6 +41,16 @@ def classes_of(words: list[bytes]) -> np.ndarray:
     return (h & np.uint64(CLASSES - 1)).astype(np.int64)
 
 
+def planes(row: np.ndarray) -> bytes:
+    """32-bit numbers byte by byte: all lowest bytes, then all next ones; small numbers leave planes of zeros, which compress away."""
+    return np.ascontiguousarray(row.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def numbers(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+@tidy
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as numbers of their chunk's words, and the chunk's words with their classes and training counts."""
     names = ["chunk", "is_word", "doc_id", "held_out", "tokens", "word", "lid", "cls", "n"]
@@ -74,7 +84,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[: int(row.max()) + 1] += np.bincount(row)
             ids.append(doc_id)
             held.append(out)
-            coded.append(row.tobytes())
+            coded.append(planes(row))
             size += len(low)
             if size >= CHUNK_BYTES:
                 yield from flush()
@@ -171,7 +181,7 @@ def _expect(model: Model):
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys.astype(np.int32)), *(pa.array(rows[:, s]) for s in range(STATES))], ["k", *(f"s{s}" for s in range(STATES))])
 
-    return run
+    return tidy(run)
 
 
 def train(docs: DataFrame, share: np.ndarray, rounds: int = ROUNDS) -> Model:
@@ -220,7 +230,7 @@ def _score(model: Model, within: np.ndarray, total: int, distinct: int):
         own = np.log10(count + 0.5)
         in_class = own - np.log10(within[cls])
         in_class[cls == CLASSES] = 0
-        rows = [np.frombuffer(t, np.uint32) for t in texts["tokens"]]
+        rows = [numbers(t) for t in texts["tokens"]]
         return pd.DataFrame({
             "doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": [len(r) for r in rows],
             "n_known": [int((count[r] > 0).sum()) for r in rows], "train_tokens": total,
