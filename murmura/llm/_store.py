@@ -22,14 +22,26 @@ def scratch(spark: SparkSession) -> str:
 
 
 def fresh(spark: SparkSession, name: str) -> str:
-    """A new path below the scratch folder."""
-    return f"{scratch(spark)}/murmura/{name}-{uuid.uuid4().hex}"
+    """A new path below the scratch folder, in a folder that goes when the application ends."""
+    own = f"{scratch(spark)}/murmura/{spark.sparkContext.applicationId}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+def few(df: DataFrame) -> DataFrame:
+    """df in a quarter of the session's shuffle partitions, but three for each core at least: fewer, larger files."""
+    spark = df.sparkSession
+    return df.coalesce(max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 4, 3 * spark.sparkContext.defaultParallelism))
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the scratch folder as Parquet and reads it again: a lost executor costs no recomputation."""
     path = fresh(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    few(df).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmura.llm._anchors import anchors
-from murmura.llm._store import table
-from murmura.llm._text import BYTE_VALUE, PrefixHash, _power, columns, mix, pieces
+from murmura.llm._store import few, table
+from murmura.llm._text import BYTE_VALUE, PrefixHash, _power, columns, mix, pieces, tidy
 
 WINDOW = 100
 #: Contents under one anchor that one task sorts together.
@@ -55,9 +55,10 @@ def _groups(window: int):
                     [pa.array(doc), pa.array(lo.astype(np.int32)), pa.array((hi - lo).astype(np.int16)), pa.array(key), pa.array(whole), pa.array(known)],
                     ["doc_id", "lo", "more", "anchor", "content", "known"])
 
-    return run
+    return tidy(run)
 
 
+@tidy
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over rows sorted by anchor, content, doc_id, lo: which groups repeat whole ones, which may repeat in part.
 
@@ -138,7 +139,7 @@ def _contexts(window: int):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(shard), pa.array(doc[rr]), pa.array(pp.astype(np.int32)), raw], ["shard", "doc_id", "lo", "bytes"])
 
-    return run
+    return tidy(run)
 
 
 class SuffixOrder:
@@ -290,7 +291,7 @@ def _resolve(window: int):
         if held:
             yield solve(held)
 
-    return run
+    return tidy(run)
 
 
 def _merge(lists: pa.ListArray, i: int, window: int, n: int) -> list[tuple[int, int]]:
@@ -351,7 +352,7 @@ def _finish(window: int, names: list[str], whole: bool, ranges: str = "ranges"):
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(sha, pa.string())],
                     ["doc_id", "n_bytes", "n_removed", "spans", "kept_sha256"])
 
-    return run
+    return tidy(run)
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
@@ -364,9 +365,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
         groups.repartition("anchor").sortWithinPartitions("anchor", "content", "doc_id", "lo")
         .mapInArrow(_judge, "doc_id long, lo int, more short, edge boolean, anchor long"), "repeats")
     edges = judged.where("edge")
-    crowded = table(edges.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot")), "crowded")
+    crowded = edges.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot"))
     # Few anchors are crowded as a rule; only a list of checked size is broadcast.
-    edges = edges.join(F.broadcast(crowded) if crowded.count() <= BROADCAST else crowded, "anchor", "left")
+    edges = edges.join(F.broadcast(crowded) if crowded.limit(BROADCAST + 1).count() <= BROADCAST else crowded, "anchor", "left")
     marked = edges.groupBy("doc_id").agg(
         F.collect_list(F.struct("lo", "more", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("groups"))
     contexts = texts.join(marked, "doc_id").mapInArrow(_contexts(window), "shard long, doc_id long, lo int, bytes binary")
@@ -399,5 +400,5 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Repeated strings of 100 bytes over all documents."""
-    found = removed_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = few(removed_spans(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
