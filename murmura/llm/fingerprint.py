@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmura.llm._anchors import sliding_min
-from murmura.llm._text import PrefixHash, columns, mix, pieces
+from murmura.llm._text import PrefixHash, columns, mix, pieces, tidy
 
 WIDTH, VOTES, BITS, LOAD, HASHES = 64, 16, 2048, 160, 5
 #: Entropy of a window in thousandths of its maximum: what is common in prose, its spread, and below which windows are no features.
@@ -152,6 +152,7 @@ def _chains(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+@tidy
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fingerprint of each text."""
     for batch in batches:
@@ -168,6 +169,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fingerprint string")
 
 
+@tidy
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over a partition's rows by descending id, the first row of the next one at their end."""
     carry: tuple | None = None

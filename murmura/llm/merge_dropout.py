@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from murmura.llm._text import mix
+from murmura.llm._text import mix, tidy
 
 SEED, RATE, VARIANTS = 20_240_229, 0.1, 4
 #: Chunks that a worker remembers, and the longest that it merges together with others.
@@ -329,7 +329,7 @@ def _encode(path: str, seed: int, rate: float, variants: int):
                      pa.array(np.diff(sizes).astype(np.int64)), pa.array([coder.decode(c) == t for c, t in zip(coded, texts)])],
                     ["doc_id", "ids", "n_tokens", "lossless"])
 
-    return run
+    return tidy(run)
 
 
 def encode(docs: DataFrame, path: str | None = None, seed: int = SEED, rate: float = RATE, variants: int = VARIANTS) -> DataFrame:
@@ -348,7 +348,7 @@ def _decode(path: str):
             texts = [coder.decode(np.array(x or [], np.int32).tobytes()) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return run
+    return tidy(run)
 
 
 def decode(coded: DataFrame, path: str | None = None) -> DataFrame:

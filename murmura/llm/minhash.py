@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from murmura.llm._components import components
 from murmura.llm._store import table
-from murmura.llm._text import columns, mix, pieces, shingle_sets
+from murmura.llm._text import columns, mix, pieces, shingle_sets, tidy
 
 COORDS = 64
 #: Classes of a cluster that one task compares at most, besides as many again of another block.
@@ -73,7 +73,7 @@ def _sketch(k: int, posted: int):
                      pa.ListArray.from_arrays(pa.array(np.cumsum(width, dtype=np.int32)), pa.array(keys.ravel()))],
                     ["doc_id", "n_shingles", "h1", "h2", "sig", "keys"])
 
-    return run
+    return tidy(run)
 
 
 def _stars(adjacent, n: int) -> np.ndarray:
@@ -132,7 +132,7 @@ def _posting_links(least: int):
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return run
+    return tidy(run)
 
 
 def _with_sets(k: int):
@@ -149,7 +149,7 @@ def _with_sets(k: int):
                     [rows.column("cluster"), rows.column("node"), rows.column("x"), rows.column("y"), rows.column("mine"), raw.cast(pa.binary())],
                     ["cluster", "node", "x", "y", "mine", "shingles"])
 
-    return run
+    return tidy(run)
 
 
 def _confirm(least: int, percent: int):

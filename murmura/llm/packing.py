@@ -18,12 +18,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from murmura.llm._text import tidy
+
 CAPACITY = 4096
 END = 2
 #: A class's bin may leave capacity / SLACK unused.
 SLACK = 128
 #: Words that a worker remembers the ids of, and the longest word that stays.
-_CACHE, _LONG = 1_000_000, 48
+_CACHE, _LONG = 1_200_000, 48
 
 
 def tokenizer_path() -> str:
@@ -217,7 +219,7 @@ def _pack(path: str, capacity: int, end: int | None, with_ids: bool) -> Callable
         packer.finish()
         yield rows()
 
-    return run
+    return tidy(run)
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end: int | None = END, with_ids: bool = True) -> DataFrame:
