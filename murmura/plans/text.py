@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from murmura.functions import text
 from murmura.functions.hashing import document_id, fraction
-from murmura.operators import coverage
+from murmura.operators import coverage, ingest
 from murmura.plans.proxy import SENT, documents, sent
 from murmura.sources import reviews
 from murmura.streaming import incremental
@@ -140,3 +140,36 @@ QUERIES = {
     "ingest_files": (_ingest, None),
     "changed_files": (_changed, None),
 }
+
+
+def _prompts(s, d):
+    rows = sent(s, d).where("sentence_idx < 2").select(
+        "*", (F.col("doc_id") % 4).alias("shard"), F.lit("looks").alias("aspect_l1"), F.lit("shape").alias("aspect_l2"))
+    return ingest.packed_prompts(rows, 5, ["doc_id", "sentence_idx"])
+
+
+def _good(s, d):
+    blocked = documents(s, d).select(F.col("lang").alias("term")).distinct()
+    words = coverage.token_counts(documents(s, d), "text").where("df >= 3").select("term")
+    return ingest.good_terms(words, blocked, 8, ("the", "de", "en", "nd", "der"))
+
+
+def _records(s, d):
+    rows = s.read.parquet(f"{d}/events.parquet").select(
+        F.lit("p").alias("path"), F.col("event_id").alias("source_line"), F.try_parse_json(F.concat(F.lit('{"id":'), "event_id", F.lit(',"a":{"b":"'), "event_type", F.lit('"},"t":"2024/01/02"}'))).alias("record"))
+    out = ingest.normal_records(rows, {"content": "a.b", "ctime": "t"}, ("t",))
+    return out.select("doc_id", "content", "ctime", "parse_error", F.col("extra_json")["t"].alias("extra"))
+
+
+QUERIES |= {
+    "prompt_pack": (
+        _prompts,
+        f"""with {SENT}, k as (select doc_id % 4 as shard, row_number() over (partition by doc_id % 4 order by doc_id, sentence_idx) - 1 as k, sentence from sent where sentence_idx < 2)
+        select shard, k // 5 as batch, string_agg((k % 5 + 1) || '. [looks::shape] ' || regexp_replace(sentence, '[\\r\\n]+', ' ', 'g'), chr(10) order by k) as prompt, count(*) as n from k group by 1, 2"""),
+    "good_terms": (
+        _good,
+        f"""with t as (select doc_id, unnest({_TOKENS.format('text')}) as term from documents), c as (select term from t group by 1 having count(distinct doc_id) >= 3)
+        select term from c where not regexp_matches(term, '^[a-z]*[0-9]+(pro|plus|max|ultra|mini|se)?$') and length(term) <= 8 and term in ('the', 'de', 'en', 'nd', 'der') and term not in (select lang from documents)"""),
+    "normal_records": (
+        _records, "select cast(event_id as varchar) as doc_id, event_type as content, '2024-01-02 00:00:00' as ctime, event_type is null as parse_error, '2024/01/02' as extra from events"),
+}

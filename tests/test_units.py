@@ -134,3 +134,38 @@ def test_shards_part_the_rows(spark):
     sizes = rows.groupBy("shard").count().collect()
     assert sum(r["count"] for r in sizes) == 1000 and len(sizes) == 8
     assert web.bucket_map(spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "aspect_l1 string"), 2).where("bucket = 'OTHER'").count() == 1
+
+
+def test_steps_end_to_end(spark, tmp_path):
+    import json
+
+    from murmura.plans import steps
+
+    folder = tmp_path / "in" / "acme" / "one"
+    folder.mkdir(parents=True)
+    lines = [json.dumps({"id": i, "content": f"the screen is {'good' if i % 2 else 'bad'}! the battery {'good' if i % 3 else 'bad'} today!", "ctime": 1700000000 + 86400 * i}) for i in range(60)]
+    (folder / "a.jsonl").write_text("\n".join(lines))
+    terms = spark.createDataFrame([("d", "display", "panel", "screen", 0), ("d", "power", "cell", "battery", 1)], lexicon.SCHEMA)
+    run = steps.Run(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/run", "d", terms, teacher.LexiconTeacher(frozenset({"good"}), frozenset({"bad"})), samples=100, shards=2)
+    assert run.run("web,5") == ["00", "tag", "01", "02", "03", "05", "web"]
+    sizes = {r["table"]: r["rows"] for r in run.manifest().collect()}
+    assert sizes["aspect_sentences"] == sizes["predictions"] == sizes["aspect_pairs"] and sizes["train_pseudolabel"] == 100
+    assert run.read("aspect_sentiment_all").agg(F.sum("total_cnt")).first()[0] == sizes["predictions"]
+    before = run.read("aspect_sentiment_all").inputFiles()
+    run.run("05")
+    assert run.read("aspect_sentiment_all").inputFiles() == before
+    assert steps.normal_steps("5, 1,ingest,05") == ["00", "01", "05"]
+    with pytest.raises(ValueError):
+        steps.normal_steps("9")
+
+
+def test_ingest_guards(spark):
+    from murmura.operators import ingest
+
+    rows = spark.createDataFrame([("{\"a\":1}\n{\"a\":2}",), ("{\"a\":1}\nx\ny\nz\n{}",), ("[1]",), (None,)], "v string")
+    assert [r[0] for r in rows.select(ingest.looks_like_lines(F.col("v"))).collect()][:3] == [True, False, False]
+    frame = spark.createDataFrame([(1, "x", 1_700_000_000_000.0)], "id int, sent string, create_time double")
+    assert ingest.pick(frame, "sentence_id", "sentence", "label").first().asDict() == {"sentence_id": 1, "sentence": "x", "label": None}
+    assert ingest.time_columns(frame) == ["create_time"] and ingest.epoch_unit(frame, "create_time") == "ms"
+    with pytest.raises(ValueError):
+        ingest.guard("/data/phone", "car")
