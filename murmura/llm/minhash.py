@@ -8,7 +8,8 @@ the first COORDS - MATCHES + 1 coordinates: two signatures that agree in MATCHES
 skipped. What is left as a cluster of candidates is confirmed on the full shingle sets, so links are exact.
 
 Texts with equal sets are collapsed to one class first. Neither posting lists nor clusters are expanded into pairs:
-each sends on a star of links per connected part. A cluster above BLOCK classes is dealt out as pairs of blocks.
+each sends on a star of links per connected part. A list above POSTED texts and a cluster above BLOCK classes are
+dealt out as pairs of parts.
 """
 from __future__ import annotations
 
@@ -28,6 +29,10 @@ COORDS = 64
 #: Classes of a cluster that one task compares at most, besides as many again of another block.
 BLOCK = 2048
 HOT_PARTS = 1000
+#: Texts of a posting list that one task compares at most, besides as many again of another part of the list.
+POSTED = 20_000
+#: Crowded coordinate values that are broadcast at most.
+BROADCAST = 100_000
 
 _SEEDS = mix(np.arange(1, 2 * COORDS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _MUL, _ADD = _SEEDS[:COORDS] | np.uint64(1), _SEEDS[COORDS:]
@@ -194,6 +199,18 @@ def sketches(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
         _sketch(k, posted), "doc_id long, n_shingles long, h1 long, h2 long, sig binary, keys array<long>")
 
 
+def _dealt(posts: DataFrame, most: int | None = None) -> DataFrame:
+    """posts(rep, sig, key) with the lists of crowded keys dealt out as pairs of parts, so that every pair of texts still meets."""
+    most = most or POSTED
+    parts = F.ceil(F.col("n") / most).cast("int")
+    crowded = posts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key", parts.alias("parts"))
+    known = F.broadcast(crowded) if crowded.limit(BROADCAST + 1).count() <= BROADCAST else crowded
+    mine = F.pmod(F.xxhash64("rep"), F.col("parts").cast("long")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)))
+    keys = F.when(F.col("parts").isNull(), F.array("key")).otherwise(pairs)
+    return posts.join(known, "key", "left").select("rep", "sig", F.explode(keys).alias("key"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id), a row per row of docs.
 
@@ -213,7 +230,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, block:
     ).select(F.col("doc_id").alias("rep"), "sig", "keys")
     posts = firsts.select("rep", "sig", F.explode("keys").alias("key"))
     links = table(
-        posts.repartition("key").sortWithinPartitions("key", "rep")
+        _dealt(posts).repartition("key").sortWithinPartitions("key", "rep")
         .mapInArrow(_posting_links(least), "a long, b long").distinct(), "candidates")
     clusters = table(components(links), "clusters")
     sizes = clusters.groupBy("label").agg(F.count("*").alias("size"))

@@ -78,8 +78,9 @@ def near(rows, k, percent):
     return {i: find(i) for i in ids}, {i: len(s) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("k,threshold,block", [(3, 0.85, 2048), (5, 0.8, 2048), (3, 0.85, 3)])
-def test_near_duplicates(docs, rows, k, threshold, block):
+@pytest.mark.parametrize("k,threshold,block,posted", [(3, 0.85, 2048, 20_000), (5, 0.8, 2048, 20_000), (3, 0.85, 3, 2)])
+def test_near_duplicates(docs, rows, k, threshold, block, posted, monkeypatch):
+    monkeypatch.setattr(minhash, "POSTED", posted)
     want, sizes = near(rows, k, round(100 * threshold))
     got = minhash.near_duplicates(docs, k, threshold, block).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == want
