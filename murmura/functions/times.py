@@ -4,16 +4,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FORMATS = ("yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd")
+#: Written forms by what they look like: only a form that fits is tried, as failed attempts cost far more than a look.
+FORMATS = (("^[0-9]{4}/[0-9]+/[0-9]+ ", "yyyy/MM/dd HH:mm:ss"), ("^[0-9]{4}/[0-9]+/[0-9]+$", "yyyy/MM/dd"))
+ISO = r"^\s*[0-9]{4}-"
 
 
-def parse(text: str, micro: bool = False, formats: tuple[str, ...] = FORMATS) -> Column:
+def parse(text: str, micro: bool = False, formats: tuple[tuple[str, str], ...] = FORMATS) -> Column:
     """The time in column `text`: seconds, milliseconds above 1e11, with `micro` microseconds above 1e14; then written forms; else null."""
     x = F.expr(f"try_cast({text} as double)")
     epoch = F.when(x > 1e11, x / 1000).otherwise(x)
     if micro:
         epoch = F.when(x > 1e14, x / 1_000_000).otherwise(epoch)
-    written = [F.expr(f"try_cast({text} as timestamp)"), *(F.try_to_timestamp(F.col(text), F.lit(f)) for f in formats)]
+    written = [
+        F.when(F.col(text).rlike(ISO), F.expr(f"try_cast({text} as timestamp)")),
+        *(F.when(F.col(text).rlike(look), F.try_to_timestamp(F.col(text), F.lit(f))) for look, f in formats)]
     return F.when(x.isNotNull(), F.timestamp_seconds(epoch)).otherwise(F.coalesce(*written))
 
 
