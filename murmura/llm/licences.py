@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+SLACK = 1e-6
 
 # Notices and texts of public licences.
 TEMPLATES = {
@@ -97,7 +98,8 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, texts: dict[str, list[st
     if bounds["least"] is None:
         raise ValueError("no template has two words")
     ratio = (2 - threshold) / threshold
-    low, high = bounds["least"] / ratio, bounds["most"] * ratio
+    # The ratio is rounded, so bounds have slack: what they let through besides is settled by the coefficient itself.
+    low, high = bounds["least"] / ratio - SLACK, bounds["most"] * ratio + SLACK
     parts = F.transform(F.split(lower(F.col("text")), "\n"), words)
 
     def units(ps):
@@ -112,7 +114,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, texts: dict[str, list[st
     sets = docs.where(F.col("text").isNotNull()).select("doc_id", F.explode(F.filter(formed, lambda u: F.size(u["b"]).between(low, high))).alias("u")).select(
         "doc_id", "u.line", "u.b").withColumn("n", F.size("b"))
     pairs = sets.join(
-        F.broadcast(known), (F.col("n") * ratio >= F.col("size")) & (F.col("n") <= F.col("size") * ratio))
+        F.broadcast(known), (F.col("n") * ratio + SLACK >= F.col("size")) & (F.col("n") <= F.col("size") * ratio + SLACK))
     common = F.size(F.array_intersect("b", "bigrams"))
     dice = 2 * F.col("common") / (F.col("n") + F.col("size"))
     return pairs.select("doc_id", "line", "licence", "template", F.col("n").alias("n_bigrams"), "size", common.alias("common"), "n").select(

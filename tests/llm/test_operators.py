@@ -281,6 +281,16 @@ def test_licences(spark, none):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_licences_at_the_threshold(spark):
+    rows = [(1, "Released under the MIT License. See file"), (2, "under the MIT License"), (3, "a b c d e"), (4, "a b c d e f g h i j k l m"), (5, "a b c d e f g h i j k l m n")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["n_bigrams"], r["common"], r["dice"]) for r in licences.scan(frame).collect() if r["licence"] == "MIT" and r["template"] == 0]
+    assert (1, 6, 4, 0.8) in got
+    texts = {"X": ["a b c d e f g"], "Y": ["a b c d e f g h i"]}  # 6 and 8 bigrams
+    got = {(r["doc_id"], r["licence"]) for r in licences.scan(frame, texts=texts).collect()}
+    assert got == {(3, "X"), (4, "Y")}
+
+
 def test_hmm(docs, rows, none):
     got = {r["doc_id"]: r for r in hmm.scores(docs, rounds=2).collect()}
     tokens = {r[0]: [*WORD.findall((r[1] or "").encode().lower()), None] for r in rows}
