@@ -1,9 +1,11 @@
 """SentencePiece byte-pair encoding with seeded merge dropout, and decoding.
 
 Merges are taken from an agenda by score, the leftmost of equals first. A candidate merge is skipped, once and for all,
-if a hash keyed by seed, variant, chunk and the candidate's place is below the dropout rate; so the same text can be
-segmented in many ways, each reproducible. No piece of the vocabulary has a space after another
-character, or certain marks after a letter, so chunks that begin there are independent; their segmentations are computed many at a time and remembered.
+if a hash keyed by seed, document, the chunk's number in it and the candidate's place is below the dropout rate; so each
+occurrence of a chunk is segmented by itself, and reproducibly. No piece of the vocabulary has a space after another
+character, or certain marks after a letter, so chunks that begin there are independent and are merged many at a time. What
+is remembered of a chunk is its segmentation without dropout and the candidates on the way to it: it holds wherever none
+of those is skipped, and the other occurrences are merged anew.
 
 Characters without a piece become byte pieces, as does a literal U+2581 (which pieces use for a space): decoding gives
 back every text exactly.
@@ -21,9 +23,11 @@ from pyspark.sql import DataFrame
 
 from murmura.llm._text import mix, tidy
 
-SEED, RATE, VARIANTS = 20_240_229, 0.1, 4
+SEED, RATE = 20_240_229, 0.1
 #: Chunks that a worker remembers, and the longest that it merges together with others.
 _CACHE, _LONG = 1_500_000, 64
+#: Chunks whose candidates are looked at together.
+_TOGETHER = 100_000
 _WIDTHS = (3, 5, 7, 9, 12, 16, 24, 40, _LONG)
 _NONE = np.int32(2**31 - 1)
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -36,7 +40,7 @@ def model_path() -> str:
 
 
 class _Known(dict):
-    """Ids by chunk and variant; remembers what it was asked for in vain."""
+    """Ids by chunk and its mark; remembers what it was asked for in vain."""
 
     def __init__(self) -> None:
         super().__init__()
@@ -47,10 +51,39 @@ class _Known(dict):
         self[key] = None
 
 
+class _Plain(dict):
+    """Numbers of chunks, with their ids without dropout and the hashed candidates on the way; 0 is any long chunk."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.missed: list[str] = []
+        self.ids: list[bytes] = [b""]
+        self.begin = np.zeros(1 << 12, np.int64)
+        self.hashes = np.empty(1 << 14, np.uint64)
+
+    def __missing__(self, key: str) -> int:
+        if len(key) > _LONG:
+            return 0
+        self.missed.append(key)
+        self[key] = n = len(self) + 1
+        return n
+
+    def add(self, ids: list[bytes], counts: np.ndarray, hashes: np.ndarray) -> None:
+        """What the chunks asked for in vain have, in their order."""
+        n, at = len(self.ids), int(self.begin[len(self.ids)])
+        while n + len(ids) >= len(self.begin):
+            self.begin = np.concatenate((self.begin, np.zeros_like(self.begin)))
+        while at + len(hashes) > len(self.hashes):
+            self.hashes = np.concatenate((self.hashes, np.empty_like(self.hashes)))
+        self.hashes[at : at + len(hashes)] = hashes
+        self.begin[n + 1 : n + 1 + len(ids)] = at + np.cumsum(counts)
+        self.ids += ids
+
+
 class MergeDropout:
     """A model with a seed and a rate. Rate 0 gives the model's own encoding."""
 
-    def __init__(self, path: str, seed: int = SEED, rate: float = RATE, variants: int = VARIANTS) -> None:
+    def __init__(self, path: str, seed: int = SEED, rate: float = RATE) -> None:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -100,9 +133,10 @@ class MergeDropout:
             placed = self.slot_key[slot] == keys
             self.slot_id[slot[placed]] = ids[placed]
             keys, ids, slot = keys[~placed], ids[~placed], (slot[~placed] + 1) & (len(self.slot_key) - 1)
-        self.seed, self.variants = np.uint64(seed), variants
+        self.seed = np.uint64(seed)
         self.limit = int(rate * 2**64) if rate < 1 else 2**64 - 1
-        self.known = _Known()
+        self.known, self.plain = _Known(), _Plain()
+        self.noted: list[tuple] | None = None  # candidates, while they are noted and none is skipped
         # Marks that no piece has after a letter: there a chunk may end and another begin.
         letter = re.compile(r"[^\W\d_]").fullmatch
         marks = set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") - {y for p in own for x, y in zip(p, p[1:]) if letter(x)}
@@ -129,11 +163,14 @@ class MergeDropout:
 
     def skipped(self, key: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Whether the candidate merge from begin to end of the chunk with that key is left out."""
-        h = mix(key + mix((begin.astype(np.uint64) << np.uint64(32)) + end.astype(np.uint64)))
-        return h < np.uint64(self.limit)
+        return mix(key + self._place(begin, end)) < np.uint64(self.limit)
+
+    @staticmethod
+    def _place(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((begin.astype(np.uint64) << np.uint64(32)) + end.astype(np.uint64))
 
     def _keys(self, keyed: list[str]) -> np.ndarray:
-        """A hash of each chunk with its variant."""
+        """A hash of each chunk with its mark."""
         flat = np.frombuffer("".join(keyed).encode("utf-32-le"), np.uint32).astype(np.uint64)
         ends = np.cumsum([len(k) for k in keyed])
         begin = np.concatenate(([0], ends[:-1]))
@@ -182,7 +219,7 @@ class MergeDropout:
         made = self.merged(sym[r, c], sym[r, c + 1])
         rank = np.where(made >= 0, self.rank[np.maximum(made, 0)], _NONE)
         some = np.flatnonzero(made >= 0)
-        if self.limit and len(some):
+        if (self.limit or self.noted is not None) and len(some):
             # the end of a symbol is where the next one starts; the last one ends the chunk
             rs, cs = r[some], c[some]
             end = np.where(cs + 2 < start.shape[1], start[rs, np.minimum(cs + 2, start.shape[1] - 1)], start.shape[1])
@@ -191,7 +228,10 @@ class MergeDropout:
             else:
                 end = np.where(sym[rs, np.minimum(cs + 2, sym.shape[1] - 1)] == -2, 1 << 20, end)
                 end = np.where(cs + 2 >= sym.shape[1], 1 << 20, end)
-            rank[some[self.skipped(key[rs], start[rs, cs], end)]] = _NONE
+            if self.noted is not None:
+                self.noted.append((key[rs], self._place(start[rs, cs], end)))
+            else:
+                rank[some[self.skipped(key[rs], start[rs, cs], end)]] = _NONE
         pair[r, c], best[r, c] = made, rank
 
     def _one(self, ids: list[int], key: np.ndarray) -> list[int]:
@@ -248,49 +288,109 @@ class MergeDropout:
                 at += len(self.raw[s].decode())
         return np.array(out, np.int32).tobytes()
 
+    def _segment(self, part: list[str], keys: np.ndarray) -> list[bytes]:
+        """The ids of chunks with a mark at their end, which is not read."""
+        out: list[bytes] = [b""] * len(part)
+        sizes = np.array([len(k) - 1 for k in part])
+        flat = self.char[np.frombuffer("".join(part).encode("utf-32-le"), np.uint32)]
+        begin = np.concatenate(([0], np.cumsum(sizes + 1)))[:-1]
+        low = 0
+        for width in _WIDTHS:
+            which = np.flatnonzero((sizes > low) & (sizes <= width))
+            low = width
+            for b in range(0, len(which), 20_000):
+                w = which[b : b + 20_000]
+                cols = np.arange(width)
+                inside = cols[None] < sizes[w][:, None]
+                sym = np.where(inside, flat[np.minimum(begin[w][:, None] + cols, len(flat) - 1)], -2).astype(np.int32)
+                sym, lens = self._merge(sym, sizes[w].copy(), keys[w])
+                strange = (sym == -1).any(1)
+                ends = np.cumsum(lens) * 4
+                raw = sym[np.arange(width)[None] < lens[:, None]].astype(np.int32).tobytes()
+                for i, x, e, odd in zip(w.tolist(), (ends - lens * 4).tolist(), ends.tolist(), strange.tolist()):
+                    out[i] = self._ids(np.frombuffer(raw[x:e], np.int32).tolist(), part[i], None) if odd else raw[x:e]
+        for i in np.flatnonzero(sizes > _LONG):
+            found = self._one(flat[begin[i] : begin[i] + sizes[i]].tolist(), keys[i : i + 1])
+            out[i] = self._ids([s for s, _ in found], part[i], None)
+        return out
+
     def learn(self, missed: list[str]) -> None:
-        """Segments chunks; the last character of each is its variant."""
+        """Segments chunks; the last character of each is a mark."""
         for a in range(0, len(missed), 50_000):
             part = missed[a : a + 50_000]
-            keys = self._keys(part)
-            sizes = np.array([len(k) - 1 for k in part])
-            flat = self.char[np.frombuffer("".join(part).encode("utf-32-le"), np.uint32)]
-            begin = np.concatenate(([0], np.cumsum(sizes + 1)))[:-1]
-            low = 0
-            for width in _WIDTHS:
-                which = np.flatnonzero((sizes > low) & (sizes <= width))
-                low = width
-                for b in range(0, len(which), 20_000):
-                    w = which[b : b + 20_000]
-                    cols = np.arange(width)
-                    inside = cols[None] < sizes[w][:, None]
-                    sym = np.where(inside, flat[np.minimum(begin[w][:, None] + cols, len(flat) - 1)], -2).astype(np.int32)
-                    sym, lens = self._merge(sym, sizes[w].copy(), keys[w])
-                    strange = (sym == -1).any(1)
-                    ends = np.cumsum(lens) * 4
-                    raw = sym[np.arange(width)[None] < lens[:, None]].astype(np.int32).tobytes()
-                    for i, x, e, n, odd in zip(w.tolist(), (ends - lens * 4).tolist(), ends.tolist(), lens.tolist(), strange.tolist()):
-                        k = part[i]
-                        self.known[k] = self._ids(np.frombuffer(raw[x:e], np.int32).tolist(), k, None) if odd else raw[x:e]
-            for i in np.flatnonzero(sizes > _LONG):
-                k = part[i]
-                found = self._one(flat[begin[i] : begin[i] + sizes[i]].tolist(), keys[i : i + 1])
-                self.known[k] = self._ids([s for s, _ in found], k, None)
+            self.known.update(zip(part, self._segment(part, self._keys(part))))
+
+    def _note(self) -> None:
+        """Merges the chunks that are not known yet without dropout, and notes their candidates."""
+        missed, self.plain.missed = self.plain.missed, []
+        for a in range(0, len(missed), 50_000):
+            part = [c + "\0" for c in missed[a : a + 50_000]]
+            self.noted = [(np.empty(0, np.uint64), np.empty(0, np.uint64))]
+            try:
+                ids = self._segment(part, np.arange(len(part), dtype=np.uint64))
+                rows, hashes = map(np.concatenate, zip(*self.noted))
+            finally:
+                self.noted = None
+            rows = rows.astype(np.int64)
+            self.plain.add(ids, np.bincount(rows, minlength=len(part)), hashes[np.argsort(rows, kind="stable")])
+
+    def _vary(self, chunks: list[str], key: np.ndarray) -> list[bytes]:
+        """The ids of occurrences of chunks, each with its key."""
+        plain = self.plain
+        number = np.fromiter(map(plain.__getitem__, chunks), np.int64, len(chunks))
+        if plain.missed:
+            self._note()
+        first = plain.begin[number]
+        count = plain.begin[number + 1] - first
+        count[number == 0] = 0
+        ends = np.cumsum(count)
+        owner = np.repeat(np.arange(len(chunks)), count)
+        at = np.arange(len(owner)) + np.repeat(first - (ends - count), count)
+        anew = number == 0
+        anew[owner[mix(key[owner] + plain.hashes[at]) < np.uint64(self.limit)]] = True
+        out = list(map(plain.ids.__getitem__, number.tolist()))
+        which = np.flatnonzero(anew)
+        for i, ids in zip(which.tolist(), self._segment([chunks[i] + "\0" for i in which.tolist()], key[which]) if len(which) else []):
+            out[i] = ids
+        return out
 
     def encode(self, texts: list[str], keys: list[int]) -> list[bytes]:
-        """The ids of each text, as 32-bit numbers; a text's key says which variants its chunks take."""
+        """The ids of each text, as 32-bit numbers; a text's key and a chunk's number say which merges are skipped."""
+        split = [self.chunks(" " + text) if text else [] for text in texts]
+        if not self.limit:
+            return self._undropped(split)
+        # few texts of many chunks are looked at in parts, many of few together
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, own, n = [], [], 0
+        for t, (chunks, key) in enumerate(zip(split, keys)):
+            base = mix(np.array([key & (2**64 - 1)], np.uint64) + self.seed)
+            for a in range(0, len(chunks), _TOGETHER):
+                part = chunks[a : a + _TOGETHER]
+                held.append((t, part))
+                own.append(mix(np.arange(a, a + len(part), dtype=np.uint64) + base))
+                n += len(part)
+                if n >= _TOGETHER:
+                    self._flush(held, own, out)
+                    held, own, n = [], [], 0
+        if held:
+            self._flush(held, own, out)
+        return list(map(b"".join, out))
+
+    def _flush(self, held: list[tuple[int, list[str]]], own: list[np.ndarray], out: list[list[bytes]]) -> None:
+        if len(self.plain) > _CACHE:
+            self.plain = _Plain()
+        made, a = self._vary([c for _, part in held for c in part], np.concatenate(own)), 0
+        for t, part in held:
+            out[t].append(b"".join(made[a : a + len(part)]))
+            a += len(part)
+
+    def _undropped(self, split: list[list[str]]) -> list[bytes]:
+        """The model's own encoding."""
         if len(self.known) > _CACHE:
             self.known.clear()
-        known, split, found = self.known, [], []
-        marks = [chr(0xF0000 + v) for v in range(self.variants)]
-        for text, key in zip(texts, keys):
-            chunks = self.chunks(" " + text) if text else []
-            if self.variants > 1 and self.limit:
-                which = mix(np.arange(len(chunks), dtype=np.uint64) + mix(np.array([key & (2**64 - 1)], np.uint64) + self.seed))
-                chunks = [c + marks[v] for c, v in zip(chunks, (which % np.uint64(self.variants)).tolist())]
-            else:
-                chunks = [c + marks[0] for c in chunks]
-            split.append(chunks)
+        known, found = self.known, []
+        split = [[c + "\0" for c in chunks] for chunks in split]
+        for chunks in split:
             found.append(list(map(known.__getitem__, chunks)))
         missed, known.missed = known.missed, []
         self.learn(missed)
@@ -309,14 +409,14 @@ class MergeDropout:
 
 
 @functools.cache
-def encoder(path: str, seed: int, rate: float, variants: int) -> MergeDropout:
+def encoder(path: str, seed: int, rate: float) -> MergeDropout:
     """One for all tasks of a worker."""
-    return MergeDropout(path, seed, rate, variants)
+    return MergeDropout(path, seed, rate)
 
 
-def _encode(path: str, seed: int, rate: float, variants: int):
+def _encode(path: str, seed: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, seed, rate, variants)
+        coder = encoder(path, seed, rate)
         for batch in batches:
             for a in range(0, len(batch), 512):
                 part = batch.slice(a, 512)
@@ -332,18 +432,18 @@ def _encode(path: str, seed: int, rate: float, variants: int):
     return tidy(run)
 
 
-def encode(docs: DataFrame, path: str | None = None, seed: int = SEED, rate: float = RATE, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, seed: int = SEED, rate: float = RATE) -> DataFrame:
     """doc_id, ids, n_tokens, lossless (decoding gives the text back), a row per row of docs.
 
-    A null or empty text has no ids; a null doc_id counts as 0 for the choice of variants and stays null; repeated rows
+    A null or empty text has no ids; a null doc_id counts as 0 for the choice of merges and stays null; repeated rows
     are encoded alike. Other columns are ignored; an empty table gives no rows."""
     return docs.select("doc_id", "text").mapInArrow(
-        _encode(path or model_path(), seed, rate, variants), "doc_id long, ids array<int>, n_tokens long, lossless boolean")
+        _encode(path or model_path(), seed, rate), "doc_id long, ids array<int>, n_tokens long, lossless boolean")
 
 
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, SEED, 0.0, 1)
+        coder = encoder(path, SEED, 0.0)
         for batch in batches:
             texts = [coder.decode(np.array(x or [], np.int32).tobytes()) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])

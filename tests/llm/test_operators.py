@@ -240,6 +240,22 @@ def test_merge_dropout_agrees_with_a_heap():
         assert np.frombuffer(coder.known[c], np.int32).tolist() == [s for s, _ in coder._one(flat, coder._keys([c]))]
 
 
+def test_merge_dropout_varies_every_occurrence():
+    coder = merge_dropout.MergeDropout(merge_dropout.model_path())
+    word = "international"
+    coded = coder.encode([word] * 400, list(range(400)))
+    assert len(set(coded)) > 10
+    texts = [f"{word} {word}\n日本 {'x' * 100} {word}, thenioth"] * 20
+    together = coder.encode(texts, list(range(20)))
+    for d, (text, got) in enumerate(zip(texts, together)):
+        assert coder.encode([text], [d]) == [got] and coder.decode(got) == text
+        want = b""
+        for i, c in enumerate(coder.chunks(" " + text)):
+            key = merge_dropout.mix(np.array([i], np.uint64) + merge_dropout.mix(np.array([d], np.uint64) + coder.seed))
+            want += coder._ids([s for s, _ in coder._one(coder.char[[ord(x) for x in c]].tolist(), key)], c, None)
+        assert got == want
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     vectors = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(600)]
