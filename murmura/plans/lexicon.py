@@ -82,12 +82,12 @@ _GOOD, _BAD = frozenset({"the", "and", "les", "und"}), frozenset({"of", "that",
 
 
 def _taught(s, d):
-    return teacher.label(sent(s, d).where("sentence_idx < 2").select("doc_id", "sentence_idx", "sentence"), teacher.LexiconTeacher(_GOOD, _BAD), "sentence")
+    return teacher.label(sent(s, d).select("doc_id", "sentence_idx", "sentence"), teacher.LexiconTeacher(_GOOD, _BAD), "sentence")
 
 
 def _student(s, d):
     rows = _taught(s, d)
-    model = student.train(rows, "sentence", features=1 << 10, iterations=5)
+    model = student.train(rows, "sentence")
     return student.predict(model, rows.drop("pred_label", "confidence"))
 
 
@@ -100,6 +100,9 @@ QUERIES = {
     "substring_terms": (
         lambda s, d: lexicon.substrings(sent(s, d).where("sentence_idx < 2"), terms(s)).select(*KEY, "term"),
         f"with {TERMS}, {SENT}, t as (select distinct term from terms) select doc_id, sentence_idx, term from sent, t where sentence_idx < 2 and contains(sentence, term)"),
+    "substring_terms_whole": (
+        lambda s, d: lexicon.substrings(sent(s, d), terms(s)).select(*KEY, "term"),
+        f"with {TERMS}, {SENT}, t as (select distinct term from terms) select doc_id, sentence_idx, term from sent, t where contains(sentence, term)"),
     "tag_coverage": (
         lambda s, d: rounded(coverage.tag_counts(sent(s, d), tagged(s, d), KEY)),
         f"""with {TAGGED}, n as (select (select count(*) from sent) as total, (select count(distinct (doc_id, sentence_idx)) from tagged) as covered) select total, covered, round(covered / total, 6) as ratio from n"""),
@@ -137,6 +140,9 @@ QUERIES = {
     "pool_tagged": (
         lambda s, d: _pool(s, d).where("sentence_idx < 3").join(tagged(s, d).select(*KEY, "hit_term"), KEY, "left").select(*KEY, "hit_term"),
         f"with {TAGGED} select doc_id, sentence_idx, hit_term from sent left join tagged using (doc_id, sentence_idx) where length(sentence) >= 6 and sentence_idx < 3"),
+    "pool_tagged_whole": (
+        lambda s, d: _pool(s, d).join(tagged(s, d).select(*KEY, "hit_term"), KEY, "left").select(*KEY, "hit_term"),
+        f"with {TAGGED} select doc_id, sentence_idx, hit_term from sent left join tagged using (doc_id, sentence_idx) where length(sentence) >= 6"),
     "term_samples": (_sampled, f"with {_SAMPLED} select * from smp"),
     "term_stats": (
         lambda s, d: _term_counts(s, d).where("df >= 3"),

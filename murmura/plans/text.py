@@ -114,6 +114,9 @@ QUERIES = {
     "prompt_text": (
         lambda s, d: sent(s, d).where("sentence_idx < 3").select("doc_id", "sentence_idx", text.prompt(F.lit("looks"), F.lit("shape"), F.col("sentence")).alias("prompt")),
         f"with {SENT} select doc_id, sentence_idx, '[looks::shape] ' || regexp_replace(sentence, '[\\r\\n]+', ' ', 'g') as prompt from sent where sentence_idx < 3"),
+    "prompt_text_whole": (
+        lambda s, d: sent(s, d).select("doc_id", "sentence_idx", text.prompt(F.lit("looks"), F.lit("shape"), F.col("sentence")).alias("prompt")),
+        f"with {SENT} select doc_id, sentence_idx, '[looks::shape] ' || regexp_replace(sentence, '[\\r\\n]+', ' ', 'g') as prompt from sent"),
     "file_name": (
         lambda s, d: documents(s, d).select("doc_id", text.file_name(F.substring("text", 1, 150)).alias("name")),
         rf"""select doc_id, substr(regexp_replace({_STRIPX.format("substr(text, 1, 150)")}, '[\\/:*?"<>|\s]+', '_', 'g'), 1, 120) as name from documents"""),
@@ -142,8 +145,8 @@ QUERIES = {
 }
 
 
-def _prompts(s, d):
-    rows = sent(s, d).where("sentence_idx < 2").select(
+def _prompts(s, d, some="sentence_idx < 2"):
+    rows = sent(s, d).where(some).select(
         "*", (F.col("doc_id") % 4).alias("shard"), F.lit("looks").alias("aspect_l1"), F.lit("shape").alias("aspect_l2"))
     return ingest.packed_prompts(rows, 5, ["doc_id", "sentence_idx"])
 
@@ -166,6 +169,10 @@ QUERIES |= {
         _prompts,
         f"""with {SENT}, k as (select doc_id % 4 as shard, row_number() over (partition by doc_id % 4 order by doc_id, sentence_idx) - 1 as k, sentence from sent where sentence_idx < 2)
         select shard, k // 5 as batch, string_agg((k % 5 + 1) || '. [looks::shape] ' || regexp_replace(sentence, '[\\r\\n]+', ' ', 'g'), chr(10) order by k) as prompt, count(*) as n from k group by 1, 2"""),
+    "prompt_pack_whole": (
+        lambda s, d: _prompts(s, d, "true"),
+        f"""with {SENT}, k as (select doc_id % 4 as shard, row_number() over (partition by doc_id % 4 order by doc_id, sentence_idx) - 1 as k, sentence from sent)
+        select shard, k // 5 as batch, string_agg((k % 5 + 1) || '. [looks::shape] ' || regexp_replace(sentence, '[\\r\\n]+', ' ', 'g'), chr(10) order by k) as prompt, count(*) as n from k group by 1, 2"""),
     "good_terms": (
         _good,
         f"""with t as (select doc_id, unnest({_TOKENS.format('text')}) as term from documents), c as (select term from t group by 1 having count(distinct doc_id) >= 3)

@@ -53,6 +53,15 @@ def test_has_rows(spark, name):
     assert QUERIES[name][0](spark, SF).count() > 0
 
 
+@pytest.mark.parametrize("name", ["teacher", "student_predict"])
+def test_labels_every_sentence(spark, db, name):
+    from murmura.plans.proxy import SENT
+
+    told = db.sql(f"with {SENT} select doc_id, sentence_idx from sent").df()
+    made = QUERIES[name][0](spark, SF).select("doc_id", "sentence_idx").toPandas()
+    assert sorted(map(tuple, made.to_numpy().tolist())) == sorted(map(tuple, told.to_numpy().tolist()))
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
