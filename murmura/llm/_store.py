@@ -1,4 +1,8 @@
-"""Shared scratch folder and tables that cut lineage."""
+"""Shared scratch folder and tables that cut lineage.
+
+A task's number is no unique number: a caller may coalesce what an operator returns, and one task then runs the function
+over several partitions. Operators that number what they make take spark_partition_id() as a column of their input, which
+tells these partitions apart, or a name drawn within the call."""
 from __future__ import annotations
 
 import tempfile
@@ -14,6 +18,8 @@ def scratch(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir as a URI, or a local one where it is unset (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = _own.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="murmura-")
         _own[spark.sparkContext.applicationId] = folder
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -32,16 +38,10 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
-def few(df: DataFrame) -> DataFrame:
-    """df in a quarter of the session's shuffle partitions, but three for each core at least: fewer, larger files."""
-    spark = df.sparkSession
-    return df.coalesce(max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 4, 3 * spark.sparkContext.defaultParallelism))
-
-
 def table(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the scratch folder as Parquet and reads it again: a lost executor costs no recomputation."""
     path = fresh(df.sparkSession, name)
-    few(df).write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

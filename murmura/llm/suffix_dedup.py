@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmura.llm._anchors import anchors
-from murmura.llm._store import few, table
+from murmura.llm._store import table
 from murmura.llm._text import BYTE_VALUE, PrefixHash, _power, columns, mix, pieces, tidy
 
 WINDOW = 100
@@ -400,5 +400,4 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Repeated strings of 100 bytes over all documents."""
-    found = few(removed_spans(spark.read.parquet(f"{sf_dir}/documents.parquet")))
-    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    return removed_spans(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")

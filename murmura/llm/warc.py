@@ -9,11 +9,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +21,8 @@ from murmura.llm._store import fresh, table
 
 #: Ranges closer than GAP are read as one, up to SPAN bytes; a file is dealt to tasks in stretches of SPAN.
 GAP, SPAN = 64 << 10, 8 << 20
+#: Tasks that read at most.
+READERS = 100_000
 DATE = "2000-01-01T00:00:00Z"
 
 INDEX = "page_id long, url string, file string, offset long, length long, digest string, payload_bytes long, record_type string, refers_to long"
@@ -68,10 +70,9 @@ def _write(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        task = TaskContext.get()
         store, path = fs.FileSystem.from_uri(folder)
         store.create_dir(path)
-        name = f"pages-{task.partitionId():06d}-{task.taskAttemptId()}.warc.gz"
+        name = f"pages-{uuid.uuid4().hex}.warc.gz"  # drawn in this call: no other, and no second attempt, writes to it
         out, at = None, 0
         for batch in batches:
             rows = []
@@ -156,10 +157,13 @@ def write_archives(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records of any selection of an index, by coalesced reads of sorted byte ranges."""
+    """The records of any selection of an index, by coalesced reads of sorted byte ranges.
+
+    The number of tasks follows the bytes to read, not those of the index, which is small."""
+    size = index.agg(F.sum("length")).first()[0] or 0
     return (
         index.select("file", "offset", "length")
-        .repartition("file", F.floor(F.col("offset") / SPAN)).sortWithinPartitions("file", "offset")
+        .repartition(min(max(1, -(-size // SPAN)), READERS), "file", F.floor(F.col("offset") / SPAN)).sortWithinPartitions("file", "offset")
         .mapInArrow(_read(with_payload), RECORDS))
 
 
