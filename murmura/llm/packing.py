@@ -15,8 +15,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from murmura.llm._text import tidy
 
@@ -152,9 +152,9 @@ def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 class Packer:
     """The open bins of one worker. A piece: doc_id, start, its ids, the document's tokens."""
 
-    def __init__(self, capacity: int, worker: int) -> None:
+    def __init__(self, capacity: int) -> None:
         self.capacity, self.open, self.rows = capacity, {}, []
-        self.next = worker << 32
+        self.next = 0
 
     def add(self, doc_id, ids: np.ndarray) -> None:
         start = 0
@@ -195,7 +195,7 @@ class Packer:
 def _pack(path: str, capacity: int, end: int | None, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(path)
-        packer = Packer(capacity, TaskContext.get().partitionId())
+        packer = Packer(capacity)
 
         def rows() -> pa.RecordBatch:
             cols = list(zip(*packer.rows)) or [[] for _ in range(8)]
@@ -210,6 +210,8 @@ def _pack(path: str, capacity: int, end: int | None, with_ids: bool) -> Callable
         tail = b"" if end is None else np.array([end], "<u4").tobytes()
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
+            if ids and not packer.next:
+                packer.next = batch.column("part")[0].as_py() << 32
             for a in range(0, len(ids), 512):
                 texts = [t or b"" for t in batch.column("text").slice(a, 512).cast(pa.binary()).to_pylist()]
                 for doc_id, coded in zip(ids[a : a + 512], tokenizer.encode(texts)):
@@ -226,10 +228,10 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids if asked for.
 
     A document's ids are the tokenizer's, and `end`. Pieces of a sequence follow each other without gaps; sequence_id
-    holds the worker's number in its upper half. A null text is empty and packs as its end id alone; a null doc_id
+    holds the number of the partition in its upper half. A null text is empty and packs as its end id alone; a null doc_id
     stays null; rows with the same doc_id are packed one by one. An empty table gives no rows. capacity must be a power of two."""
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(
         _pack(path or tokenizer_path(), capacity, end, with_ids), schema + (", ids array<int>" if with_ids else ""))
 
 
