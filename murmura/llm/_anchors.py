@@ -5,6 +5,7 @@ import numpy as np
 
 from murmura.llm._text import PrefixHash, mix
 
+#: Bits of a position among the bytes at hand; callers hand over less than 2**_POS bytes.
 _POS = 28
 _MASK = np.uint64((1 << _POS) - 1)
 
@@ -24,6 +25,8 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, k: int) -> tuple[np.
     Neighbouring windows with the same k-gram are one group. Returns for each group: text index, first and last
     window start (from the start of the text), hash of the k-gram, hash of all bytes under the group's windows.
     """
+    if len(data) >> _POS:
+        raise ValueError("too many bytes at once")
     empty = np.zeros(0, np.int64)
     if len(data) < window:
         return empty, empty, empty, empty, empty
@@ -47,3 +50,9 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, k: int) -> tuple[np.
     whole = mix(prefix.of(lo, hi + window) ^ mix((((hi - lo) << 16) + (pos - lo)).astype(np.uint64)))
     doc = np.searchsorted(off, lo, side="right") - 1
     return doc, lo - off[doc], hi - off[doc], h[pos].view(np.int64), whole.view(np.int64)
+
+
+
+def content_check(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the size bytes at each place that shares neither base nor byte values with the one of anchors()."""
+    return mix(PrefixHash(data, "check").of(at, at + size) + size.astype(np.uint64)).view(np.int64) if len(at) else np.zeros(0, np.int64)

@@ -15,8 +15,8 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = U64(0x9E3779B97F4A7C15)
-_BASE_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BASES = {"base": 0x9E3779B97F4A7C15, "check": 0xD1342543DE82EF95}
+_BASES |= {f"{k} inverse": pow(b, -1, 1 << 64) for k, b in _BASES.items()}
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -45,25 +45,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: A 64-bit value for each byte, so that the polynomial hash has no low-order structure.
 BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * U64(0xD6E8FEB86659FD93)) | U64(1)
+_VALUES = {"base": BYTE_VALUE, "check": mix(np.arange(1, 257, dtype=np.uint64) * U64(0xAEF17502108EF2D9)) | U64(1)}
 
 
 def _power(kind: str, n: int) -> np.ndarray:
     have = _powers.get(kind)
     if have is None or len(have) < n:
         size = max(1 << 20, 1 << (n - 1).bit_length())
-        steps = np.full(size, _BASE if kind == "base" else _BASE_INV, np.uint64)
+        steps = np.full(size, _BASES[kind], np.uint64)
         steps[0] = 1
         have = _powers[kind] = np.cumprod(steps)
     return have[:n]
 
 
 class PrefixHash:
-    """Prefix polynomial hashes modulo 2**64: any substring's hash in constant time."""
+    """Prefix polynomial hashes modulo 2**64: any substring's hash in constant time. Two kinds are independent."""
 
-    def __init__(self, data: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, kind: str = "base") -> None:
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE_VALUE[data] * _power("base", len(data)), out=self.sums[1:])
-        self.inverse = _power("inverse", len(data) + 1)
+        np.cumsum(_VALUES[kind][data] * _power(kind, len(data)), out=self.sums[1:])
+        self.inverse = _power(f"{kind} inverse", len(data) + 1)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.inverse[start]

@@ -6,11 +6,13 @@ the same one) is removed; strings are judged on the input and never cross docume
 1. Windows are grouped by their anchor (the smallest k-gram hash in them), which only their content decides, so equal
    windows have equal anchors. One row per group of neighbouring windows goes to the shard of its anchor.
    Of equal groups that one worker holds only the first goes there, so what repeats often does not crowd a shard.
-2. Groups whose whole content was seen before are removed as they are. Only the first group of each content is left,
-   and only where its anchor also stands in other content: these are the ends of repeats.
+2. Groups whose whole content was seen before are removed as they are: within a worker the bytes are compared, between
+   workers two independent 64-bit hashes and the length of the content. Only the first group of each content is left, and
+   only where its anchor also stands in other content: these are the ends of repeats.
 3. The texts of those groups meet in the anchor's shard. Their suffixes are mergesorted; two suffixes are compared by
-   the length of their common extension, found by binary search over prefix polynomial hashes. Equal neighbours are
-   compared byte by byte. The first of equal windows stays.
+   the length of their common extension, found by binary search over prefix polynomial hashes. Every two neighbours of
+   the result are compared byte by byte; where a collision of hashes has put them in a wrong order, the windows at hand
+   are sorted by their bytes. The first of equal windows stays.
 
 An anchor with more than HOT contents is split: each of its windows goes to a shard of its own hash.
 """
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm._anchors import anchors
+from murmura.llm._anchors import anchors, content_check
 from murmura.llm._store import table
 from murmura.llm._text import BYTE_VALUE, PrefixHash, _power, columns, mix, pieces, tidy
 
@@ -33,34 +35,65 @@ WINDOW = 100
 HOT = 20_000
 #: Crowded anchors that are broadcast at most.
 BROADCAST = 100_000
+#: Bytes of one text whose windows are grouped at once; the windows of a longer text are grouped stretch by stretch.
+STRETCH = 1 << 22
 _BATCH = 1 << 20
 
 
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the size bytes at a and at b are equal, each size above 0."""
+    out = np.empty(len(a), bool)
+    for i in range(0, len(a), 20_000):
+        n = size[i : i + 20_000]
+        ends = np.cumsum(n)
+        inner = np.arange(ends[-1]) - np.repeat(ends - n, n)
+        alike = data[np.repeat(a[i : i + 20_000], n) + inner] == data[np.repeat(b[i : i + 20_000], n) + inner]
+        out[i : i + 20_000] = np.logical_and.reduceat(alike, ends - n)
+    return out
+
+
 def _groups(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = columns(batch)
             ids = np.asarray(batch.column("doc_id"))
             for i, j in pieces(off):
-                doc, lo, hi, key, whole = anchors(data[off[i] : off[j]], off[i : j + 1] - off[i], window, window // 2)
-                doc = ids[i:j][doc]
-                # Of groups with one content only the first needs its anchor's shard; the others are dealt evenly.
-                order = np.lexsort((lo, doc, whole))
-                o_whole, o_doc, o_lo = whole[order], doc[order], lo[order]
-                head = np.maximum.accumulate(np.where(np.concatenate(([True], o_whole[1:] != o_whole[:-1])), np.arange(len(order)), 0)) if len(order) else order
-                known = np.zeros(len(order), bool)
-                known[order] = (o_doc != o_doc[head]) | (o_lo != o_lo[head])
-                key = np.where(known, mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lo.astype(np.uint64)).view(np.int64), key)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc), pa.array(lo.astype(np.int32)), pa.array((hi - lo).astype(np.int16)), pa.array(key), pa.array(whole), pa.array(known)],
-                    ["doc_id", "lo", "more", "anchor", "content", "known"])
+                own, at = data[off[i] : off[j]], off[i : j + 1] - off[i]
+                if len(at) > 2 or at[-1] <= STRETCH:
+                    yield grouped(ids[i:j], own, at, 0)
+                else:
+                    for a in range(0, len(own) - window + 1, STRETCH):
+                        part = own[a : a + STRETCH + window - 1]
+                        yield grouped(ids[i:j], part, np.array([0, len(part)]), a)
+
+    def grouped(ids: np.ndarray, data: np.ndarray, off: np.ndarray, begin: int) -> pa.RecordBatch:
+        """The groups of the windows of texts, or of a stretch of one text that begins there."""
+        row, lo, hi, key, whole = anchors(data, off, window, window // 2)
+        at, size = off[row] + lo, hi - lo + window
+        check = content_check(data, at, size)
+        doc, lo = ids[row], lo + begin
+        # Of groups with one content only the first needs its anchor's shard; the others are dealt evenly.
+        order = np.lexsort((lo, doc, check, whole))
+        new = np.ones(len(order), bool)
+        new[1:] = (whole[order][1:] != whole[order][:-1]) | (check[order][1:] != check[order][:-1])
+        head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0)) if len(order) else order
+        first = np.empty_like(order)
+        first[order] = order[head]
+        known = (doc != doc[first]) | (lo != lo[first])
+        again = np.flatnonzero(known)
+        if len(again):
+            known[again] = (size[again] == size[first[again]]) & _same_bytes(data, at[again], at[first[again]], np.minimum(size[again], size[first[again]]))
+        key = np.where(known, mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lo.astype(np.uint64)).view(np.int64), key)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc), pa.array(lo.astype(np.int32)), pa.array((size - window).astype(np.int16)), pa.array(key), pa.array(whole), pa.array(check), pa.array(known)],
+            ["doc_id", "lo", "more", "anchor", "content", "check", "known"])
 
     return tidy(run)
 
 
 @tidy
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by anchor, content, doc_id, lo: which groups repeat whole ones, which may repeat in part.
+    """Over rows sorted by anchor, content, check, more, doc_id, lo: which groups repeat whole ones, which may repeat in part.
 
     Keeps a row for each content of the anchor at hand only while it is its first; memory doesn't follow the group."""
     last_anchor = last_content = None
@@ -77,9 +110,10 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(batch)
         if not n:
             continue
-        anchor, content, doc, lo, more = (np.asarray(batch.column(c)) for c in ("anchor", "content", "doc_id", "lo", "more"))
+        anchor, content, check, doc, lo, more = (np.asarray(batch.column(c)) for c in ("anchor", "content", "check", "doc_id", "lo", "more"))
         new_anchor = np.concatenate(([anchor[0] != last_anchor], anchor[1:] != anchor[:-1]))
-        new = new_anchor | np.concatenate(([content[0] != last_content], content[1:] != content[:-1]))
+        new = new_anchor | np.concatenate((
+            [(content[0], check[0], more[0]) != last_content], (content[1:] != content[:-1]) | (check[1:] != check[:-1]) | (more[1:] != more[:-1])))
         head = np.maximum.accumulate(np.where(new, np.arange(n), -1))
         hd, hl = doc[head], lo[head]
         if not new[0]:
@@ -96,7 +130,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not starts[0]:
                 extra = lone
             lone = (doc[at[-1]], lo[at[-1]], more[at[-1]], anchor[at[-1]]) if starts[-1] else None
-        last_anchor, last_content = anchor[-1], content[-1]
+        last_anchor, last_content = anchor[-1], (content[-1], check[-1], more[-1])
         first = (hd[-1], hl[-1])
         keep = covered | edge
         cols = [doc[keep], lo[keep].astype(np.int32), more[keep].astype(np.int16), edge[keep], anchor[keep]]
@@ -234,13 +268,26 @@ def repeated_windows(data: np.ndarray, ends: np.ndarray, shard: np.ndarray, wind
     out = np.zeros(len(pos), bool)
     if len(p) < 2:
         return out
-    alike = np.flatnonzero((s[1:] == s[:-1]) & sort.same(p[1:], p[:-1], window))
     views = np.lib.stride_tricks.sliding_window_view(data, window)
-    for part in np.array_split(alike, max(1, len(alike) // 20_000)):
-        exact = (views[p[part + 1]] == views[p[part]]).all(1)
-        if not exact.all():
-            raise ValueError("two different strings have one hash; choose another base")
-        out[sorted_windows[part + 1]] = True
+    inside = np.flatnonzero(s[1:] == s[:-1])
+    for part in np.array_split(inside, max(1, len(inside) // 20_000)):
+        differ = views[p[part]] != views[p[part + 1]]
+        at = differ.argmax(1)
+        equal = ~differ[np.arange(len(part)), at]
+        if (~equal & (data[p[part] + at] > data[p[part + 1] + at])).any():
+            return _by_bytes(views, pos, shard[ctx])
+        out[sorted_windows[part[equal] + 1]] = True
+    return out
+
+
+def _by_bytes(views: np.ndarray, pos: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """The same without any hash, for windows whose hashes collide."""
+    seen: set[tuple[int, bytes]] = set()
+    out = np.zeros(len(pos), bool)
+    for i, (at, own) in enumerate(zip(pos.tolist(), shard.tolist())):
+        key = (own, views[at].tobytes())
+        out[i] = key in seen
+        seen.add(key)
     return out
 
 
@@ -360,9 +407,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
 
     Rows with the same doc_id are one document. A null doc_id takes no part; a null text is empty."""
     texts = docs.select("doc_id", "text").where("doc_id is not null")
-    groups = texts.mapInArrow(_groups(window), "doc_id long, lo int, more short, anchor long, content long, known boolean")
+    groups = texts.mapInArrow(_groups(window), "doc_id long, lo int, more short, anchor long, content long, check long, known boolean")
     judged = table(
-        groups.repartition("anchor").sortWithinPartitions("anchor", "content", "doc_id", "lo")
+        groups.repartition("anchor").sortWithinPartitions("anchor", "content", "check", "more", "doc_id", "lo")
         .mapInArrow(_judge, "doc_id long, lo int, more short, edge boolean, anchor long"), "repeats")
     edges = judged.where("edge")
     crowded = edges.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot"))
