@@ -26,11 +26,12 @@ from murmura.llm._store import table
 from murmura.llm._text import columns, mix, pieces, shingle_sets, tidy
 
 COORDS = 64
-#: Classes of a cluster that one task compares at most, besides as many again of another block.
-BLOCK = 2048
+#: Classes of a cluster that one task compares at most, besides as many again of another block; the blocks that a cluster
+#: is cut into at least before they are that large; and the bytes of shingles that a block holds.
+BLOCK, BLOCKS, BLOCK_BYTES = 2048, 16, 64 << 20
 HOT_PARTS = 1000
 #: Texts of a posting list that one task compares at most, besides as many again of another part of the list.
-POSTED = 20_000
+POSTED = 8192
 #: Crowded coordinate values that are broadcast at most.
 BROADCAST = 100_000
 
@@ -100,15 +101,17 @@ def _stars(adjacent, n: int) -> np.ndarray:
     return root
 
 
-def _posting_links(least: int):
-    """Over rows sorted by key: a star of links for each part of a posting list that is connected by signatures."""
+def _posting_links(least: int, percent: int):
+    """Over rows sorted by key: a star of links for each part of a posting list that is connected by signatures.
+
+    Texts whose numbers of shingles are too far apart for a link are told by these alone."""
 
     def groups(batches):
         held = []
         last = None
         for batch in batches:
             key = np.asarray(batch.column("key"))
-            ids = np.asarray(batch.column("rep"))
+            ids, sizes = np.asarray(batch.column("rep")), np.asarray(batch.column("n_shingles"))
             sig = batch.column("sig")
             flat = np.frombuffer(sig.buffers()[2], np.uint8)[sig.offset * COORDS :][: len(sig) * COORDS].reshape(-1, COORDS)
             cuts = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)])) if len(key) else [0]
@@ -116,7 +119,7 @@ def _posting_links(least: int):
                 if last is not None and key[a] != last:
                     yield held
                     held = []
-                held.append((ids[a:b], flat[a:b]))
+                held.append((ids[a:b], flat[a:b], sizes[a:b]))
                 last = key[a]
         if held:
             yield held
@@ -127,8 +130,15 @@ def _posting_links(least: int):
             if len(held) == 1 and len(held[0][0]) == 1:
                 continue
             ids = np.concatenate([x[0] for x in held])
-            sig = np.concatenate([x[1] for x in held])
-            root = _stars(lambda i, rest, sig=sig: (sig[rest] == sig[i]).sum(1) >= least, len(ids))
+            sig, size = (np.concatenate([x[k] for x in held]) for k in (1, 2))
+
+            def adjacent(i: int, rest: np.ndarray, sig=sig, size=size) -> np.ndarray:
+                hit = (100 * size[rest] >= percent * size[i]) & (percent * size[rest] <= 100 * size[i])
+                some = np.flatnonzero(hit)
+                hit[some] = (sig[rest[some]] == sig[i]).sum(1) >= least
+                return hit
+
+            root = _stars(adjacent, len(ids))
             away = np.flatnonzero(root != np.arange(len(ids)))
             a.extend(ids[root[away]].tolist())
             b.extend(ids[away].tolist())
@@ -200,7 +210,7 @@ def sketches(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
 
 
 def _dealt(posts: DataFrame, most: int | None = None) -> DataFrame:
-    """posts(rep, sig, key) with the lists of crowded keys dealt out as pairs of parts, so that every pair of texts still meets."""
+    """posts(rep, n_shingles, sig, key) with the lists of crowded keys dealt out as pairs of parts, so that every pair of texts still meets."""
     most = most or POSTED
     parts = F.ceil(F.col("n") / most).cast("int")
     crowded = posts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key", parts.alias("parts"))
@@ -208,7 +218,7 @@ def _dealt(posts: DataFrame, most: int | None = None) -> DataFrame:
     mine = F.pmod(F.xxhash64("rep"), F.col("parts").cast("long")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)))
     keys = F.when(F.col("parts").isNull(), F.array("key")).otherwise(pairs)
-    return posts.join(known, "key", "left").select("rep", "sig", F.explode(keys).alias("key"))
+    return posts.join(known, "key", "left").select("rep", "n_shingles", "sig", F.explode(keys).alias("key"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, block: int = BLOCK) -> DataFrame:
@@ -227,14 +237,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, block:
     # A class posts once, from its first row; the light join leaves the signatures where they were written.
     firsts = some.join(
         groups.select("h1", "h2", "n_shingles", F.col("rep").alias("doc_id")), ["h1", "h2", "n_shingles", "doc_id"], "left_semi"
-    ).select(F.col("doc_id").alias("rep"), "sig", "keys")
-    posts = firsts.select("rep", "sig", F.explode("keys").alias("key"))
+    ).select(F.col("doc_id").alias("rep"), "n_shingles", "sig", "keys")
+    posts = firsts.select("rep", "n_shingles", "sig", F.explode("keys").alias("key"))
     links = table(
         _dealt(posts).repartition("key").sortWithinPartitions("key", "rep")
-        .mapInArrow(_posting_links(least), "a long, b long").distinct(), "candidates")
+        .mapInArrow(_posting_links(least, percent), "a long, b long").distinct(), "candidates")
     clusters = table(components(links), "clusters")
-    sizes = clusters.groupBy("label").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / block).cast("int")
+    sizes = clusters.join(groups.select(F.col("rep").alias("node"), "n_shingles"), "node").groupBy("label").agg(
+        F.count("*").alias("size"), F.sum("n_shingles").alias("shingles"))
+    most = F.least(F.lit(block), F.greatest(F.lit(block // 4 + 1), F.col("size") / BLOCKS))
+    blocks = F.ceil(F.greatest(F.col("size") / most, 8 * F.col("shingles") / BLOCK_BYTES)).cast("int")
     dealt = clusters.join(sizes, "label").select(
         "node", F.col("label").alias("cluster"), blocks.alias("nb"), F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int").alias("mine"))
     dealt = dealt.select(
