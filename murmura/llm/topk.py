@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from murmura.llm._store import table
 
-SAMPLE, PIVOTS, ANNULI, BLOCK, QUERIES = 16_384, 64, 2048, 2048, 2048
+SAMPLE, PIVOTS, ANNULI, BLOCK, QUERIES = 16_384, 64, 2048, 2048, 8192
 
 _KEYED = "vec_id long, dim int, pivot int, r double, norm double, vec binary"
 
@@ -177,12 +177,15 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
     queries = table(queries.groupBy("query_id").agg(F.min(F.struct("dim", "vec")).alias("x")).select("query_id", "x.dim", "x.vec"), "queries")
     chunks = max(1, -(-queries.count() // QUERIES))
     chunk = F.pmod(F.xxhash64("query_id"), F.lit(chunks))
-    vectors = index.vectors.select("dim", "pivot", "annulus", "block", "vec_id", "vec", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
+    place = ["dim", "pivot", "annulus", "block"]
     schema = "q_dim int, q_pivot int, q_annulus int, q_block long, query_id long, least double, q binary"
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def visit(asked: DataFrame, first: bool) -> DataFrame:
         routed = asked.mapInPandas(_route(index.annuli, index.pivots, k, first), schema).withColumn("q_chunk", chunk)
+        # Vectors go only to the chunks of queries that visit their block; a block that none visits isn't sent anywhere.
+        visited = routed.select(*(F.col(f"q_{c}").alias(c) for c in place), "q_chunk").groupBy(*place).agg(F.collect_set("q_chunk").alias("chunks"))
+        vectors = index.vectors.join(visited, place).select(*place, "vec_id", "vec", F.explode("chunks").alias("chunk"))
         return (
             vectors.groupBy("dim", "pivot", "annulus", "block", "chunk")
             .cogroup(routed.groupBy("q_dim", "q_pivot", "q_annulus", "q_block", "q_chunk"))
