@@ -290,7 +290,7 @@ def test_top_k_of_small_blocks(spark, monkeypatch):
 def test_licences(spark, none):
     rows = [(1, "Hello\nReleased under the MIT License.\nbye"), (2, "released UNDER the mit license"), (3, None), (4, ""), (5, "Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0."), (6, "word " * 3000), (7, "the MIT")]
     frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA).withColumn("line", F.lit(1)).withColumn("size", F.lit(1))
-    got = {(r["doc_id"], r["line"], r["licence"]) for r in licences.scan(frame).where("dice = 1").collect()}
+    got = {(r["doc_id"], r["place"], r["licence"]) for r in licences.scan(frame).where("dice = 1 and unit = 'line'").collect()}
     assert got == {(1, 1, "MIT"), (2, 0, "MIT"), (5, 0, "CC-BY-NC-4.0"), (5, 1, "CC-BY-NC-4.0")}
     assert licences.scan(none).count() == 0
     plan = licences.scan(frame)._jdf.queryExecution().executedPlan().toString()
@@ -300,13 +300,54 @@ def test_licences(spark, none):
 def test_licences_at_the_threshold(spark):
     rows = [(1, "Released under the MIT License. See file"), (2, "under the MIT License"), (3, "a b c d e"), (4, "a b c d e f g h i j k l m"), (5, "a b c d e f g h i j k l m n")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [(r["doc_id"], r["n_bigrams"], r["common"], r["dice"]) for r in licences.scan(frame).collect() if r["licence"] == "MIT" and r["template"] == 0]
+    got = [(r["doc_id"], r["n_bigrams"], r["common"], r["dice"]) for r in licences.scan(frame).where("unit = 'line'").collect() if r["licence"] == "MIT" and r["template"] == 0]
     assert (1, 6, 4, 0.8) in got
     texts = {"X": ["a b c d e f g"], "Y": ["a b c d e f g h i"]}  # 6 and 8 bigrams
-    got = {(r["doc_id"], r["licence"]) for r in licences.scan(frame, texts=texts).collect()}
+    got = {(r["doc_id"], r["licence"]) for r in licences.scan(frame, texts=texts).where("unit = 'line'").collect()}
     assert got == {(3, "X"), (4, "Y")}
 
 
+def brute_licences(rows, texts, t=0.8):
+    """Every unit against every template, without pruning."""
+    norm = lambda x: re.findall("[a-z0-9]+", x.translate(str.maketrans(licences._UPPER, licences._LOWER)))
+    two = lambda w: {(a, b) for a, b in zip(w, w[1:])}
+    out = set()
+    for doc_id, text in rows:
+        for licence, ts in texts.items():
+            for number, x in enumerate(ts):
+                want, size = two(norm(x)), len(norm(x))
+                told = lambda b: (len(b), len(b & want), 2 * len(b & want) / (len(b) + len(want)))
+                lines, w = (text or "").split("\n"), norm(text or "")
+                units = [("line", i, told(two(norm(y)))) for i, y in enumerate(lines)] + [("text", 0, told(two(w)))] * (len(lines) > 1)
+                out |= {(doc_id, u, i, licence, number, *d) for u, i, d in units if d[2] >= t}
+                runs = [(i, told(two(w[i : i + size]))) for i in range(len(w) - size + 1)]
+                runs = [(i, d) for i, d in runs if d[2] >= t]
+                out |= {(doc_id, "words", i, licence, number, *d) for i, d in runs
+                        if not any(abs(j - i) < size and (e[2] > d[2] or (e[2] == d[2] and j < i)) for j, e in runs)}
+    return out
+
+
+def test_licences_wherever_they_stand(spark):
+    rng = random.Random(11)
+    mit = licences.TEMPLATES["MIT"][3]
+    words = mit.split()
+    wrapped = "\n".join(" * " + " ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+    code = "\n".join(f"x{i} = f{i}(y{i}, {i})" for i in range(200))
+    got = {(r["doc_id"], r["licence"], r["template"]) for r in licences.scan(spark.createDataFrame(
+        [(1, wrapped + "\n" + code), (2, code + " " + mit + " " + code), (3, code)], "doc_id long, text string")).where("unit = 'words'").collect()}
+    assert got == {(1, "MIT", 3), (2, "MIT", 3)}
+    # Any mix of a template's words and others, and a very long text
+    texts = {"P": ["alpha beta gamma delta epsilon zeta eta theta"], "Q": ["the of and to"], "R": ["beta gamma beta gamma one"]}
+    pool = [w for ts in texts.values() for x in ts for w in x.split()]
+    rows = []
+    for i in range(120):
+        parts = [rng.choice([" ".join(texts["P"][0].split()[a : a + rng.randint(1, 8)]), " ".join(rng.choices(pool, k=4)), texts["Q"][0].upper(), "fill"]) for a in [rng.randrange(8) for _ in range(rng.randint(1, 9))]]
+        rows.append((i, "".join(p + rng.choice([" ", "\n", ", "]) for p in parts)))
+    rows += [(500, ("fill er " * 20_000) + texts["P"][0] + "\n" + "the of and to " * 3), (501, None), (502, "")]
+    found = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), texts=texts)
+    assert {tuple(r) for r in found.collect()} == brute_licences(rows, texts)
+
+
 def test_hmm(docs, rows, none):
     got = {r["doc_id"]: r for r in hmm.scores(docs, rounds=2).collect()}
     tokens = {r[0]: [*WORD.findall((r[1] or "").encode().lower()), None] for r in rows}
