@@ -412,16 +412,14 @@ def test_ranges_are_coalesced():
     assert [len(h) for _, _, h in warc.ranges([(i * warc.SPAN, warc.SPAN) for i in range(3)])] == [1, 1, 1]
 
 
-def brute_kneser_ney(texts: list[str]) -> dict:
-    """Probabilities of seen 4-grams by the textbook."""
-    def codes(t):
-        raw = np.frombuffer(t.encode(), np.uint8)
-        return quality.symbols(raw, np.array([0, len(raw)]))[0].tolist()
-
-    grams = [collections.Counter() for _ in range(5)]
+def brute_kneser_ney(texts: list[str]):
+    """The probability of an n-gram's last symbol by the textbook; symbols are characters, "" is a boundary."""
+    order = quality.ORDER
+    grams = [collections.Counter() for _ in range(order + 1)]
     for t in texts:
-        grams[4].update((c >> 18 & 63, c >> 12 & 63, c >> 6 & 63, c & 63) for c in codes(t))
-    for n in (3, 2, 1):
+        full = [""] * (order - 1) + list(t) + [""]
+        grams[order].update(tuple(full[i : i + order]) for i in range(len(full) - order + 1))
+    for n in range(order - 1, 0, -1):
         grams[n].update(g[1:] for g in grams[n + 1])
 
     def discounts(c):
@@ -431,12 +429,12 @@ def brute_kneser_ney(texts: list[str]) -> dict:
         y = k[1] / (k[1] + 2 * k[2])
         return tuple(min(max(i - (i + 1) * y * k[i + 1] / k[i], 0.01), i - 0.01) for i in (1, 2, 3))
 
-    d = [None, *(discounts(grams[n]) for n in range(1, 5))]
+    d = [None, *(discounts(grams[n]) for n in range(1, order + 1))]
     cut = lambda n, c: d[n][min(c, 3) - 1]
 
     def p(g):
         if not g:
-            return 1 / 64
+            return 1 / (len(grams[1]) + 1)
         n, own = len(g), [(x, c) for x, c in grams[len(g)].items() if x[:-1] == g[:-1]]
         if not own:
             return p(g[1:])
@@ -445,20 +443,37 @@ def brute_kneser_ney(texts: list[str]) -> dict:
         c = grams[n][g]
         return (c - cut(n, c) if c else 0) / total + weight * p(g[1:])
 
-    return {g: p(g) for g in list(grams[4])[:60]}
+    return p
 
 
 def test_kneser_ney(spark):
-    texts = [prose(random.Random(i), 20) for i in range(8)]
-    model = quality.train(spark.createDataFrame([(t,) for t in texts], "text string"))
-    dense = model.dense()
-    for (a, b, c, e), p in brute_kneser_ney(texts).items():
-        assert 2.0 ** dense[a << 18 | b << 12 | c << 6 | e] == pytest.approx(p, rel=1e-4)
-    sums = np.exp2(dense.astype(float)).reshape(-1, 64).sum(1)
-    np.testing.assert_allclose(sums, 1, atol=1e-3)
+    texts = [prose(random.Random(i), 20) for i in range(8)] + ["日本語の文章。日本の文", "ABC abc Abc"]
+    tables = quality.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    model, p = quality.Model(tables), brute_kneser_ney(texts)
+    asked = [texts[0][:40], "日本人の文", "aBC ABC", "zz\U0001F600日", "x"]
+    for t in asked:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        codes, _ = quality.symbols(raw, np.array([0, len(raw)]))
+        full = [""] * (quality.ORDER - 1) + list(t) + [""]
+        want = [math.log2(p(tuple(full[i : i + quality.ORDER]))) for i in range(len(t) + 1)]
+        np.testing.assert_allclose(model.log2(codes), want, rtol=1e-9)
+    # capitals and small letters, and two ideographs, are different symbols
+    raw = np.frombuffer("aA日本".encode(), np.uint8)
+    assert len(set(quality.symbols(raw, np.array([0, len(raw)]))[0][0])) == 5
+    # what follows a context adds up to one, the unknown symbol's share with it
+    for context in (("a", "l", "p", "h"), ("", "", "", "日")):
+        every = {g[-1] for t in texts for g in [(x,) for x in t]} | {"", "unknown"}
+        assert sum(p((*context, x)) for x in every) == pytest.approx(1)
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "row long, text string")
+    joined = {r["row"]: r["perplexity"] for r in quality._joined(frame, tables).collect()}
+    for i, t in enumerate(asked):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        assert joined[i] == pytest.approx(model.perplexity(raw, np.array([0, len(raw)]))[0])
 
 
-def test_classifier(spark, none):
+@pytest.mark.parametrize("broadcast", [quality.BROADCAST, 0])
+def test_classifier(spark, none, broadcast, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST", broadcast)
     rng = random.Random(9)
     good = [(i, prose(rng, 80), ["en", "de", None][i % 3], None, None) for i in range(700)]
     junk = [(1000 + i, "".join(rng.choice("QZ#@|~") for _ in range(300)), "en", None, None) for i in range(30)]
