@@ -177,62 +177,50 @@ class MergeDropout:
         place = np.arange(len(flat)) - np.repeat(begin, ends - begin)
         return mix(np.add.reduceat(mix(flat + (place.astype(np.uint64) << np.uint64(24)) + self.seed), begin) ^ self.seed)
 
-    def _merge(self, sym: np.ndarray, lens: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of symbols, lens of each: merged as far as it goes."""
+    def _merge(self, sym: np.ndarray, lens: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Merges rows of symbols (lens of each) in place as far as it goes; returns which places still begin a symbol.
+
+        Symbols stay at the place of their first character, linked with the places of those before and after them."""
         n, width = sym.shape
-        start = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
-        left = np.arange(width - 1)
-        pair = np.full((n, width), -1, np.int32)
+        after = np.tile(np.arange(1, width + 1, dtype=np.int32), (n, 1))
+        before = np.tile(np.arange(-1, width, dtype=np.int32), (n, 1))
+        made = np.full((n, width), -1, np.int32)
         best = np.full((n, width), _NONE, np.int32)
-        r, c = np.nonzero(left[None] + 1 < lens[:, None])
-        self._offer(sym, start, key, pair, best, r, c)
-        out_sym, out_len = np.empty_like(sym), lens.copy()
+        begins = np.arange(width)[None] < lens[:, None]
+
+        def offer(r: np.ndarray, c: np.ndarray, d: np.ndarray) -> None:
+            """Puts the symbols at places c and d of rows r on the agenda, unless they make no piece or are skipped."""
+            new = self.merged(sym[r, c], sym[r, d])
+            some = np.flatnonzero(new >= 0)
+            r, c, d, new = r[some], c[some], d[some], new[some]
+            rank = self.rank[new]
+            if (self.limit or self.noted is not None) and len(r):
+                end = after[r, d]
+                end = np.where(end >= lens[r], 1 << 20, end)  # the last one ends the chunk
+                if self.noted is not None:
+                    self.noted.append((key[r], self._place(c, end)))
+                else:
+                    rank[self.skipped(key[r], c, end)] = _NONE
+            made[r, c], best[r, c] = new, rank
+
+        r, c = np.nonzero(begins[:, 1:])
+        offer(r, c, c + 1)
         rows = np.arange(n)
-        cols = np.arange(width)
         while len(rows):
-            j = best.argmin(1)
-            at = np.arange(len(rows))
-            go = best[at, j] < _NONE
-            done = np.flatnonzero(~go)
-            if len(done):
-                out_sym[rows[done]], out_len[rows[done]] = sym[done], lens[done]
-                rows, sym, lens, key, start, pair, best, j = (x[go] for x in (rows, sym, lens, key, start, pair, best, j))
-                if not len(rows):
-                    break
-                at = np.arange(len(rows))
-            sym[at, j] = pair[at, j]
-            # what lies right of the merged symbol moves one place to the left
-            src = np.minimum(cols[None] + (cols[None] > j[:, None]), width - 1)
-            sym = np.take_along_axis(sym, src, 1)
-            start = np.concatenate((np.take_along_axis(start, src, 1), start[:, -1:]), 1)
-            src = np.minimum(cols[None] + (cols[None] >= j[:, None]), width - 1)
-            pair, best = np.take_along_axis(pair, src, 1), np.take_along_axis(best, src, 1)
-            lens = lens - 1
-            r1 = np.flatnonzero(j > 0)
-            r2 = np.flatnonzero(j + 1 < lens)
-            best[at, j] = _NONE
-            self._offer(sym, start, key, pair, best, np.concatenate((r1, r2)), np.concatenate((j[r1] - 1, j[r2])), lens)
-        return out_sym, out_len
-
-    def _offer(self, sym, start, key, pair, best, r, c, lens=None) -> None:
-        """Puts the pairs at columns c of rows r on the agenda, unless they make no piece or are skipped."""
-        made = self.merged(sym[r, c], sym[r, c + 1])
-        rank = np.where(made >= 0, self.rank[np.maximum(made, 0)], _NONE)
-        some = np.flatnonzero(made >= 0)
-        if (self.limit or self.noted is not None) and len(some):
-            # the end of a symbol is where the next one starts; the last one ends the chunk
-            rs, cs = r[some], c[some]
-            end = np.where(cs + 2 < start.shape[1], start[rs, np.minimum(cs + 2, start.shape[1] - 1)], start.shape[1])
-            if lens is not None:
-                end = np.where(cs + 2 >= lens[rs], 1 << 20, end)
-            else:
-                end = np.where(sym[rs, np.minimum(cs + 2, sym.shape[1] - 1)] == -2, 1 << 20, end)
-                end = np.where(cs + 2 >= sym.shape[1], 1 << 20, end)
-            if self.noted is not None:
-                self.noted.append((key[rs], self._place(start[rs, cs], end)))
-            else:
-                rank[some[self.skipped(key[rs], start[rs, cs], end)]] = _NONE
-        pair[r, c], best[r, c] = made, rank
+            j = best[rows].argmin(1)
+            go = best[rows, j] < _NONE
+            rows, j = rows[go], j[go]
+            k = after[rows, j]
+            end = after[rows, k]
+            sym[rows, j] = made[rows, j]
+            after[rows, j], before[rows, end] = end, j
+            best[rows, j] = best[rows, k] = _NONE
+            begins[rows, k] = False
+            left = before[rows, j]
+            best[rows[left >= 0], left[left >= 0]] = _NONE
+            a, b = np.flatnonzero(left >= 0), np.flatnonzero(end < lens[rows])
+            offer(np.concatenate((rows[a], rows[b])), np.concatenate((left[a], j[b])), np.concatenate((j[a], end[b])))
+        return begins
 
     def _one(self, ids: list[int], key: np.ndarray) -> list[int]:
         """A long chunk by itself: the same agenda as a heap."""
@@ -303,10 +291,11 @@ class MergeDropout:
                 cols = np.arange(width)
                 inside = cols[None] < sizes[w][:, None]
                 sym = np.where(inside, flat[np.minimum(begin[w][:, None] + cols, len(flat) - 1)], -2).astype(np.int32)
-                sym, lens = self._merge(sym, sizes[w].copy(), keys[w])
-                strange = (sym == -1).any(1)
+                begins = self._merge(sym, sizes[w], keys[w])
+                strange = (begins & (sym == -1)).any(1)
+                lens = begins.sum(1)
                 ends = np.cumsum(lens) * 4
-                raw = sym[np.arange(width)[None] < lens[:, None]].astype(np.int32).tobytes()
+                raw = sym[begins].tobytes()
                 for i, x, e, odd in zip(w.tolist(), (ends - lens * 4).tolist(), ends.tolist(), strange.tolist()):
                     out[i] = self._ids(np.frombuffer(raw[x:e], np.int32).tolist(), part[i], None) if odd else raw[x:e]
         for i in np.flatnonzero(sizes > _LONG):
