@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 BLANK = r"[\s\x{A0}\x{3000}]"
 ENDS = r"[。！？!?；;.]+|[\r\n]+"
 LEGACY_ENDS = r"[。！？；…!?;.]+"
-EMOJI = r"[\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F900}-\x{1F9FF}]"
+EMOJI = r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}]"
+#: Ideographs, whose runs have no spaces between words.
+HAN = r"[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}]"
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 TAG = r"<[^>]+>"
 
@@ -23,6 +25,11 @@ def sentences(text: Column, ends: str = ENDS) -> Column:
     return F.filter(F.transform(F.split(text, ends), strip), lambda x: x != "")
 
 
+def sentences_or_blank(found: Column) -> Column:
+    """The sentences, or one blank one where nothing is left, so that no text goes without a row."""
+    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("")))
+
+
 def sentences_legacy(text: Column, least: int = 2, most: int = 120) -> Column:
     """Sentences of least characters or more; longer ones than most are split again at commas."""
     parts = F.flatten(F.transform(
@@ -40,18 +47,31 @@ def without_tags(html: Column) -> Column:
     return squeeze(F.regexp_replace(html, TAG, " "))
 
 
-def clean(text: Column, noise: tuple[str, ...] = ()) -> Column:
-    """Without control characters, tags, emoji and the given patterns, in that order."""
+def clean(text: Column, noise: tuple[str, ...] = (), keep_emoji: bool = False, keep_latin: bool = True) -> Column:
+    """Without control characters, tags, emoji, surplus white space, the given patterns and, if asked for, Latin letters, in that order."""
     out = F.regexp_replace(F.regexp_replace(text, CONTROL, ""), TAG, " ")
-    out = F.regexp_replace(out, EMOJI, "")
+    out = squeeze(out if keep_emoji else F.regexp_replace(out, EMOJI, ""))
     for pattern in noise:
         out = F.regexp_replace(out, pattern, "")
-    return squeeze(out)
+    return out if keep_latin else F.regexp_replace(out, "[A-Za-z]", "")
+
+
+def validity(cleaned: Column, least: int = 1) -> tuple[Column, Column]:
+    """parse_error and error_msg of a cleaned text."""
+    bad = F.length(F.coalesce(cleaned, F.lit(""))) < least
+    return bad, F.when(bad, "text too short")
 
 
 def tokens(text: Column, least: int = 2) -> Column:
-    """Words of a-z and 0-9 in lower case, of least characters or more."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda x: F.length(x) >= least)
+    """Words of letters, digits and _ in lower case, of least characters or more.
+
+    A run of ideographs is a word of its own kind: it gives each pair of neighbours, as no dictionary parts it. Any
+    other segmentation is a column of words, which ngrams() and the counts take as well."""
+    words = F.split(F.regexp_replace(F.lower(text), f"({HAN}+)", " $1 "), r"[^\p{L}\p{N}_]+")
+    pairs = lambda x: F.transform(F.sequence(F.lit(1), F.length(x) - 1), lambda i: F.substring(x, i, 2))
+    parted = F.when(F.exists(words, lambda x: x.rlike(f"^{HAN}{{2}}")), F.flatten(F.transform(
+        words, lambda x: F.when(x.rlike(f"^{HAN}{{2}}"), pairs(x)).otherwise(F.array(x))))).otherwise(words)
+    return F.filter(parted, lambda x: F.length(x) >= least)
 
 
 def ngrams(words: Column, n: int) -> Column:
@@ -67,7 +87,7 @@ def file_name(name: Column) -> Column:
 
 def is_term(term: Column, least: int = 2, most: int = 20, stop: tuple[str, ...] = ()) -> Column:
     """A term of fitting length with a letter, that isn't digits, marks or a stop word."""
-    ok = F.length(term).between(least, most) & term.rlike(r"[a-zA-Z\x{4E00}-\x{9FFF}]") & ~term.rlike(r"^[0-9]+$")
+    ok = F.length(term).between(least, most) & term.rlike(r"\p{L}") & ~term.rlike(r"^[0-9]+$")
     return ok & ~F.lower(term).isin(*stop) if stop else ok
 
 

@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 #: Written forms by what they look like: only a form that fits is tried, as failed attempts cost far more than a look.
 FORMATS = (("^[0-9]{4}/[0-9]+/[0-9]+ ", "yyyy/MM/dd HH:mm:ss"), ("^[0-9]{4}/[0-9]+/[0-9]+$", "yyyy/MM/dd"))
 ISO = r"^\s*[0-9]{4}-"
+NUMERIC = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def number(text: str) -> Column:
+    """The column `text` as a double where it is written as a number, else null."""
+    return F.when(F.col(text).rlike(NUMERIC), F.expr(f"try_cast({text} as double)"))
 
 
 def parse(text: str, micro: bool = False, formats: tuple[tuple[str, str], ...] = FORMATS) -> Column:
     """The time in column `text`: seconds, milliseconds above 1e11, with `micro` microseconds above 1e14; then written forms; else null."""
-    x = F.expr(f"try_cast({text} as double)")
+    x = number(text)
     epoch = F.when(x > 1e11, x / 1000).otherwise(x)
     if micro:
         epoch = F.when(x > 1e14, x / 1_000_000).otherwise(epoch)
@@ -22,8 +28,9 @@ def parse(text: str, micro: bool = False, formats: tuple[tuple[str, str], ...] =
 
 
 def seconds_day(text: str) -> Column:
-    """The day of an epoch in seconds; nothing else counts."""
-    return F.to_date(F.timestamp_seconds(F.expr(f"try_cast({text} as double)")))
+    """The day of an epoch in seconds; nothing else counts, and a number above 1e11 is no such epoch."""
+    x = number(text)
+    return F.to_date(F.timestamp_seconds(F.when(x <= 1e11, x)))
 
 
 def bucket(grain: str, time: Column) -> Column:
@@ -38,3 +45,15 @@ def sunday_week(day: Column) -> Column:
 def month_end_bin(day: Column) -> Column:
     """The month end that a bin [month end, next month end) is named by."""
     return F.when(day == F.last_day(day), day).otherwise(F.last_day(F.add_months(day, -1)))
+
+
+def audited(rows, column: str):
+    """rows with `time`: digits alone are an epoch, in milliseconds if their median is above 1e12; other values are written dates.
+
+    The median is approximate to a ten-thousandth of the rows, as only its size counts; it is one row."""
+    digits = F.col(column).rlike("^[0-9]+$")
+    x = F.when(digits, F.expr(f"try_cast({column} as double)"))
+    middle = rows.agg(F.percentile_approx(x, 0.5, 10_000).alias("__median"))
+    unit = F.when(F.col("__median") > 1e12, 1000).otherwise(1)
+    time = F.when(digits, F.timestamp_seconds(x / unit)).otherwise(parse(column))
+    return rows.join(F.broadcast(middle)).withColumn("time", time).drop("__median")

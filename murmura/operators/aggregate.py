@@ -79,11 +79,10 @@ def soft_long(preds: DataFrame, keys: list[str]) -> DataFrame:
 
 def examples(preds: DataFrame, k: int, ties: list[str], keys: list[str] = KEYS) -> DataFrame:
     """The k rows of highest p_pos and of highest p_neg in each group, with the side and the rank."""
-    def side(name: str) -> DataFrame:
-        order = Window.partitionBy(*keys).orderBy(F.desc(f"p_{name}"), *ties)
-        return preds.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).withColumn("side", F.lit(name))
-
-    return side("pos").unionByName(side("neg"))
+    sides = F.explode(F.array(*(F.struct(F.lit(x).alias("side"), F.col(f"p_{x}").alias("p")) for x in ("pos", "neg"))))
+    order = Window.partitionBy(*keys, "side").orderBy(F.desc("__p"), *ties)
+    both = preds.withColumn("__s", sides).withColumn("side", F.col("__s.side")).withColumn("__p", F.col("__s.p")).drop("__s")
+    return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("__p")
 
 
 def pivot_score(hard: DataFrame, values: list[str]) -> DataFrame:
@@ -91,6 +90,18 @@ def pivot_score(hard: DataFrame, values: list[str]) -> DataFrame:
     return hard.groupBy("aspect_l1").pivot("aspect_l2", values).agg(F.avg("sent_score_hard"))
 
 
+def pivot_hits(rows: DataFrame, values: list[str], hits: str = "hit_count") -> DataFrame:
+    """Sum of hits by aspect_l1 and aspect_l2, 0 where there are none."""
+    return rows.groupBy("aspect_l1").pivot("aspect_l2", values).agg(F.sum(hits)).fillna(0, values)
+
+
+def report_counts(lines: DataFrame, l2: DataFrame) -> DataFrame:
+    """lines(model, aspect_l2, sentiment, ..) with the count of their sentiment in l2(model, aspect_l2, pos_cnt, neg_cnt)."""
+    told = l2.groupBy("model", "aspect_l2").agg(F.sum("pos_cnt").alias("__pos"), F.sum("neg_cnt").alias("__neg"))
+    cnt = F.when(F.col("sentiment") == "POS", F.col("__pos")).otherwise(F.col("__neg"))
+    return lines.join(told, ["model", "aspect_l2"], "left").withColumn("cnt", F.coalesce(cnt, F.lit(0))).drop("__pos", "__neg")
+
+
 def enrich(preds: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
     """Columns of pairs where preds has null, by pair_id."""
     side = pairs.select("pair_id", *(F.col(c).alias(f"__{c}") for c in columns))

@@ -55,13 +55,28 @@ def training_set(rows: DataFrame, key: list[str], thresholds: dict[str, float],
 
 def split(rows: DataFrame, key: list[str]) -> DataFrame:
     """is_valid for a fifth of fewer than 500 rows, else for 200 or a twentieth, by hash."""
-    total = rows.agg(F.count("*").alias("__n"))
-    cut = F.when(F.col("__n") < 500, F.floor(F.col("__n") * 0.2)).otherwise(F.greatest(F.lit(200), F.floor(F.col("__n") * 0.05)))
     hashed = rows.withColumn("__h", number(*(F.col(k).cast("string") for k in key)))
-    # The cut-off row is found by a top-n of hashes, so that no window over all rows is needed.
-    n = total.select(cut.alias("c")).first()["c"]
-    chosen = hashed.orderBy("__h", *key).limit(int(n)).select(*key, F.lit(True).alias("is_valid"))
-    return rows.join(chosen, key, "left").withColumn("is_valid", F.coalesce("is_valid", F.lit(False)))
+    # The cut-off hash is found by counts of its upper half and then of the lower one (65,536 rows at most), so that no
+    # task sorts or holds the chosen rows; only of those with just this hash some are chosen by key.
+    upper = F.shiftright("__h", 16)
+    counts = hashed.groupBy(upper.alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()
+    total = sum(r["n"] for r in counts)
+    left = int(total * 0.2) if total < 500 else max(200, int(total * 0.05))
+    for r in counts:
+        if left <= r["n"]:
+            break
+        left -= r["n"]
+    else:
+        return rows.withColumn("is_valid", F.lit(total > 0))
+    within = hashed.where(upper == r["p"]).groupBy("__h").agg(F.count("*").alias("n")).orderBy("__h").collect()
+    for h in within:
+        if left <= h["n"]:
+            break
+        left -= h["n"]
+    at = hashed.where(F.col("__h") == h["__h"])
+    tied = at.orderBy(*key).limit(left).select(*key, F.lit(True).alias("__tied"))
+    out = hashed.where(F.col("__h") != h["__h"]).withColumn("is_valid", F.col("__h") < h["__h"])
+    return out.unionByName(at.join(tied, key, "left").withColumn("is_valid", F.coalesce("__tied", F.lit(False))).drop("__tied")).drop("__h")
 
 
 def class_weights(rows: DataFrame) -> DataFrame:

@@ -41,16 +41,27 @@ def phrase_counts(texts: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def term_stats(sentences: DataFrame, column: str, examples: int = 2) -> DataFrame:
-    """tf, df over sentences and the first examples of each word."""
-    rows = sentences.select("doc_id", "sentence_idx", F.explode(tokens(F.col(column))).alias("term"), F.substring(column, 1, 100).alias("s"))
-    once = rows.groupBy("term", "doc_id", "sentence_idx").agg(F.count("*").alias("n"), F.first("s").alias("s"))
-    order = Window.partitionBy("term").orderBy("doc_id", "sentence_idx")
+    """tf, df over sentences and the first examples of each word.
+
+    Totals and first places come from one exchange of counts by word and sentence; the examples' texts are fetched last,
+    for the few sentences that are shown."""
+    key = ["doc_id", "sentence_idx"]
+    once = sentences.select(*key, F.explode(tokens(F.col(column))).alias("term")).groupBy("term", *key).agg(F.count("*").alias("n"))
     totals = once.groupBy("term").agg(F.sum("n").alias("tf"), F.count("*").alias("df"))
-    first = once.withColumn("k", F.row_number().over(order)).where(F.col("k") <= examples)
-    shown = first.groupBy("term").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "s"))), lambda x: x["s"]), "\n").alias("examples"))
+    first = once.withColumn("k", F.row_number().over(Window.partitionBy("term").orderBy(*key))).where(F.col("k") <= examples).drop("n")
+    texts = first.join(sentences.select(*key, F.substring(column, 1, 100).alias("s")), key)
+    shown = texts.groupBy("term").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "s"))), lambda x: x["s"]), "\n").alias("examples"))
     return totals.join(shown, "term")
 
 
+def pos_top(tokens: DataFrame, k: int = 3) -> DataFrame:
+    """tokens(term, pos) -> term and its k commonest tags with their counts, as tag:count joined by commas."""
+    per = tokens.groupBy("term", "pos").agg(F.count("*").alias("n"))
+    ranked = per.withColumn("k", F.row_number().over(Window.partitionBy("term").orderBy(F.desc("n"), "pos"))).where(F.col("k") <= k)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("k", "pos", "n"))), lambda x: F.concat_ws(":", x["pos"], x["n"].cast("string")))
+    return ranked.groupBy("term").agg(F.array_join(listed, ",").alias(f"pos_top{k}"))
+
+
 def merge_candidates(*sources: tuple[str, DataFrame]) -> DataFrame:
     """Terms of several sources: greatest df and tf, and the sources' names."""
     rows = None
@@ -66,32 +77,87 @@ def samples(matches: DataFrame, n: int) -> DataFrame:
     return matches.withColumn("k", F.row_number().over(order)).where(F.col("k") <= n)
 
 
-def suggest(sampled: DataFrame, tagged: DataFrame, least: int = 3, share: float = 0.6) -> DataFrame:
-    """For each term: sampled and covered sentences, the two commonest aspects of these, and what to do with the term."""
-    key = ["doc_id", "sentence_idx"]
-    pairs = tagged.select(*key, F.concat_ws("##", "aspect_l1", "aspect_l2").alias("aspect")).distinct()
-    base = sampled.groupBy("term").agg(F.count("*").alias("sample_n"))
-    with_tags = sampled.join(pairs, key)
-    held = with_tags.groupBy("term", *key).agg(F.count("*")).groupBy("term").agg(F.count("*").alias("covered"))
-    order = Window.partitionBy("term").orderBy(F.desc("n"), "aspect")
-    ranked = with_tags.groupBy("term", "aspect").agg(F.count("*").alias("n")).withColumn("k", F.row_number().over(order)).where("k <= 2")
-    best = ranked.groupBy("term").agg(
-        F.max(F.when(F.col("k") == 1, F.col("aspect"))).alias("best"), F.max(F.when(F.col("k") == 1, F.col("n"))).alias("best_n"),
-        F.max(F.when(F.col("k") == 2, F.col("aspect"))).alias("second"))
-    out = base.join(held, "term", "left").join(best, "term", "left").fillna(0, ["covered", "best_n"])
-    part = F.col("best_n") / F.nullif(F.col("covered"), F.lit(0))
-    return out.withColumn("share", part).withColumn("recommendation", decide(F.col("sample_n"), F.col("share"), least, share))
+# From what on an aspect is called consistent (hits, share of all hits, lead over the second), and what priority weighs.
+CONSISTENT = (8, 0.55, 4)
+WEIGHTS = (2.0, 0.001, 10.0)
+
 
+def top_terms(counts: DataFrame, k: int) -> DataFrame:
+    """The k terms of the greatest df, then tf; at most k rows, so they may be broadcast."""
+    return counts.orderBy(F.desc("df"), F.desc("tf"), "term").limit(k)
 
-def decide(sample_n, share, least: int, consistent: float):
-    """Too few sentences: IGNORE; mostly one aspect: ADD; else REVIEW."""
-    return F.when(sample_n < least, "IGNORE").when(share >= consistent, "ADD").otherwise("REVIEW")
 
+def suggest(terms: DataFrame, sampled: DataFrame, tagged: DataFrame, examples: int = 2) -> DataFrame:
+    """What to do with each of terms(term, df, tf), by the aspects that its sampled sentences have.
 
-def apply_updates(suggested: DataFrame) -> DataFrame:
-    """Where each decision leads: ADD to its best aspect, or nowhere if it has none."""
-    return suggested.where((F.upper(F.regexp_replace("recommendation", r"\s", "")) == "ADD") & F.col("best").isNotNull()).select(
-        "term", F.split("best", "##")[0].alias("l1"), F.split("best", "##")[1].alias("l2"))
+    sampled(term, doc_id, sentence_idx, k, sentence), tagged(doc_id, sentence_idx, aspect_l1, aspect_l2). An aspect counts
+    once a sentence; share is the best aspect's part of all hits; ties go by name."""
+    key = ["doc_id", "sentence_idx"]
+    aspects = tagged.select(*key, F.concat_ws("##", "aspect_l1", "aspect_l2").alias("aspect")).distinct()
+    base = sampled.groupBy("term").agg(
+        F.count("*").alias("sample_n"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("k") <= examples, F.struct("k", "sentence")))), lambda x: x["sentence"]), "\n").alias("examples"))
+    with_tags = sampled.select("term", *key).join(aspects, key)
+    held = with_tags.select("term", *key).distinct().groupBy("term").agg(F.count("*").alias("covered"))
+    order = Window.partitionBy("term").orderBy(F.desc("n"), "aspect")
+    hits = with_tags.groupBy("term", "aspect").agg(F.count("*").alias("n"))
+    ranked = hits.withColumn("k", F.row_number().over(order)).withColumn("all", F.sum("n").over(Window.partitionBy("term")))
+    nth = lambda k, c: F.max(F.when(F.col("k") == k, F.col(c)))
+    best = ranked.groupBy("term").agg(nth(1, "aspect").alias("best"), nth(1, "n").alias("best_n"), nth(2, "aspect").alias("second"), nth(2, "n").alias("second_n"), F.max("all").alias("hits"))
+    out = terms.join(base, "term", "left").join(held, "term", "left").join(best, "term", "left").fillna(0, ["sample_n", "covered", "best_n", "second_n", "hits"]).fillna("", ["examples"])
+    out = out.withColumn("uncovered", F.col("sample_n") - F.col("covered")).withColumn("covered_ratio", F.col("covered") / F.greatest("sample_n", F.lit(1))).withColumn(
+        "share", F.coalesce(F.col("best_n") / F.nullif(F.col("hits"), F.lit(0)), F.lit(0.0)))
+    n, part, lead = CONSISTENT
+    sure = (F.col("best_n") >= n) & (F.col("share") >= part) & (F.col("best_n") - F.col("second_n") >= lead)
+    return out.select(
+        "term", "df", "tf", "sample_n", "covered", "uncovered", "covered_ratio", "best", "best_n", "second", "second_n", "share",
+        F.when(F.col("sample_n") == 0, "IGNORE").when(sure, "ADD").otherwise("REVIEW").alias("recommendation"),
+        F.when(F.col("sample_n") == 0, "no_sample_in_pool").when(sure, "high_consistency").when(F.col("covered") == 0, "mostly_uncovered_need_manual").otherwise("ambiguous").alias("reason"),
+        (WEIGHTS[0] * F.col("uncovered") + WEIGHTS[1] * F.col("df") + WEIGHTS[2] * F.col("share")).alias("priority"), "examples")
+
+
+def ranked(suggested: DataFrame) -> DataFrame:
+    """Suggestions in the order in which people read them."""
+    return suggested.orderBy("recommendation", F.desc("priority"), "term")
+
+
+def decide(suggested: DataFrame, allowed: DataFrame, replies: DataFrame, least: int = 3) -> DataFrame:
+    """term, decision, target (l1##l2), confidence, status of each suggestion.
+
+    Too few sentences: IGNORE; a consistent aspect that is allowed(l1, l2): ADD; else what replies(term, decision, target,
+    confidence) say, remembered ones included: an ADD to a target that isn't allowed goes to the best aspect if that is, or
+    nowhere. Without a reply there is no decision."""
+    pairs = allowed.select(F.concat_ws("##", "l1", "l2").alias("p")).distinct()
+    mark = lambda name, column: pairs.select(F.col("p").alias(column), F.lit(True).alias(name))
+    told = replies.select("term", F.upper(F.trim("decision")).alias("said"), F.col("target").alias("wanted"), F.col("confidence").alias("sure"))
+    rows = suggested.join(told, "term", "left").join(mark("best_ok", "best"), "best", "left").join(mark("wanted_ok", "wanted"), "wanted", "left")
+    few = F.col("sample_n") < least
+    clear = (F.col("recommendation") == "ADD") & (F.col("reason") == "high_consistency") & F.col("best_ok").isNotNull()
+    add = F.col("said") == "ADD"
+    status = (
+        F.when(few, "rule_min_sample").when(clear, "rule_high_consistency").when(F.col("said").isNull(), "pending")
+        .when(add & F.col("wanted_ok").isNull() & F.col("best_ok").isNotNull(), "fallback_to_best")
+        .when(add & F.col("wanted_ok").isNull(), "invalid_target_forced_ignore").otherwise("ok"))
+    rows = rows.withColumn("status", status)
+    decision = F.when(F.col("status").isin("rule_min_sample", "invalid_target_forced_ignore"), "IGNORE").when(F.col("status").isin("rule_high_consistency", "fallback_to_best"), "ADD").when(F.col("status") == "ok", F.col("said"))
+    target = F.when(F.col("status").isin("rule_high_consistency", "fallback_to_best"), F.col("best")).when((F.col("status") == "ok") & add, F.col("wanted"))
+    sure = F.when(F.col("status") == "rule_min_sample", 0.0).when(F.col("status") == "rule_high_consistency", 0.9).otherwise(F.col("sure"))
+    return rows.select("term", decision.alias("decision"), target.alias("target"), sure.alias("confidence"), "status")
+
+
+def apply_updates(decided: DataFrame) -> DataFrame:
+    """Where each decision (decision, target) leads: an ADD to its target, or nowhere if it has none."""
+    return decided.where((F.upper(F.regexp_replace("decision", r"\s", "")) == "ADD") & F.col("target").isNotNull()).select(
+        "term", F.split("target", "##")[0].alias("l1"), F.split("target", "##")[1].alias("l2"))
+
+
+def gates(tagged: DataFrame, sentences: DataFrame, key: list[str], l1: float = 0.85, l2: float = 0.7, unclassified: float = 0.1) -> DataFrame:
+    """The shares of sentences with an l1, with an l2 below it that isn't its own, and without any, and whether each keeps its limit."""
+    per = tagged.groupBy(*key).agg(F.max((F.col("aspect_l2") != "_L1").cast("int")).alias("fine"))
+    n = sentences.agg(F.count("*").alias("n")).join(per.agg(F.count("*").alias("a"), F.coalesce(F.sum("fine"), F.lit(0)).alias("b")))
+    share = lambda c: F.coalesce(F.col(c) / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0))
+    return n.select(share("a").alias("l1"), share("b").alias("l2"), (1 - share("a")).alias("unclassified")).select(
+        "*", (F.col("l1") >= l1).alias("l1_ok"), (F.col("l2") >= l2).alias("l2_ok"), (F.col("unclassified") <= unclassified).alias("unclassified_ok"))
 
 
 def gate(tagged: DataFrame, sentences: DataFrame, key: list[str], least: float) -> DataFrame:

@@ -60,7 +60,7 @@ def pick(df: DataFrame, *wanted: str) -> DataFrame:
 
 def time_columns(df: DataFrame) -> list[str]:
     """Columns whose names speak of time."""
-    return [c for c in df.columns if re.search(r"time|date|day|ts$|created|updated", c, re.I)]
+    return [c for c in df.columns if re.search(r"time|date|day|ts|created|updated", c, re.I)]
 
 
 def epoch_unit(df: DataFrame, column: str) -> str:
@@ -80,10 +80,19 @@ def packed_prompts(rows: DataFrame, size: int, order: list[str]) -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__k", line.alias("line")))), lambda x: x["line"]), "\n").alias("prompt"), F.count("*").alias("n"))
 
 
-def good_terms(terms: DataFrame, blocked: DataFrame, longest: int = 10, ascii_allowed: tuple[str, ...] = ()) -> DataFrame:
-    """Terms that aren't brands or models, names of versions, too long, or ASCII without leave."""
-    version = F.col("term").rlike(r"(?i)^[a-z]*[0-9]+(pro|plus|max|ultra|mini|se)?$")
-    is_ascii = F.col("term").rlike(r"^[\x00-\x7F]+$")
+# What models are called besides their names.
+SUFFIXES = ("pro", "ultra", "max", "plus", "se")
+
+
+def good_terms(terms: DataFrame, blocked: DataFrame, longest: int = 10, ascii_allowed: tuple[str, ...] = (), bad: str | None = None) -> DataFrame:
+    """Terms that aren't brands or models, names of versions or their suffixes, too long, or ASCII without leave.
+
+    bad: a pattern of terms that say nothing."""
+    term = F.trim("term")
+    version = term.rlike(r"(?i)^[a-z]*[0-9]+(pro|plus|max|ultra|mini|se)?$") | F.lower(term).isin(*SUFFIXES)
+    if bad:
+        version = version | term.rlike(bad)
+    is_ascii = F.col("term").rlike(r"^[A-Za-z0-9\-+.]+$")
     allowed = F.lower("term").isin(*ascii_allowed) if ascii_allowed else F.lit(False)
     return terms.where(~version & (F.length("term") <= longest) & (~is_ascii | allowed)).join(blocked.select(F.lower("term").alias("__b")).distinct(), F.lower("term") == F.col("__b"), "left_anti")
 
@@ -93,6 +102,15 @@ def tagged_nouns(tokens: DataFrame) -> DataFrame:
     return tokens.where(F.col("pos").startswith("n") | (F.col("pos") == "eng"))
 
 
+def legacy_brand_model(path: Column, domain: str, brand: str | None = None, model: str | None = None) -> tuple[Column, Column]:
+    """Brand and model of a relative path whose first folder may be the domain; given values come first, and what a short path lacks is null."""
+    parts = F.split(path, "/")
+    first = F.when(F.get(parts, 0) == domain, 1).otherwise(0)
+    n = F.size(parts)
+    return (F.lit(brand) if brand is not None else F.when(n >= 2, F.get(parts, first)),
+            F.lit(model) if model is not None else F.when(n >= 3, F.get(parts, first + 1)))
+
+
 def guard(path: str, domain: str) -> None:
     """Refuses a path that does not belong to the domain."""
     if domain.lower() not in path.lower():

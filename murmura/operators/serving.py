@@ -101,7 +101,11 @@ def mix(stats: DataFrame, label: str, k: int = 12) -> DataFrame:
 
 def quotes(rows: DataFrame, keys: list[str], aspect: str, label: str, k: int, most: int) -> DataFrame:
     """The k most frequent aspects of each product for a label, with the first most distinct sentences."""
-    held = rows.where(F.col("pred_label") == label).groupBy(*keys, aspect).agg(
-        F.count("*").alias("cnt"), F.slice(F.array_sort(F.collect_set("sentence")), 1, most).alias("quotes"))
-    order = Window.partitionBy(*keys).orderBy(F.desc("cnt"), aspect)
-    return held.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # Equal sentences are counted first and only the first few of an aspect are gathered, so no list follows the data.
+    once = rows.where(F.col("pred_label") == label).groupBy(*keys, aspect, "sentence").agg(F.count("*").alias("n"))
+    sizes = once.groupBy(*keys, aspect).agg(F.sum("n").alias("cnt"))
+    top = sizes.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("cnt"), aspect))).where(F.col("rank") <= k)
+    first = once.withColumn("__k", F.row_number().over(Window.partitionBy(*keys, aspect).orderBy(F.asc_nulls_last("sentence")))).where(F.col("__k") <= most)
+    shown = first.groupBy(*(F.col(c).alias(f"__{c}") for c in [*keys, aspect])).agg(F.array_sort(F.collect_list("sentence")).alias("quotes"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in [*keys, aspect]]
+    return top.join(shown, same).select(*keys, aspect, "cnt", "quotes", "rank")

@@ -27,9 +27,27 @@ def latest(preds: DataFrame, days: int, column: str = "ts") -> DataFrame:
     return rows.join(F.broadcast(limit), F.col("day").between(F.date_sub("max_day", days - 1), F.col("max_day"))).drop("max_day")
 
 
-def pie(rows: DataFrame, label: str, by: list[str]) -> DataFrame:
-    """Counts of a label by bucket, and their share of the product's, or of all."""
-    out = rows.where(F.col("pred_label") == label).groupBy(*by, "bucket").agg(F.count("*").alias("cnt"))
+def latest_tally(rows: DataFrame, keys: list[str], weight: Column | None, days: int) -> DataFrame:
+    """Counts by keys and day over the last days up to the latest day of all.
+
+    Rows become one for each group and day before the limit is looked for in these, so the source is read once."""
+    daily = tally(rows.where(F.col("day").isNotNull()), [*keys, "day"], weight)
+    limit = daily.agg(F.max("day").alias("__max"))
+    return daily.join(F.broadcast(limit), F.col("day") >= F.date_sub("__max", days - 1)).drop("__max")
+
+
+def weekly_tally(rows: DataFrame, keys: list[str], weight: Column | None, n: int) -> DataFrame:
+    """Counts by keys and week from Monday (week_start, week_end) over the last n weeks, in the same way."""
+    start = F.date_sub("day", F.weekday("day"))
+    weekly = tally(rows.where(F.col("day").isNotNull()), [*keys, start.alias("week_start")], weight)
+    limit = weekly.agg(F.max("week_start").alias("__max"))
+    return weekly.join(F.broadcast(limit), F.col("week_start") >= F.date_sub("__max", 7 * (n - 1))).drop("__max").withColumn("week_end", F.date_add("week_start", 6))
+
+
+def pie(daily: DataFrame, label: str, by: list[str]) -> DataFrame:
+    """Counts of a label by bucket, and their share of the product's, or of all; daily: counts by bucket and day."""
+    cnt = F.sum(f"{label.lower()}_cnt").cast("long")
+    out = daily.groupBy(*by, "bucket").agg(cnt.alias("cnt")).where("cnt > 0")
     if by:
         return out.withColumn("share", F.col("cnt") / F.sum("cnt").over(Window.partitionBy(*by)))
     total = out.agg(F.sum("cnt").alias("__all"))

@@ -7,24 +7,38 @@ from murmura.functions.text import is_term
 from murmura.ml import student, teacher
 from murmura.operators import coverage, lexicon
 from murmura.plans.proxy import SENT, TAGGED, TERMS, documents, rounded, sent, terms
-from murmura.plans.text import STOP
+from murmura.plans.text import STOP, tokens_sql
 
 KEY = ["doc_id", "sentence_idx"]
 RULES = [("looks", "shape", "^an"), ("power", "battery", "^(de|la)"), ("care", "service", "tion$")]
-_TOK = "list_filter(regexp_split_to_array(lower(sentence), '[^a-z0-9]+'), lambda x: length(x) >= 2)"
+_TOK = tokens_sql("sentence")
 _COUNTS = f"tok as (select doc_id, sentence_idx, sentence, unnest({_TOK}) as term from sent), tc as (select term, count(*) as tf, count(distinct (doc_id, sentence_idx)) as df from tok group by 1)"
 _ALL = TAGGED + ", " + _COUNTS
-#: The terms that suggestions are made for, and their first sentences.
-_SAMPLED = _ALL + f""", cand as (select term from tc where df >= 5 and term not in (select term from known) and length(term) between 2 and 12 and regexp_matches(term, '[a-z]') and term not in {STOP} order by df desc, term limit 200),
-smp as (select term, doc_id, sentence_idx from (select *, row_number() over (partition by term order by doc_id, sentence_idx) as k from (select distinct term, doc_id, sentence_idx from tok join cand using (term))) where k <= 10),
+#: The terms that suggestions are made for, and the sentences of each that are looked at.
+TERMS_ASKED, SENTENCES = 200, 10
+_SAMPLED = _ALL + f""", cand as (select term, df, cast(tf as bigint) as tf from tc where df >= 5 and term not in (select term from known) and length(term) between 2 and 12 and regexp_matches(term, '\\p{{L}}') and not regexp_matches(term, '^[0-9]+$') and term not in {STOP}
+  order by df desc, tf desc, term limit {TERMS_ASKED}),
+smp as (select term, doc_id, sentence_idx, sentence, k from (select *, row_number() over (partition by term order by doc_id, sentence_idx) as k from (select distinct term, doc_id, sentence_idx, sentence from tok join cand using (term))) where k <= {SENTENCES}),
 asp as (select distinct doc_id, sentence_idx, aspect_l1 || '##' || aspect_l2 as aspect from tagged),
 wt as (select term, aspect, doc_id, sentence_idx from smp join asp using (doc_id, sentence_idx)),
 rk as (select *, row_number() over (partition by term order by n desc, aspect) as k from (select term, aspect, count(*) as n from wt group by 1, 2)),
-sug as (select term, count(*) as sample_n from smp group by 1),
+hits as (select term, count(*) as hits from wt group by 1),
+base as (select term, count(*) as sample_n, string_agg(case when k <= 2 then sentence end, chr(10) order by k) as examples from smp group by 1),
 cov as (select term, count(distinct (doc_id, sentence_idx)) as covered from wt group by 1),
-out_ as (select sug.term, sample_n, coalesce(covered, 0) as covered, a.aspect as best, coalesce(a.n, 0) as best_n, b.aspect as second, coalesce(a.n, 0) / nullif(coalesce(covered, 0), 0) as share
-  from sug left join cov using (term) left join rk a on a.term = sug.term and a.k = 1 left join rk b on b.term = sug.term and b.k = 2)"""
-_DECIDE = "case when sample_n < 3 then 'IGNORE' when share >= 0.6 then 'ADD' else 'REVIEW' end"
+n as (select cand.term, df, tf, coalesce(sample_n, 0) as sample_n, coalesce(covered, 0) as covered, coalesce(sample_n, 0) - coalesce(covered, 0) as uncovered, coalesce(covered, 0) / greatest(coalesce(sample_n, 0), 1) as covered_ratio,
+  a.aspect as best, coalesce(a.n, 0) as best_n, b.aspect as second, coalesce(b.n, 0) as second_n, coalesce(a.n / hits, 0) as share, coalesce(examples, '') as examples
+  from cand left join base using (term) left join cov using (term) left join hits using (term) left join rk a on a.term = cand.term and a.k = 1 left join rk b on b.term = cand.term and b.k = 2),
+out_ as (select *, case when sample_n = 0 then 'IGNORE' when best_n >= 8 and share >= 0.55 and best_n - second_n >= 4 then 'ADD' else 'REVIEW' end as recommendation,
+  case when sample_n = 0 then 'no_sample_in_pool' when best_n >= 8 and share >= 0.55 and best_n - second_n >= 4 then 'high_consistency' when covered = 0 then 'mostly_uncovered_need_manual' else 'ambiguous' end as reason,
+  2.0::double * uncovered + 0.001::double * df + 10.0::double * share as priority from n)"""
+#: What a model could reply to some of the terms.
+_REPLIED = """rep as (select term, case length(term) % 3 when 2 then 'IGNORE' else 'add' end as said, case length(term) % 3 when 0 then 'looks##shape' else 'no##such' end as wanted, 0.5::double as sure from cand where length(term) % 5 <> 4),
+ok as (select distinct l1 || '##' || l2 as p from terms),
+st as (select out_.*, said, wanted, sure, case when sample_n < 3 then 'rule_min_sample' when recommendation = 'ADD' and best in (select p from ok) then 'rule_high_consistency' when said is null then 'pending'
+  when said = 'add' and wanted not in (select p from ok) then case when best in (select p from ok) then 'fallback_to_best' else 'invalid_target_forced_ignore' end else 'ok' end as status from out_ left join rep using (term)),
+dec as (select term, case when status in ('rule_min_sample', 'invalid_target_forced_ignore') then 'IGNORE' when status in ('rule_high_consistency', 'fallback_to_best') then 'ADD' when status = 'ok' then upper(said) end as decision,
+  case when status in ('rule_high_consistency', 'fallback_to_best') then best when status = 'ok' and said = 'add' then wanted end as target,
+  case status when 'rule_min_sample' then 0.0 when 'rule_high_consistency' then 0.9 else sure end::double as confidence, status from st)"""
 
 
 def tagged(s, d):
@@ -37,19 +51,40 @@ def _term_counts(s, d):
 
 
 def _counts(s, d):
-    rows = sent(s, d).select("doc_id", "sentence_idx", F.explode(F.array_distinct(coverage.tokens(F.col("sentence")))).alias("term"))
-    return rows.groupBy("term").agg(F.count("*").alias("df"))
+    return _tokens(s, d).groupBy("term").agg(F.count("*").alias("df"))
 
 
-def _sampled(s, d):
+def _tokens(s, d):
+    """Each word of each sentence with how often it occurs there."""
+    return sent(s, d).select(*KEY, F.explode(coverage.tokens(F.col("sentence"))).alias("term")).groupBy("term", *KEY).agg(F.count("*").alias("n"))
+
+
+def _asked(s, d):
+    """The commonest terms that the lexicon doesn't have."""
     known = lexicon.matcher(terms(s)).select("term")
-    chosen = _counts(s, d).where("df >= 5").where(is_term(F.col("term"), 2, 12, STOP)).join(F.broadcast(known), "term", "left_anti").orderBy(F.desc("df"), "term").limit(200)
-    rows = sent(s, d).select("doc_id", "sentence_idx", F.explode(F.array_distinct(coverage.tokens(F.col("sentence")))).alias("term"))
-    return coverage.samples(rows.join(F.broadcast(chosen.select("term")), "term"), 10).select("term", *KEY)
+    counts = _tokens(s, d).groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("tf")).where("df >= 5").where(is_term(F.col("term"), 2, 12, STOP))
+    return coverage.top_terms(counts.join(F.broadcast(known), "term", "left_anti"), TERMS_ASKED)
+
+
+def _sampled(s, d, asked=None):
+    asked = asked if asked is not None else _asked(s, d)
+    return coverage.samples(_tokens(s, d).join(F.broadcast(asked.select("term")), "term"), SENTENCES).select("term", *KEY, "k")
 
 
 def _suggested(s, d):
-    return coverage.suggest(_sampled(s, d), tagged(s, d))
+    asked = _asked(s, d)
+    shown = _sampled(s, d, asked).join(sent(s, d), KEY)
+    return coverage.suggest(asked, shown, tagged(s, d))
+
+
+def _replies(rows):
+    n = F.length("term")
+    return rows.where(n % 5 != 4).select("term", F.when(n % 3 == 2, "IGNORE").otherwise("add").alias("decision"), F.when(n % 3 == 0, "looks##shape").otherwise("no##such").alias("target"), F.lit(0.5).alias("confidence"))
+
+
+def _decided(s, d):
+    rows = _suggested(s, d)
+    return coverage.decide(rows, terms(s), _replies(rows))
 
 
 def _pool(s, d):
@@ -62,22 +97,33 @@ def _merge(s, d):
     return lexicon.merge(old, new)
 
 
+_LANGS = ("en", "de", "fr", "es")
+
+
 def _cands(s, d):
-    counts = coverage.token_counts(documents(s, d).where("lang = 'en'"), "text").where("df >= 5")
-    other = coverage.token_counts(documents(s, d).where("lang = 'de'"), "text").where("df >= 5")
-    return coverage.merge_candidates(("en", counts), ("de", other)).join(F.broadcast(lexicon.matcher(terms(s)).select("term")), "term", "left_anti")
+    """Terms of each language as a source of its own, counted in one pass."""
+    words = documents(s, d).select("doc_id", "lang", F.explode(coverage.tokens(F.col("text"))).alias("term")).groupBy("lang", "term", "doc_id").agg(F.count("*").alias("n"))
+    counts = words.groupBy("lang", "term").agg(F.sum("n").alias("tf"), F.count("*").alias("df")).where("df >= 5")
+    merged = coverage.merge_candidates(*((x, counts.where(F.col("lang") == x)) for x in _LANGS))
+    return merged.join(F.broadcast(lexicon.matcher(terms(s)).select("term")), "term", "left_anti")
 
 
 def _cands_sql():
-    def one(lang):
-        return f"""select term, count(distinct doc_id) as df, count(*) as tf, '{lang}' as source from (select doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: length(x) >= 2)) as term
-        from documents where lang = '{lang}') group by 1 having count(distinct doc_id) >= 5"""
-
-    return f"""with {TERMS}, c as ({one('en')} union all {one('de')})
+    return f"""with {TERMS}, c as (select lang as source, term, count(distinct doc_id) as df, count(*) as tf from (select doc_id, lang, unnest({tokens_sql('text')}) as term from documents) where lang in {_LANGS} group by 1, 2 having count(distinct doc_id) >= 5)
     select term, max(df) as df, max(tf) as tf, string_agg(distinct source, '|' order by source) as source from c
     where term not in (select lower(term) from terms where regexp_matches(term, '[a-zA-Z]')) group by 1"""
 
 
+#: Terms of several words, of ideographs, and one that begins another.
+MIXED = [("screen", "film", "屏幕膜"), ("screen", "panel", "屏幕"), ("power", "cell", "续航"), ("price", "deal", "of the"), ("price", "value", "the"), ("care", "staff", "der")]
+_MIXED_SENTENCE = "sentence || ' 屏幕膜和屏幕 of the续航' || sentence"
+
+
+def _mixed(s, d):
+    known = s.createDataFrame([("doc", a, b, t, i) for i, (a, b, t) in enumerate(MIXED)], lexicon.SCHEMA)
+    return lexicon.tag(sent(s, d).withColumn("sentence", F.expr(_MIXED_SENTENCE)), known).select(*KEY, "hit_term", "aspect_l1", "aspect_l2")
+
+
 _GOOD, _BAD = frozenset({"the", "and", "les", "und"}), frozenset({"of", "that", "de", "der"})
 
 
@@ -97,10 +143,15 @@ QUERIES = {
         f"""with {TERMS}, u as (select * from terms where regexp_matches(term, '[a-zA-Z]')), f as (select term, arg_min(l1, ord) as kept_l1, arg_min(l2, ord) as kept_l2 from u group by 1)
         select term, kept_l1, kept_l2, l1 as other_l1, l2 as other_l2 from u join f using (term) where l1 <> kept_l1 or l2 <> kept_l2"""),
     "tag_aspects": (lambda s, d: tagged(s, d).select(*KEY, "hit_term", "aspect_l1", "aspect_l2"), f"with {TAGGED} select * from tagged"),
+    "tag_mixed": (
+        _mixed,
+        f"""with {SENT}, m as (select * from (values {", ".join(f"('{a}', '{b}', '{t}')" for a, b, t in MIXED)}) v(aspect_l1, aspect_l2, hit_term)),
+        h as (select distinct doc_id, sentence_idx, unnest(regexp_extract_all(lower({_MIXED_SENTENCE}), '\\bof the\\b|屏幕膜|\\bthe\\b|\\bder\\b|屏幕|续航')) as hit_term from sent)
+        select doc_id, sentence_idx, hit_term, aspect_l1, aspect_l2 from h join m using (hit_term)"""),
+    "tag_all_aspects": (
+        lambda s, d: lexicon.tag_all(sent(s, d), terms(s), KEY),
+        f"""with {TERMS}, {SENT} select distinct doc_id, sentence_idx, l1 as aspect_l1, l2 as aspect_l2 from sent join (select * from terms where not regexp_matches(term, '^[0-9]+$') and regexp_matches(term, '[a-zA-Z]')) on contains(sentence, term)"""),
     "substring_terms": (
-        lambda s, d: lexicon.substrings(sent(s, d).where("sentence_idx < 2"), terms(s)).select(*KEY, "term"),
-        f"with {TERMS}, {SENT}, t as (select distinct term from terms) select doc_id, sentence_idx, term from sent, t where sentence_idx < 2 and contains(sentence, term)"),
-    "substring_terms_whole": (
         lambda s, d: lexicon.substrings(sent(s, d), terms(s)).select(*KEY, "term"),
         f"with {TERMS}, {SENT}, t as (select distinct term from terms) select doc_id, sentence_idx, term from sent, t where contains(sentence, term)"),
     "tag_coverage": (
@@ -138,23 +189,28 @@ QUERIES = {
         lambda s, d: _pool(s, d).groupBy("sentence").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("cnt")),
         f"with {SENT}, p as (select sentence, min(doc_id) as doc_id from sent where length(sentence) >= 6 group by 1) select doc_id, count(*) as cnt from p group by 1"),
     "pool_tagged": (
-        lambda s, d: _pool(s, d).where("sentence_idx < 3").join(tagged(s, d).select(*KEY, "hit_term"), KEY, "left").select(*KEY, "hit_term"),
-        f"with {TAGGED} select doc_id, sentence_idx, hit_term from sent left join tagged using (doc_id, sentence_idx) where length(sentence) >= 6 and sentence_idx < 3"),
-    "pool_tagged_whole": (
         lambda s, d: _pool(s, d).join(tagged(s, d).select(*KEY, "hit_term"), KEY, "left").select(*KEY, "hit_term"),
         f"with {TAGGED} select doc_id, sentence_idx, hit_term from sent left join tagged using (doc_id, sentence_idx) where length(sentence) >= 6"),
-    "term_samples": (_sampled, f"with {_SAMPLED} select * from smp"),
+    "coverage_gates": (
+        lambda s, d: rounded(coverage.gates(tagged(s, d), sent(s, d), KEY)),
+        f"""with {TAGGED}, p as (select doc_id, sentence_idx, max(case when aspect_l2 <> '_L1' then 1 else 0 end) as fine from tagged group by 1, 2),
+        r as (select (select count(*) from p) / (select count(*) from sent) as a, (select sum(fine) from p) / (select count(*) from sent) as b)
+        select round(a, 6) as l1, round(b, 6) as l2, round(1 - a, 6) as unclassified, a >= 0.85 as l1_ok, b >= 0.7 as l2_ok, 1 - a <= 0.1 as unclassified_ok from r"""),
+    "term_samples": (lambda s, d: _sampled(s, d).drop("k"), f"with {_SAMPLED} select term, doc_id, sentence_idx from smp"),
     "term_stats": (
         lambda s, d: _term_counts(s, d).where("df >= 3"),
         f"""with {SENT}, {_COUNTS}, e as (select term, doc_id, sentence_idx, substr(any_value(sentence), 1, 100) as s from tok group by 1, 2, 3),
         f as (select term, string_agg(s, chr(10) order by doc_id, sentence_idx) as examples from (select *, row_number() over (partition by term order by doc_id, sentence_idx) as k from e) where k <= 2 group by 1)
         select term, cast(tf as bigint) as tf, df, examples from tc join f using (term) where df >= 3"""),
     "candidate_terms": (_cands, _cands_sql()),
-    "coverage_suggest": (lambda s, d: rounded(_suggested(s, d)), f"with {_SAMPLED} select term, sample_n, covered, best, best_n, second, round(share, 6) as share, {_DECIDE} as recommendation from out_"),
-    "decision_rules": (lambda s, d: _suggested(s, d).groupBy("recommendation").agg(F.count("*").alias("cnt")), f"with {_SAMPLED} select {_DECIDE} as recommendation, count(*) as cnt from out_ group by 1"),
+    "coverage_suggest": (
+        lambda s, d: rounded(coverage.ranked(_suggested(s, d))),
+        f"""with {_SAMPLED} select term, df, tf, sample_n, covered, uncovered, round(covered_ratio, 6) as covered_ratio, best, best_n, second, second_n, round(share, 6) as share, recommendation, reason,
+        round(priority, 6) as priority, examples from out_"""),
+    "decision_rules": (_decided, f"with {_SAMPLED}, {_REPLIED} select * from dec"),
     "apply_updates": (
-        lambda s, d: coverage.apply_updates(_suggested(s, d)),
-        f"with {_SAMPLED} select term, string_split(best, '##')[1] as l1, string_split(best, '##')[2] as l2 from out_ where {_DECIDE} = 'ADD' and best is not null"),
+        lambda s, d: coverage.apply_updates(_decided(s, d)),
+        f"with {_SAMPLED}, {_REPLIED} select term, string_split(target, '##')[1] as l1, string_split(target, '##')[2] as l2 from dec where decision = 'ADD' and target is not null"),
     "lexicon_merge": (
         _merge,
         f"""with {TERMS}, b as (select distinct l1, l2, term from (select l1, l2, term from terms union all select 'looks', 'finish', 'matt' union all select 'looks', 'shape', 'and'))

@@ -3,21 +3,29 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 
 from pyspark.sql import functions as F
 
 from murmura.functions import text
 from murmura.functions.hashing import document_id, fraction
 from murmura.operators import coverage, ingest
-from murmura.plans.proxy import SENT, documents, sent
+from murmura.plans.proxy import SENT, documents, sent, shared
 from murmura.sources import reviews
 from murmura.streaming import incremental
 
 _LEGACY = r"""regexp_split_to_array(text, '[。！？；…!?;.]+')"""
 _STRIPX = r"regexp_replace({}, '^[\s\x{{A0}}\x{{3000}}]+|[\s\x{{A0}}\x{{3000}}]+$', '', 'g')"
 STOP = ("the", "and", "of")
-_TOKENS = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: length(x) >= 2)"
+_HAN = r"[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}]"
+
+
+def tokens_sql(column: str) -> str:
+    """Words of letters, digits and _, and pairs of neighbouring ideographs."""
+    words = rf"regexp_split_to_array(regexp_replace(lower({column}), '({_HAN}+)', ' \1 ', 'g'), '[^\p{{L}}\p{{N}}_]+')"
+    pairs = f"case when regexp_matches(x, '^{_HAN}{{2}}') then list_transform(range(1, length(x)), lambda i: substr(x, i, 2)) else [x] end"
+    return f"list_filter(flatten(list_transform({words}, lambda x: {pairs})), lambda x: length(x) >= 2)"
+
+
 
 
 def _legacy(s, d):
@@ -25,7 +33,7 @@ def _legacy(s, d):
 
 
 def _clean(s, d):
-    rows = documents(s, d).select("doc_id", text.clean(F.concat(F.lit("<b>\x01"), "text", F.lit("</b> 😀 end")), (r"\bend$",)).alias("t"))
+    rows = documents(s, d).select("doc_id", text.clean(F.concat(F.lit("<b>\x01"), "text", F.lit("</b> 😀🇩🇪🤖 end")), (r"\bend$",)).alias("t"))
     return rows.select("doc_id", F.length("t").alias("n"), F.md5("t").alias("digest"))
 
 
@@ -64,7 +72,7 @@ def _clean_stats(s, d):
 
 def _ingest(s, d):
     """Files of every kind that readers must take, written to the shared folder of the session or a local one."""
-    folder = s.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="murmura-")
+    folder = shared(s)
     root = f"{folder.rstrip('/')}/reviews-{os.getpid()}"
     line = lambda **x: json.dumps(x, ensure_ascii=False)
     made = {
@@ -88,7 +96,7 @@ def _changed(s, d):
 
 
 _PATH_SQL = """case when doc_id % 5 = 0 then doc_id || '.json' when doc_id % 5 = 1 then source || '/' || doc_id || '.json' else source || '/' || lang || '/' || doc_id || '.json' end"""
-_CLEAN_SQL = r"""regexp_replace('<b>' || chr(1) || text || '</b> 😀 end', '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g')"""
+_CLEAN_SQL = r"""regexp_replace('<b>' || chr(1) || text || '</b> 😀🇩🇪🤖 end', '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g')"""
 
 QUERIES = {
     "sentence_split": (sent, f"with {SENT} select doc_id, sentence_idx, sentence from sent"),
@@ -102,8 +110,8 @@ QUERIES = {
         f"with {SENT} select doc_id, count(*) as cnt from sent where length(sentence) >= 6 group by 1"),
     "clean_text": (
         _clean,
-        rf"""with a as (select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_CLEAN_SQL}, '<[^>]+>', ' ', 'g'),
-        '[\x{{1F300}}-\x{{1F5FF}}\x{{1F600}}-\x{{1F64F}}\x{{1F680}}-\x{{1F6FF}}\x{{1F900}}-\x{{1F9FF}}]', '', 'g'), '\bend$', '', 'g'), '\s+', ' ', 'g')) as t from documents)
+        rf"""with a as (select doc_id, regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace({_CLEAN_SQL}, '<[^>]+>', ' ', 'g'),
+        '[\x{{1F600}}-\x{{1F64F}}\x{{1F300}}-\x{{1F5FF}}\x{{1F680}}-\x{{1F6FF}}\x{{1F1E0}}-\x{{1F1FF}}]', '', 'g'), '\s+', ' ', 'g')), '\bend$', '', 'g') as t from documents)
         select doc_id, cast(length(t) as integer) as n, md5(t) as digest from a"""),
     "html_strip": (
         _html, r"select page_id, md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) as digest from pages"),
@@ -112,24 +120,25 @@ QUERIES = {
     "json_field_priority": (_fields, "select event_id, nullif(json_extract_string(props, '$.k'), '') as value from events"),
     "doc_id_hash": (_ids, "select doc_id, md5(source || '/' || lang || '#' || doc_id) as id from documents"),
     "prompt_text": (
-        lambda s, d: sent(s, d).where("sentence_idx < 3").select("doc_id", "sentence_idx", text.prompt(F.lit("looks"), F.lit("shape"), F.col("sentence")).alias("prompt")),
-        f"with {SENT} select doc_id, sentence_idx, '[looks::shape] ' || regexp_replace(sentence, '[\\r\\n]+', ' ', 'g') as prompt from sent where sentence_idx < 3"),
-    "prompt_text_whole": (
         lambda s, d: sent(s, d).select("doc_id", "sentence_idx", text.prompt(F.lit("looks"), F.lit("shape"), F.col("sentence")).alias("prompt")),
         f"with {SENT} select doc_id, sentence_idx, '[looks::shape] ' || regexp_replace(sentence, '[\\r\\n]+', ' ', 'g') as prompt from sent"),
     "file_name": (
-        lambda s, d: documents(s, d).select("doc_id", text.file_name(F.substring("text", 1, 150)).alias("name")),
-        rf"""select doc_id, substr(regexp_replace({_STRIPX.format("substr(text, 1, 150)")}, '[\\/:*?"<>|\s]+', '_', 'g'), 1, 120) as name from documents"""),
+        lambda s, d: documents(s, d).select("doc_id", text.file_name(F.col("text")).alias("name")),
+        rf"""select doc_id, substr(regexp_replace({_STRIPX.format("text")}, '[\\/:*?"<>|\s]+', '_', 'g'), 1, 120) as name from documents"""),
     "ngrams": (
-        lambda s, d: coverage.phrase_counts(documents(s, d).where("lang = 'en'"), "text", 2).where("tf >= 3"),
-        f"""with t as (select {_TOKENS.format('text')} as w from documents where lang = 'en'), g as (select unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as term from t)
+        lambda s, d: coverage.phrase_counts(documents(s, d), "text", 2).where("tf >= 3"),
+        f"""with t as (select {tokens_sql('text')} as w from documents), g as (select unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as term from t)
         select term, count(*) as tf from g group by 1 having count(*) >= 3"""),
     "token_counts": (
         lambda s, d: coverage.token_counts(documents(s, d), "text", STOP),
-        f"""with t as (select doc_id, unnest({_TOKENS.format('text')}) as term from documents) select term, count(*) as tf, count(distinct doc_id) as df from t where term not in {STOP} group by 1"""),
+        f"""with t as (select doc_id, unnest({tokens_sql('text')}) as term from documents) select term, count(*) as tf, count(distinct doc_id) as df from t where term not in {STOP} group by 1"""),
     "valid_terms": (
         lambda s, d: coverage.token_counts(documents(s, d), "text").where(text.is_term(F.col("term"), 2, 12, STOP)).select("term"),
-        f"""with t as (select distinct unnest({_TOKENS.format('text')}) as term from documents) select term from t where length(term) between 2 and 12 and regexp_matches(term, '[a-z]') and term not in {STOP}"""),
+        f"""with t as (select distinct unnest({tokens_sql('text')}) as term from documents) select term from t where length(term) between 2 and 12 and regexp_matches(term, '\\p{{L}}') and not regexp_matches(term, '^[0-9]+$') and term not in {STOP}"""),
+    "tokens_mixed": (
+        lambda s, d: coverage.token_counts(documents(s, d).withColumn("text", F.concat(F.lit("屏幕很好abc续航差_x "), F.substring("text", 1, 40), F.lit(" 高清"))), "text"),
+        f"""with m as (select doc_id, '屏幕很好abc续航差_x ' || substr(text, 1, 40) || ' 高清' as text from documents), t as (select doc_id, unnest({tokens_sql('text')}) as term from m)
+        select term, count(*) as tf, count(distinct doc_id) as df from t group by 1"""),
     "text_sample": (
         lambda s, d: documents(s, d).where(fraction(F.col("text")) < 0.25).select("doc_id"),
         "select doc_id from documents where cast(concat('0x', substr(md5(text), 1, 8)) as bigint) / 4294967296.0::double < 0.25"),
@@ -145,16 +154,20 @@ QUERIES = {
 }
 
 
-def _prompts(s, d, some="sentence_idx < 2"):
-    rows = sent(s, d).where(some).select(
+def _prompts(s, d):
+    rows = sent(s, d).select(
         "*", (F.col("doc_id") % 4).alias("shard"), F.lit("looks").alias("aspect_l1"), F.lit("shape").alias("aspect_l2"))
     return ingest.packed_prompts(rows, 5, ["doc_id", "sentence_idx"])
 
 
+_MODELS = ("Pro", "ultra", "屏幕", "非常非常长的一个词语啊", "ip68", "x100", "mate60pro", "se")
+
+
 def _good(s, d):
     blocked = documents(s, d).select(F.col("lang").alias("term")).distinct()
     words = coverage.token_counts(documents(s, d), "text").where("df >= 3").select("term")
-    return ingest.good_terms(words, blocked, 8, ("the", "de", "en", "nd", "der"))
+    more = s.createDataFrame([(x,) for x in _MODELS], "term string")
+    return ingest.good_terms(words.unionByName(more), blocked, 8, ("the", "de", "en", "nd", "der", "ip68", "屏幕"))
 
 
 def _records(s, d):
@@ -167,16 +180,14 @@ def _records(s, d):
 QUERIES |= {
     "prompt_pack": (
         _prompts,
-        f"""with {SENT}, k as (select doc_id % 4 as shard, row_number() over (partition by doc_id % 4 order by doc_id, sentence_idx) - 1 as k, sentence from sent where sentence_idx < 2)
-        select shard, k // 5 as batch, string_agg((k % 5 + 1) || '. [looks::shape] ' || regexp_replace(sentence, '[\\r\\n]+', ' ', 'g'), chr(10) order by k) as prompt, count(*) as n from k group by 1, 2"""),
-    "prompt_pack_whole": (
-        lambda s, d: _prompts(s, d, "true"),
         f"""with {SENT}, k as (select doc_id % 4 as shard, row_number() over (partition by doc_id % 4 order by doc_id, sentence_idx) - 1 as k, sentence from sent)
         select shard, k // 5 as batch, string_agg((k % 5 + 1) || '. [looks::shape] ' || regexp_replace(sentence, '[\\r\\n]+', ' ', 'g'), chr(10) order by k) as prompt, count(*) as n from k group by 1, 2"""),
     "good_terms": (
         _good,
-        f"""with t as (select doc_id, unnest({_TOKENS.format('text')}) as term from documents), c as (select term from t group by 1 having count(distinct doc_id) >= 3)
-        select term from c where not regexp_matches(term, '^[a-z]*[0-9]+(pro|plus|max|ultra|mini|se)?$') and length(term) <= 8 and term in ('the', 'de', 'en', 'nd', 'der') and term not in (select lang from documents)"""),
+        f"""with t as (select doc_id, unnest({tokens_sql('text')}) as term from documents), c as (select term from t group by 1 having count(distinct doc_id) >= 3)
+        , m as (select term from c union all select unnest([{", ".join(f"'{x}'" for x in _MODELS)}]))
+        select term from m where not regexp_matches(lower(term), '^[a-z]*[0-9]+(pro|plus|max|ultra|mini|se)?$') and lower(term) not in ('pro', 'ultra', 'max', 'plus', 'se') and length(term) <= 8
+        and (not regexp_matches(term, '^[A-Za-z0-9+.-]+$') or term in ('the', 'de', 'en', 'nd', 'der', 'ip68', '屏幕')) and term not in (select lang from documents)"""),
     "normal_records": (
         _records, "select cast(event_id as varchar) as doc_id, event_type as content, '2024-01-02 00:00:00' as ctime, event_type is null as parse_error, '2024/01/02' as extra from events"),
 }

@@ -25,8 +25,8 @@ def _bucketed(s, d):
     return web.bucketed(preds(s, d), 10)
 
 
-def _recent(s, d):
-    return web.latest(_bucketed(s, d), 30)
+def _recent(s, d, by):
+    return web.latest_tally(_bucketed(s, d).withColumn("day", F.to_date("ts")), [*by, "bucket"], None, 30)
 
 
 def _v1(s, d):
@@ -40,16 +40,16 @@ def _pie(label, by):
     keys = ", ".join([*by, "bucket"])
     over = f"partition by {', '.join(by)}" if by else ""
     return (
-        lambda s, d: rounded(web.pie(_recent(s, d), label, by)),
+        lambda s, d: rounded(web.pie(_recent(s, d, by), label, by)),
         f"with {BUCKETS}, c as (select {keys}, count(*) as cnt from recent where pred_label = '{label}' group by all) select *, round(cnt / sum(cnt) over ({over}), 6) as share from c")
 
 
 def _days(s, d, keys, n=7):
-    return web.span_tally(web.latest(_v1(s, d).drop("day"), n), [*keys, "day"]).drop("first_day", "last_day")
+    return web.latest_tally(_v1(s, d), keys, F.col("weight"), n)
 
 
 def _weeks(s, d, keys):
-    return web.span_tally(web.weeks(_v1(s, d), 4), [*keys, "week_start", "week_end"]).drop("first_day", "last_day")
+    return web.weekly_tally(_v1(s, d), keys, F.col("weight"), 4)
 
 
 def _days_sql(keys):
@@ -90,8 +90,8 @@ QUERIES = {
             *(F.sum(f"p_{x}").alias(f"w_{x}") for x in ("pos", "neu", "neg")))),
         f"with {BUCKETS} select bucket, cast(date_trunc('week', ts) as date) as week, round(sum(p_pos), 6) as w_pos, round(sum(p_neu), 6) as w_neu, round(sum(p_neg), 6) as w_neg from b where ts is not null group by 1, 2"),
     "web_ready_day": (
-        lambda s, d: preds(s, d).where("l_linenumber % 5 <> 1").groupBy(seconds_day("ctime").alias("day")).agg(F.count("*").alias("cnt")),
-        f"with {PREDS} select cast(make_timestamp(cast(try_cast(ctime as double) * 1000000 as bigint)) as date) as day, count(*) as cnt from preds where l_linenumber % 5 <> 1 group by 1"),
+        lambda s, d: preds(s, d).groupBy(seconds_day("ctime").alias("day")).agg(F.count("*").alias("cnt")),
+        f"with {PREDS} select case when try_cast(ctime as double) <= 1e11 then cast(make_timestamp(cast(try_cast(ctime as double) * 1000000 as bigint)) as date) end as day, count(*) as cnt from preds group by 1"),
     "product_id": (
         lambda s, d: preds(s, d).groupBy(labels.product_id(F.when(F.col("l_linenumber") != 3, F.col("brand")), F.col("model")).alias("product_id")).agg(F.count("*").alias("cnt")),
         f"with {PREDS}, p as (select case when l_linenumber <> 3 then brand end as brand, model from preds) select {_PID} as product_id, count(*) as cnt from p group by 1"),
