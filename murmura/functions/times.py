@@ -10,20 +10,22 @@ ISO = r"^\s*[0-9]{4}-"
 NUMERIC = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def number(text: str) -> Column:
-    """The column `text` as a double where it is written as a number, else null."""
-    return F.when(F.col(text).rlike(NUMERIC), F.expr(f"try_cast({text} as double)"))
+def number(text: str | Column) -> Column:
+    """A column of texts as doubles where they are written as numbers, else null."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.when(text.rlike(NUMERIC), text.try_cast("double"))
 
 
-def parse(text: str, micro: bool = False, formats: tuple[tuple[str, str], ...] = FORMATS) -> Column:
-    """The time in column `text`: seconds, milliseconds above 1e11, with `micro` microseconds above 1e14; then written forms; else null."""
+def parse(text: str | Column, micro: bool = False, formats: tuple[tuple[str, str], ...] = FORMATS) -> Column:
+    """The time in a column of texts: seconds, milliseconds above 1e11, with `micro` microseconds above 1e14; then written forms; else null."""
+    text = F.col(text) if isinstance(text, str) else text
     x = number(text)
     epoch = F.when(x > 1e11, x / 1000).otherwise(x)
     if micro:
         epoch = F.when(x > 1e14, x / 1_000_000).otherwise(epoch)
     written = [
-        F.when(F.col(text).rlike(ISO), F.expr(f"try_cast({text} as timestamp)")),
-        *(F.when(F.col(text).rlike(look), F.try_to_timestamp(F.col(text), F.lit(f))) for look, f in formats)]
+        F.when(text.rlike(ISO), text.try_cast("timestamp")),
+        *(F.when(text.rlike(look), F.try_to_timestamp(text, F.lit(f))) for look, f in formats)]
     return F.when(x.isNotNull(), F.timestamp_seconds(epoch)).otherwise(F.coalesce(*written))
 
 
@@ -52,7 +54,7 @@ def audited(rows, column: str):
 
     The median is approximate to a ten-thousandth of the rows, as only its size counts; it is one row."""
     digits = F.col(column).rlike("^[0-9]+$")
-    x = F.when(digits, F.expr(f"try_cast({column} as double)"))
+    x = F.when(digits, F.col(column).try_cast("double"))
     middle = rows.agg(F.percentile_approx(x, 0.5, 10_000).alias("__median"))
     unit = F.when(F.col("__median") > 1e12, 1000).otherwise(1)
     time = F.when(digits, F.timestamp_seconds(x / unit)).otherwise(parse(column))

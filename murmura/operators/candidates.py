@@ -50,7 +50,11 @@ def repeated(rows: DataFrame, label: str, times: int) -> DataFrame:
 def training_set(rows: DataFrame, key: list[str], thresholds: dict[str, float], n: int, times: int) -> DataFrame:
     """Confident rows, as many as n of each label but all NEG, these repeated."""
     sure = confident(rows, thresholds)
-    return balanced(sure.where(F.col("pred_label") != "NEG"), key, n).withColumn("copy", F.lit(0)).unionByName(repeated(sure, "NEG", times))
+    others = sure.where(F.col("pred_label") != "NEG").withColumn("__h", number(*(F.col(k).cast("string") for k in key)))
+    # The rank orders one hash and the keys, worked out once a row; only n rows of a partition and label reach the shuffle.
+    w = Window.partitionBy("pred_label").orderBy("__h", *key)
+    few = others.withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= n).drop("__k", "__h")
+    return few.withColumn("copy", F.lit(0)).unionByName(repeated(sure, "NEG", times))
 
 
 def split(rows: DataFrame, key: list[str]) -> DataFrame:

@@ -93,6 +93,43 @@ def trend(stats: DataFrame, grain: str) -> DataFrame:
     return frame.join(rows, ["product_key", "bin"], "left").fillna(0, ["pos", "neu", "neg"])
 
 
+# The periods of an exported product, their days before the last one, and the grain of their trend.
+EXPORTED = {"last_7_days": (6, "day"), "last_1_month": (29, "week"), "last_3_months": (90, "month"), "last_6_months": (180, "month"), "last_12_months": (365, "month")}
+
+
+def product_documents(stats: DataFrame) -> DataFrame:
+    """product_key and one nested JSON object: aspects of positive and negative rows, and of each period a summary and a trend.
+
+    Weeks go by their Sunday and months by the month end before them, without gaps between the first and the last that
+    has rows; a period without rows is null. Counts become one row for each product, aspect, label and day before
+    anything is nested, so lists are bounded by aspects and by the days of a year."""
+    rows = product_key(stats).withColumn("day", F.to_date("date"))
+    by_aspect = rows.where(F.col("sentiment").isin("POS", "NEG")).groupBy("product_key", "sentiment", "aspect").agg(F.sum("count").cast("long").alias("count"))
+    listed = lambda x: F.transform(F.array_sort(F.collect_list(F.when(F.col("sentiment") == x, F.struct((-F.col("count")).alias("o"), "aspect", "count")))), lambda r: F.struct(r["aspect"], r["count"]))
+    aspects = by_aspect.groupBy("product_key").agg(listed("POS").alias("POS"), listed("NEG").alias("NEG"))
+    parts = [_part(x).alias(x) for x in ("POS", "NEG", "NEU")]
+    daily = rows.groupBy("product_key", "day").agg(*parts)
+    last = F.broadcast(daily.agg(F.max("day").alias("last")))
+    asked = F.explode(F.array(*(F.struct(F.lit(p).alias("period"), F.lit(d).alias("days"), F.lit(g).alias("grain")) for p, (d, g) in EXPORTED.items())))
+    inside = daily.join(last).select("*", asked.alias("p")).where(F.col("day") >= F.date_sub("last", F.col("p.days"))).select("product_key", "p.period", "p.grain", "day", "POS", "NEG", "NEU")
+    bin_ = F.when(F.col("grain") == "day", F.col("day")).when(F.col("grain") == "week", sunday_week(F.col("day"))).otherwise(month_end_bin(F.col("day")))
+    binned = inside.groupBy("product_key", "period", "grain", bin_.alias("bin")).agg(*(F.sum(x).alias(x) for x in ("POS", "NEG", "NEU")))
+    ends = binned.groupBy("product_key", "period", "grain").agg(F.min("bin").alias("a"), F.max("bin").alias("b"))
+    bins = F.expr("""case grain when 'day' then sequence(a, b, interval 1 day) when 'week' then sequence(a, b, interval 7 days)
+        else transform(sequence(trunc(a, 'MM'), trunc(b, 'MM'), interval 1 month), x -> last_day(x)) end""")
+    whole = ends.select("product_key", "period", "grain", F.explode(bins).alias("bin")).join(binned, ["product_key", "period", "grain", "bin"], "left").fillna(0, ["POS", "NEG", "NEU"])
+    trend_ = F.array_sort(F.collect_list(F.struct(F.col("bin").cast("string").alias("date"), "POS", "NEG", "NEU")))
+    sums_ = [F.sum(x).alias(x) for x in ("POS", "NEG", "NEU")]
+    told = whole.groupBy("product_key", "period", "grain").agg(trend_.alias("trend"), *sums_).select("product_key", "period", F.struct(
+        F.col("grain").alias("granularity"), F.struct("POS", "NEG", "NEU", (F.col("POS") + F.col("NEG") + F.col("NEU")).alias("Total")).alias("summary"), "trend").alias("s"))
+    stats_ = told.groupBy("product_key").agg(F.map_from_entries(F.collect_list(F.struct("period", "s"))).alias("m"))
+    out = rows.select("product_key").distinct().join(aspects, "product_key", "left").join(stats_, "product_key", "left")
+    none = F.array().cast("array<struct<aspect:string,count:bigint>>")
+    return out.select("product_key", F.to_json(F.struct(
+        F.struct(F.coalesce("POS", none).alias("POS"), F.coalesce("NEG", none).alias("NEG")).alias("brand_aspect_dist"),
+        F.struct(*(F.col("m")[p].alias(p) for p in EXPORTED)).alias("period_stats")), {"ignoreNullFields": "false"}).alias("document"))
+
+
 def mix(stats: DataFrame, label: str, k: int = 12) -> DataFrame:
     """A label's counts by aspect, the top k and Other, with their share."""
     rows = sums(with_other(stats.where(F.col("sentiment") == label), "aspect", k), "aspect")

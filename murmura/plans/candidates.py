@@ -14,7 +14,7 @@ _SEEDED = f"cast(concat('0x', substr(md5(concat_ws('#', '42', {KEY_SQL})), 1, 8)
 
 
 def _sure(s, d):
-    return c.confident(preds(s, d), TH)
+    return c.confident(preds(s, d, False), TH)
 
 
 QUERIES = {
@@ -38,7 +38,7 @@ QUERIES = {
         lambda s, d: c.repeated(_sure(s, d), "NEG", 2).select(*KEY, "copy"),
         f"with {PREDS} select {KEY_SQL}, cast(i as integer) as copy from preds, range(0, 2) as r(i) where pred_label = 'NEG' and ({_SURE})"),
     "train_v2": (
-        lambda s, d: c.training_set(preds(s, d), KEY, TH, 400, 2).select(*KEY, "pred_label", "copy"),
+        lambda s, d: c.training_set(preds(s, d, False), KEY, TH, 400, 2).select(*KEY, "pred_label", "copy"),
         f"""with {PREDS}, sure as (select * from preds where {_SURE})
         select {KEY_SQL}, pred_label, 0 as copy from (select *, row_number() over (partition by pred_label order by {_HASH}, {KEY_SQL}) as k from sure where pred_label <> 'NEG') where k <= 400
         union all select {KEY_SQL}, pred_label, cast(i as integer) as copy from sure, range(0, 2) as r(i) where pred_label = 'NEG'"""),

@@ -4,5 +4,5 @@ from __future__ import annotations
 from importlib import import_module
 
 QUERIES: dict = {}
-for _name in ("core", "web", "serving", "candidates", "quality", "text", "lexicon"):
+for _name in ("core", "web", "serving", "candidates", "quality", "text", "lexicon", "io"):
     QUERIES |= import_module(f"murmura.plans.{_name}").QUERIES

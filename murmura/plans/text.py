@@ -90,9 +90,8 @@ def _ingest(s, d):
 
 
 def _changed(s, d):
-    now = incremental.inventory(s, d, "*.parquet")
-    before = now.where(~F.col("path").contains("orders"))
-    return incremental.changed(now, before).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.length("sha1").alias("digits"))
+    before = incremental.inventory(s, d, "*.parquet").where(~F.col("path").contains("orders"))
+    return incremental.changed(incremental.renewed(s, d, before, "*.parquet"), before).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.length("sha1").alias("digits"))
 
 
 _PATH_SQL = """case when doc_id % 5 = 0 then doc_id || '.json' when doc_id % 5 = 1 then source || '/' || doc_id || '.json' else source || '/' || lang || '/' || doc_id || '.json' end"""
@@ -149,8 +148,11 @@ QUERIES = {
     "clean_stats": (
         _clean_stats,
         f"""with {SENT} select source, count(*) as reviews, cast(sum(len(p)) as bigint) as sentences, count(case when len(p) = 0 then 1 end) / count(*) as empty_ratio from documents join parts using (doc_id) group by 1"""),
-    "ingest_files": (_ingest, None),
-    "changed_files": (_changed, None),
+    "ingest_files": (
+        _ingest,
+        """select 'test' as domain, * from (values ('acme', '7', 0, '好', '1766475000'), ('acme', '7', 1, '不好', '1766475000'), ('acme', 'True', 0, 'Fine.', null), ('acme', 'hashed', 0, 'nested falls through', null), ('acme', 'hashed', 1, 'yes', null),
+        ('acme', 'hashed', 0, '12.5', null), ('acme', 'r1', 0, 'single object', null), ('acme', 'r1', 1, 'with two lines', null)) v(brand, doc_id, sentence_idx, sentence, ctime)"""),
+    "changed_files": (_changed, "select 'orders.parquet' as name, 40 as digits"),
 }
 
 

@@ -21,7 +21,87 @@ def predictions(spark: SparkSession, root: str) -> DataFrame:
             return spark.read.option("basePath", root).parquet(f"{root}/{pattern}")
         except AnalysisException:
             continue
-    return spark.read.option("recursiveFileLookup", "true").parquet(root)
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root)
+
+
+def hive(spark: SparkSession, root: str, depth: int = 6) -> DataFrame:
+    """Every Parquet file below a folder, with the columns that name=value folders stand for.
+
+    Folders may mix plain names and name=value; each level is a glob, and files in fewer folders have nulls for the rest."""
+    found: DataFrame | None = None
+    for n in range(depth + 1):
+        try:
+            part = spark.read.parquet(root + "/*" * n + "/*.parquet")
+        except AnalysisException:
+            continue
+        path = F.col("_metadata.file_path")
+        below = [f.split("/") for f in part.inputFiles()]
+        names = sorted({x.split("=")[0] for f in below for x in f[-1 - n : -1] if "=" in x} - {c.lower() for c in part.columns})
+        for name in names:
+            value = F.nullif(F.url_decode(F.regexp_extract(path, f"/{name}=([^/]*)/", 1)), F.lit("__HIVE_DEFAULT_PARTITION__"))
+            part = part.withColumn(name, F.nullif(value, F.lit("")))
+        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    if found is None:
+        raise FileNotFoundError(f"no Parquet file below {root}")
+    return found
+
+
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first n rows in the order of files and of their places in these."""
+    return df.select("*", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.row_index").alias("__i")).orderBy("__f", "__i").limit(n).drop("__f", "__i")
+
+
+def columns_of(spark: SparkSession, path: str) -> dict[str, str]:
+    """Names and types, without reading rows."""
+    return dict(spark.read.parquet(path).dtypes)
+
+
+# What a manifest calls the path of a file.
+MANIFEST_KEYS = ("path", "file", "filepath", "relpath", "uri", "parquet", "part")
+
+
+def manifest_files(spark: SparkSession, manifest: str, root: str) -> DataFrame:
+    """The distinct Parquet files that a manifest names, by a key of an object a line or by the line itself; relative ones are below root."""
+    line = F.trim("value")
+    record = F.try_parse_json(line)
+    named = F.coalesce(*(F.nullif(F.try_variant_get(record, f"$.{k}", "string"), F.lit("")) for k in MANIFEST_KEYS), line)
+    path = F.when(named.rlike("^([a-z]+:)?/"), named).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), named))
+    rows = spark.read.text(manifest).where(line != "").select(F.regexp_replace(path, "^[a-z]+:/+", "/").alias("path"))
+    return rows.where(F.lower("path").endswith(".parquet")).distinct()
+
+
+def reconciled(spark: SparkSession, manifest: str, root: str) -> DataFrame:
+    """One row: files and rows that the manifest names and that are there, those that the folder has, and whether they agree."""
+    here = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root).select(F.regexp_replace(F.col("_metadata.file_path"), "^[a-z]+:/+", "/").alias("path"))
+    counts = here.groupBy("path").agg(F.count("*").alias("n"))
+    both = counts.join(manifest_files(spark, manifest, root).withColumn("named", F.lit(1)), "path", "left")
+    return both.agg(
+        F.count("named").alias("manifest_files"), F.coalesce(F.sum(F.col("n") * F.col("named")), F.lit(0)).alias("manifest_rows"),
+        F.count("*").alias("folder_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("folder_rows")).withColumn(
+        "agree", F.col("manifest_rows") == F.col("folder_rows"))
+
+
+def folders(spark: SparkSession, root: str) -> list[str]:
+    """The names of the folders in a folder, sorted."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(where) if f.isDirectory())
+
+
+def latest_run(spark: SparkSession, runs: str) -> str:
+    """The path of the run whose name sorts last."""
+    names = folders(spark, runs)
+    if not names:
+        raise FileNotFoundError(f"no run below {runs}")
+    return f"{runs.rstrip('/')}/{names[-1]}"
+
+
+def empty_files(spark: SparkSession, root: str) -> int:
+    """Parquet files of no bytes below a folder; only their listing is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    return found.where("length = 0").select("path").count()
 
 
 def lexicon(spark: SparkSession, spec: dict, domain: str) -> DataFrame:
@@ -59,6 +139,26 @@ def write(df: DataFrame, path: str, *by: str) -> None:
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def write_pair(df: DataFrame, path: str) -> None:
+    """The same table as Parquet and as CSV with a byte order mark in its header, which spreadsheets look for."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}.parquet")
+    header = [F.col(f"`{c}`").alias(("\ufeff" if i == 0 else "") + c) for i, c in enumerate(df.columns)]
+    df.select(*header).write.mode("overwrite").option("header", "true").csv(f"{path}.csv")
+
+
+def write_text(spark: SparkSession, path: str, content: str, append: bool = False) -> None:
+    """A small side file in one step: written beside its place and renamed; append keeps what is there."""
+    jvm = spark._jvm
+    where, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = "\n".join(r[0] for r in spark.read.text(path).collect()) if append and files.exists(where) else ""
+    out = files.create(beside, True)
+    out.write(bytearray((f"{before}\n" if before else "").encode() + content.encode()))
+    out.close()
+    files.delete(where, False)
+    files.rename(beside, where)
+
+
 def write_sheet(df: DataFrame, path: str) -> bool:
     """A CSV table with a header, unless it is larger than a sheet may be."""
     if df.limit(SHEET_ROWS + 1).count() > SHEET_ROWS:

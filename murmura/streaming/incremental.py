@@ -13,6 +13,22 @@ def inventory(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame
     return read.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha1("content").alias("sha1"))
 
 
+def renewed(spark: SparkSession, folder: str, before: DataFrame, pattern: str = "*") -> DataFrame:
+    """The inventory, with the hash of `before` for files of the same size and time; only other files are read."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
+    here = read.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    same = here.join(before.select("path", "size", "modified", "sha1"), ["path", "size", "modified"])
+    other = [r["path"] for r in here.join(same.select("path"), "path", "left_anti").collect()]
+    if not other:
+        return same
+    return same.unionByName(inventory(spark, folder, pattern) if len(other) == here.count() else _hashed(spark, other))
+
+
+def _hashed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    read = spark.read.format("binaryFile").load(paths)
+    return read.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha1("content").alias("sha1"))
+
+
 def changed(now: DataFrame, before: DataFrame) -> DataFrame:
     """Files that weren't there before or are different."""
     return now.join(before.select("path", "sha1"), ["path", "sha1"], "left_anti")
@@ -23,6 +39,30 @@ def remaining(rows: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(done.select(*key), key, "left_anti")
 
 
+def resume(rows: DataFrame, step: Callable[[DataFrame], DataFrame], target: str, key: list[str], batches: int = 1) -> int:
+    """Applies a step to the rows whose key the target doesn't have, in batches by hash; the number of batches it ran.
+
+    Each batch is appended as a whole, so a run that ends early goes on behind the last one, and a finished one does nothing.
+    The step has to keep the key."""
+    spark = rows.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(target)
+    ran = 0
+    for i in range(batches):
+        part = rows.where(F.pmod(F.xxhash64(*key), F.lit(batches)) == i)
+        if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+            part = remaining(part, spark.read.parquet(target), key)
+        if part.limit(1).count():
+            step(part).write.mode("append").option("compression", "zstd").parquet(target)
+            ran += 1
+    return ran
+
+
+def remember(rows: DataFrame, key: list[str], cache: str, ask: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What `ask` says of rows, asked only for keys that the cache table doesn't have yet; new answers are added to it."""
+    resume(rows, ask, cache, key)
+    return rows.select(*key).join(rows.sparkSession.read.parquet(cache), key)
+
+
 def run_available(spark: SparkSession, source: str, schema, step: Callable[[DataFrame], DataFrame], target: str, checkpoint: str) -> None:
     """Applies a step to the files that have come since the last run, each once, and ends."""
     stream = step(spark.readStream.schema(schema).parquet(source))
