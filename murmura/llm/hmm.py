@@ -369,3 +369,8 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 def op7_hmm(spark, sf_dir: str) -> DataFrame:
     """Scores of all documents."""
     return scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def hmm_counts(spark, sf_dir: str) -> DataFrame:
+    """What op7_hmm counts, without the model's score, which SQL can't express."""
+    return op7_hmm(spark, sf_dir).drop("score").withColumn("base_score", F.round("base_score", 4))

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from murmura.llm import sql
 from murmura.llm.fingerprint import op1_fingerprints
-from murmura.llm.hmm import op7_hmm
+from murmura.llm.hmm import hmm_counts, op7_hmm
 from murmura.llm.licences import op6_licences, scan_sql
 from murmura.llm.merge_dropout import op2_merge_dropout
 from murmura.llm.minhash import op10_minhash
@@ -25,11 +25,14 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
+    "hmm_counts": hmm_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_suffix_dedup": sql.REPEATS,
     "op5_topk": TOPK_SQL,
     "op6_licences": scan_sql(),
     "op8_warc": sql.WARC,
     "op10_minhash": sql.MINHASH,
+    "hmm_counts": sql.HMM_BASE,
 }
