@@ -7,6 +7,7 @@ from murmura.llm.hmm import hmm_counts, op7_hmm
 from murmura.llm.licences import op6_licences, scan_sql
 from murmura.llm.merge_dropout import op2_merge_dropout
 from murmura.llm.minhash import op10_minhash
+from murmura.llm.mixing import mix_sql, op13_mixing
 from murmura.llm.packing import op3_packing
 from murmura.llm.quality import op9_quality
 from murmura.llm.suffix_dedup import op4_suffix_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
+    "op13_mixing": op13_mixing,
     "hmm_counts": hmm_counts,
 }
 
@@ -34,5 +36,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_licences": scan_sql(),
     "op8_warc": sql.WARC,
     "op10_minhash": sql.MINHASH,
+    "op13_mixing": mix_sql(),
     "hmm_counts": sql.HMM_BASE,
 }
