@@ -10,6 +10,7 @@ from murmura.llm.minhash import op10_minhash
 from murmura.llm.mixing import mix_sql, op13_mixing
 from murmura.llm.packing import op3_packing
 from murmura.llm.quality import op9_quality
+from murmura.llm.resampling import op12_resampling, resample_sql
 from murmura.llm.suffix_dedup import op4_suffix_dedup
 from murmura.llm.topk import ORACLE as TOPK_SQL
 from murmura.llm.topk import op5_topk
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
+    "op12_resampling": op12_resampling,
     "op13_mixing": op13_mixing,
     "hmm_counts": hmm_counts,
 }
@@ -36,6 +38,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_licences": scan_sql(),
     "op8_warc": sql.WARC,
     "op10_minhash": sql.MINHASH,
+    "op12_resampling": resample_sql(),
     "op13_mixing": mix_sql(),
     "hmm_counts": sql.HMM_BASE,
 }
