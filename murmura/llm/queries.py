@@ -4,6 +4,7 @@ from __future__ import annotations
 from murmura.llm import sql
 from murmura.llm.fingerprint import op1_fingerprints
 from murmura.llm.hmm import hmm_counts, op7_hmm
+from murmura.llm.kmeans import cluster_sql, op11_clusters
 from murmura.llm.licences import op6_licences, scan_sql
 from murmura.llm.merge_dropout import op2_merge_dropout
 from murmura.llm.minhash import op10_minhash
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
+    "op11_clusters": op11_clusters,
     "op12_resampling": op12_resampling,
     "op13_mixing": op13_mixing,
     "hmm_counts": hmm_counts,
@@ -38,6 +40,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_licences": scan_sql(),
     "op8_warc": sql.WARC,
     "op10_minhash": sql.MINHASH,
+    "op11_clusters": cluster_sql(),
     "op12_resampling": resample_sql(),
     "op13_mixing": mix_sql(),
     "hmm_counts": sql.HMM_BASE,
