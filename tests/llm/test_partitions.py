@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from murmura.llm import fingerprint, hmm, licences, merge_dropout, minhash, packing, quality, suffix_dedup, topk, warc
+from murmura.llm import fingerprint, hmm, kmeans, licences, merge_dropout, minhash, mixing, packing, quality, resampling, suffix_dedup, topk, warc
 from tests.llm.test_operators import SCHEMA, corpus
 
 
@@ -14,6 +14,10 @@ def labels(spark):
     return spark.createDataFrame([(i * 3 - 5, int(i % 7 > 0)) for i in range(60)], "doc_id long, quality int")
 
 
+def vectors(d):
+    return d.select(F.col("doc_id").alias("vec_id"), F.array(*(F.crc32(F.concat(F.coalesce("text", F.lit("")), F.lit(str(i))).cast("binary")) / 2.0**32 for i in range(4))).alias("embedding"))
+
+
 OPERATORS = {
     "fingerprints": lambda s, d: fingerprint.fingerprints_of_edits(d),
     "merge_dropout": lambda s, d: merge_dropout.encode(d),
@@ -24,7 +28,10 @@ OPERATORS = {
     "quality": lambda s, d: quality.classify(d, labels(s)),
     "minhash": lambda s, d: minhash.near_duplicates(d),
     "warc": lambda s, d: warc.read_records(warc.write_archives(d.select(F.col("doc_id").alias("page_id"), F.col("source").alias("url"), F.col("text").alias("html")))),
-    "topk": lambda s, d: topk.top_k(d.select(F.col("doc_id").alias("vec_id"), F.array(*(F.crc32(F.concat(F.coalesce("text", F.lit("")), F.lit(str(i))).cast("binary")) / 2.0**32 for i in range(4))).alias("embedding")), k=5, step=10),
+    "topk": lambda s, d: topk.top_k(vectors(d), k=5, step=10),
+    "kmeans": lambda s, d: kmeans.cluster(vectors(d), 5, components=4),
+    "resampling": lambda s, d: resampling.resample(d, d.where("doc_id % 2 = 0"), least=3),
+    "mixing": lambda s, d: mixing.mix(d),
 }
 
 

@@ -27,7 +27,7 @@ def test_equals_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")] == list(range(1, 14))
 
 
 def test_pipeline(spark):
