@@ -15,6 +15,11 @@ CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 TAG = r"<[^>]+>"
 
 
+def bound(value: Column, use) -> Column:
+    """use(value) with the value worked out once, however often use names it and within whatever lambda."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def strip(text: Column) -> Column:
     """Without white space at either end."""
     return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
@@ -69,15 +74,15 @@ def tokens(text: Column, least: int = 2) -> Column:
     other segmentation is a column of words, which ngrams() and the counts take as well."""
     words = F.split(F.regexp_replace(F.lower(text), f"({HAN}+)", " $1 "), r"[^\p{L}\p{N}_]+")
     pairs = lambda x: F.transform(F.sequence(F.lit(1), F.length(x) - 1), lambda i: F.substring(x, i, 2))
-    parted = F.when(F.exists(words, lambda x: x.rlike(f"^{HAN}{{2}}")), F.flatten(F.transform(
-        words, lambda x: F.when(x.rlike(f"^{HAN}{{2}}"), pairs(x)).otherwise(F.array(x))))).otherwise(words)
-    return F.filter(parted, lambda x: F.length(x) >= least)
+    parted = lambda own: F.when(F.exists(own, lambda x: x.rlike(f"^{HAN}{{2}}")), F.flatten(F.transform(
+        own, lambda x: F.when(x.rlike(f"^{HAN}{{2}}"), pairs(x)).otherwise(F.array(x))))).otherwise(own)
+    return F.filter(bound(words, parted), lambda x: F.length(x) >= least)
 
 
 def ngrams(words: Column, n: int) -> Column:
     """Each run of n neighbouring words, joined."""
-    return F.when(F.size(words) >= n, F.transform(
-        F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    return bound(words, lambda own: F.when(F.size(own) >= n, F.transform(
+        F.sequence(F.lit(1), F.size(own) - n + 1), lambda i: F.array_join(F.slice(own, i, n), " "))).otherwise(F.array().cast("array<string>")))
 
 
 def file_name(name: Column) -> Column:

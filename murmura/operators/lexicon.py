@@ -1,20 +1,12 @@
 """Lexicons: which terms stand for which aspects, and tagging of sentences with them."""
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SCHEMA = "domain string, l1 string, l2 string, term string, ord int"
-#: Terms of a lexicon that are read on the driver and broadcast at most.
-LEXICON = 50_000
-
+from murmura.operators.matching import find
 
-def _words(terms: DataFrame) -> list[str] | None:
-    """The distinct terms, or None if they are more than LEXICON."""
-    found = [r[0] for r in terms.select("term").distinct().limit(LEXICON + 1).collect()]
-    return found if len(found) <= LEXICON else None
+SCHEMA = "domain string, l1 string, l2 string, term string, ord int"
 
 
 def usable(terms: DataFrame) -> DataFrame:
@@ -37,56 +29,16 @@ def conflicts(terms: DataFrame) -> DataFrame:
         "term", F.col("kept.l1").alias("kept_l1"), F.col("kept.l2").alias("kept_l2"), F.col("l1").alias("other_l1"), F.col("l2").alias("other_l2"))
 
 
-def pattern(terms: list[str]) -> str:
-    """One alternation, longest first, with a boundary where a term begins or ends with a letter or digit of ASCII."""
-    def one(t: str) -> str:
-        left = "(?<![a-z0-9_])" if re.match(r"[a-z0-9_]", t) else ""
-        right = "(?![a-z0-9_])" if re.search(r"[a-z0-9_]$", t) else ""
-        return left + r"\Q" + t + r"\E" + right
-
-    return "|".join(map(one, sorted(set(terms), key=lambda t: (-len(t), t))))
-
-
-def hits(sentence: Column, terms: list[str]) -> Column:
-    """The distinct terms of a sentence: the leftmost longest ones that don't overlap, in order."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(sentence), F.lit("(" + pattern(terms) + ")"), F.lit(1)))
-
-
 def tag(sentences: DataFrame, terms: DataFrame, column: str = "sentence") -> DataFrame:
-    """A row per sentence and distinct term, with the term's aspect.
-
-    The lexicon is a configuration of some hundred terms, so it is read on the driver and broadcast; the leftmost longest
-    match is a matter of all terms at once, so more than LEXICON of them are refused."""
+    """A row per sentence and distinct term, with the term's aspect: the leftmost longest terms whatever their case."""
     known = matcher(terms)
-    words = _words(known)
-    if words is None:
-        raise ValueError(f"a lexicon has at most {LEXICON} terms here")
-    if not words:
-        return sentences.withColumns({"hit_term": F.lit(None).cast("string"), "aspect_l1": F.lit(None).cast("string"), "aspect_l2": F.lit(None).cast("string")}).limit(0)
-    found = sentences.withColumn("hit_term", F.explode(hits(F.col(column), words)))
-    return found.join(F.broadcast(known.select(F.col("term").alias("hit_term"), F.col("l1").alias("aspect_l1"), F.col("l2").alias("aspect_l2"))), "hit_term")
+    found = find(sentences, known, F.lower(column), "hit_term", longest=True)
+    return found.join(known.select(F.col("term").alias("hit_term"), F.col("l1").alias("aspect_l1"), F.col("l2").alias("aspect_l2")), "hit_term")
 
 
 def substrings(sentences: DataFrame, terms: DataFrame, column: str = "sentence") -> DataFrame:
-    """Every term that a sentence contains, in its own case, overlapping ones too.
-
-    One expression finds the longest term at each place; its beginnings that are terms themselves stand there too. More
-    than LEXICON terms are joined with every part of a sentence that is as long as one of them."""
-    some = terms.select("term").where("term <> ''").distinct()
-    words = _words(some)
-    if words is None:
-        sizes = some.select(F.length("term").alias("n")).distinct().orderBy("n")
-        parts = sentences.withColumn("__n", F.explode(F.lit([r["n"] for r in sizes.collect()]))).where(F.length(column) >= F.col("__n"))
-        parts = parts.withColumn("term", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.length(column) - F.col("__n") + 1), lambda i: F.substring(F.col(column), i, F.col("__n"))))))
-        return parts.drop("__n").join(some, "term", "left_semi").select(*sentences.columns, "term")
-    if not words:
-        return sentences.withColumn("term", F.lit(None).cast("string")).limit(0)
-    known = set(words)
-    begins = sentences.sparkSession.createDataFrame([(w, w[:n]) for w in words for n in range(1, len(w) + 1) if w[:n] in known], "longest string, term string")
-    alternatives = "|".join(r"\Q" + w + r"\E" for w in sorted(words, key=lambda w: (-len(w), w)))
-    found = sentences.withColumn("longest", F.explode(F.array_distinct(F.regexp_extract_all(F.col(column), F.lit(f"(?=({alternatives}))"), F.lit(1)))))
-    return found.join(F.broadcast(begins), "longest").select(*sentences.columns, "term").distinct()
+    """Every term that a sentence contains, in its own case, overlapping ones too."""
+    return find(sentences, terms, F.col(column), "term", longest=False)
 
 
 def tag_all(sentences: DataFrame, terms: DataFrame, key: list[str], column: str = "sentence") -> DataFrame:

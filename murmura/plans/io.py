@@ -224,7 +224,7 @@ def _blank(s, d):
 
 
 def _valid(s, d):
-    cleaned = text.clean(F.substring("text", 1, 60), keep_latin=False)
+    cleaned = text.clean(F.col("text"), keep_latin=False)
     bad, told = text.validity(cleaned, 20)
     return documents(s, d).select("doc_id", F.length(cleaned).alias("n"), bad.alias("parse_error"), told.alias("error_msg"))
 
@@ -272,6 +272,6 @@ QUERIES = {
         b as (select doc_id, list_filter(flatten(list_transform(p, lambda x: case when length(x) > 120 then list_transform(regexp_split_to_array(x, '[，,]+'), lambda y: trim(y, ' ' || chr(10) || chr(9) || chr(13))) else [x] end)), lambda z: length(z) >= 30) as q from a)
         select doc_id, 0 as sentence_idx from b where len(q) = 0"""),
     "clean_validity": (
-        _valid, r"""with a as (select doc_id, regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(substr(text, 1, 60), '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '[A-Za-z]', '', 'g') as t from documents)
+        _valid, r"""with a as (select doc_id, regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '[A-Za-z]', '', 'g') as t from documents)
         select doc_id, cast(length(t) as integer) as n, length(t) < 20 as parse_error, case when length(t) < 20 then 'text too short' end as error_msg from a"""),
 }

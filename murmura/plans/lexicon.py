@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from murmura.functions.text import is_term
+from murmura.functions.text import bound, is_term
 from murmura.ml import student, teacher
 from murmura.operators import coverage, lexicon
 from murmura.plans.proxy import SENT, TAGGED, TERMS, documents, rounded, sent, terms
@@ -124,6 +124,33 @@ def _mixed(s, d):
     return lexicon.tag(sent(s, d).withColumn("sentence", F.expr(_MIXED_SENTENCE)), known).select(*KEY, "hit_term", "aspect_l1", "aspect_l2")
 
 
+_WORDS_AND_GAPS = "[a-z0-9_]+|[^a-z0-9_]+"
+
+
+def _large(s, d):
+    """A lexicon of every word of the documents, and every pair of words beside each other in two sentences or more, over all sentences."""
+    parts = sent(s, d).select(*KEY, F.regexp_extract_all(F.lower("sentence"), F.lit(_WORDS_AND_GAPS), F.lit(0)).alias("p"))
+    words = parts.select(F.explode("p").alias("term")).where(F.col("term").rlike("[a-z_]")).distinct()
+    threes = bound(F.col("p"), lambda p: F.zip_with(F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), F.slice(p, 3, F.size(p)), lambda x, c: F.when(
+        (x["b"] == " ") & c.rlike("[a-z_]") & x["a"].rlike("[a-z_]"), F.concat(x["a"], x["b"], c))))
+    pairs = parts.where(F.size("p") >= 3).select(*KEY, F.explode(F.array_distinct(threes)).alias("term")).where("term is not null").groupBy("term").agg(F.count("*").alias("n")).where("n >= 2")
+    known = words.union(pairs.select("term")).select(F.lit("doc").alias("domain"), F.substring("term", 1, 1).alias("l1"), F.length("term").cast("string").alias("l2"), "term", F.lit(1).alias("ord"))
+    return lexicon.tag(sent(s, d), known).select(*KEY, "hit_term", "aspect_l1", "aspect_l2")
+
+
+#: Runs of pairs that are terms: of such a run every other one is taken, from its first on; the words between are looked at alone.
+_LARGE_SQL = f"""with {SENT}, p as (select doc_id, sentence_idx, regexp_extract_all(lower(sentence), '{_WORDS_AND_GAPS}') as p from sent),
+q as (select doc_id, sentence_idx, unnest(range(1, len(p) + 1)) as i, unnest(p) as w, unnest(p[2:] || [null]) as gap, unnest(p[3:] || [null, null]) as after from p where len(p) > 0),
+r as (select doc_id, sentence_idx, i, w, case when gap = ' ' and regexp_matches(w, '[a-z_]') and regexp_matches(after, '[a-z_]') then w || ' ' || after end as pair from q where regexp_matches(w, '^[a-z0-9_]')),
+k as (select pair from r where pair is not null group by 1 having count(distinct (doc_id, sentence_idx)) >= 2),
+m as (select r.*, k.pair is not null as known from r left join k using (pair)),
+n as (select *, sum(case when known then 0 else 1 end) over (partition by doc_id, sentence_idx order by i rows between unbounded preceding and 1 preceding) as run from m),
+o as (select *, known and (row_number() over (partition by doc_id, sentence_idx, coalesce(run, 0) order by i)) % 2 = 1 as taken from n),
+u as (select *, coalesce(lag(taken) over (partition by doc_id, sentence_idx order by i), false) as eaten from o),
+h as (select distinct doc_id, sentence_idx, case when taken then pair else w end as hit_term from u where taken or (not eaten and regexp_matches(w, '[a-z_]')))
+select doc_id, sentence_idx, hit_term, substr(hit_term, 1, 1) as aspect_l1, cast(length(hit_term) as varchar) as aspect_l2 from h"""
+
+
 _GOOD, _BAD = frozenset({"the", "and", "les", "und"}), frozenset({"of", "that", "de", "der"})
 
 
@@ -148,6 +175,7 @@ QUERIES = {
         f"""with {SENT}, m as (select * from (values {", ".join(f"('{a}', '{b}', '{t}')" for a, b, t in MIXED)}) v(aspect_l1, aspect_l2, hit_term)),
         h as (select distinct doc_id, sentence_idx, unnest(regexp_extract_all(lower({_MIXED_SENTENCE}), '\\bof the\\b|屏幕膜|\\bthe\\b|\\bder\\b|屏幕|续航')) as hit_term from sent)
         select doc_id, sentence_idx, hit_term, aspect_l1, aspect_l2 from h join m using (hit_term)"""),
+    "tag_large": (_large, _LARGE_SQL),
     "tag_all_aspects": (
         lambda s, d: lexicon.tag_all(sent(s, d), terms(s), KEY),
         f"""with {TERMS}, {SENT} select distinct doc_id, sentence_idx, l1 as aspect_l1, l2 as aspect_l2 from sent join (select * from terms where not regexp_matches(term, '^[0-9]+$') and regexp_matches(term, '[a-zA-Z]')) on contains(sentence, term)"""),

@@ -135,8 +135,8 @@ QUERIES = {
         lambda s, d: coverage.token_counts(documents(s, d), "text").where(text.is_term(F.col("term"), 2, 12, STOP)).select("term"),
         f"""with t as (select distinct unnest({tokens_sql('text')}) as term from documents) select term from t where length(term) between 2 and 12 and regexp_matches(term, '\\p{{L}}') and not regexp_matches(term, '^[0-9]+$') and term not in {STOP}"""),
     "tokens_mixed": (
-        lambda s, d: coverage.token_counts(documents(s, d).withColumn("text", F.concat(F.lit("屏幕很好abc续航差_x "), F.substring("text", 1, 40), F.lit(" 高清"))), "text"),
-        f"""with m as (select doc_id, '屏幕很好abc续航差_x ' || substr(text, 1, 40) || ' 高清' as text from documents), t as (select doc_id, unnest({tokens_sql('text')}) as term from m)
+        lambda s, d: coverage.token_counts(documents(s, d).withColumn("text", F.concat(F.lit("屏幕很好abc续航差_x "), F.col("text"), F.lit(" 高清"))), "text"),
+        f"""with m as (select doc_id, '屏幕很好abc续航差_x ' || text || ' 高清' as text from documents), t as (select doc_id, unnest({tokens_sql('text')}) as term from m)
         select term, count(*) as tf, count(distinct doc_id) as df from t group by 1"""),
     "text_sample": (
         lambda s, d: documents(s, d).where(fraction(F.col("text")) < 0.25).select("doc_id"),
