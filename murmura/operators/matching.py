@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Characters of a lexicon that are broadcast as one automaton (some 30 bytes each), and of a shard at most.
 BROADCAST = 4_000_000
 #: Characters that are followed side by side, and texts of a shard that meet in one task.
-STRIDE, TEXTS = 1024, 100_000
+STRIDE, TEXTS = 128, 100_000
 _BITS = 21
 _WORD = np.zeros(0x110001, bool)
 _WORD[[*range(48, 58), *range(97, 123), 95]] = True

@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from murmura.functions.text import bound, is_term
+from murmura.functions.text import HAN, bound, is_term
 from murmura.ml import student, teacher
-from murmura.operators import coverage, lexicon
+from murmura.operators import coverage, lexicon, segment
 from murmura.plans.proxy import SENT, TAGGED, TERMS, documents, rounded, sent, terms
 from murmura.plans.text import STOP, tokens_sql
 
@@ -124,6 +124,35 @@ def _mixed(s, d):
     return lexicon.tag(sent(s, d).withColumn("sentence", F.expr(_MIXED_SENTENCE)), known).select(*KEY, "hit_term", "aspect_l1", "aspect_l2")
 
 
+#: Letters as ideographs: texts without spaces, of which the words are known.
+_LETTERS, _IDEOGRAPHS = "abcdefghijklmnopqrstuvwxyz", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
+
+
+def _spaceless(s, d):
+    return documents(s, d).select("doc_id", F.translate(F.regexp_replace(F.lower("text"), " ", ""), _LETTERS, _IDEOGRAPHS).alias("text"))
+
+
+def _learnt(s, d):
+    return segment.dictionary(_spaceless(s, d), "text", 4, 5, 3.0)
+
+
+def _segmented(s, d):
+    """Words of texts without spaces, by a dictionary of what the texts with spaces have."""
+    known = coverage.token_counts(documents(s, d), "text").select(F.translate("term", _LETTERS, _IDEOGRAPHS).alias("word"), F.col("tf").alias("n"))
+    known = known.where(F.col("word").rlike(f"^{HAN}+$") & (F.length("word") <= 16))
+    return segment.word_counts(segment.words(_spaceless(s, d), "text", known))
+
+
+_LEARNT_SQL = rf"""with r as (select unnest(regexp_extract_all(translate(replace(lower(text), ' ', ''), '{_LETTERS}', '{_IDEOGRAPHS}'), '[\x{{3400}}-\x{{4DBF}}\x{{4E00}}-\x{{9FFF}}]+')) as r from documents),
+l as (select row_number() over () as rid, string_split(r, '') as l from r), c as (select rid, unnest(range(len(l))) as i, unnest(l) as c from l),
+w as (select c, lag(c, 1, '') over x as a, lead(c, 1, '') over x as c1, lead(c, 2, '') over x as c2, lead(c, 3, '') over x as c3, lead(c, 4, '') over x as c4 from c window x as (partition by rid order by i)),
+g as (select c as word, a, c1 as b from w union all select c || c1, a, c2 from w where c1 <> '' union all select c || c1 || c2, a, c3 from w where c2 <> '' union all select c || c1 || c2 || c3, a, c4 from w where c3 <> ''),
+o as (select word, count(*) as n, count(distinct a) as a, count(distinct b) as b from g group by 1),
+t as (select sum(n) as total from o where length(word) = 1),
+p as (select word, n, unnest(range(1, length(word))) as i from o where n >= 5 and length(word) > 1 and a >= 2 and b >= 2),
+f as (select p.word, p.n, max(x.n::double * y.n) as chance from p join o x on x.word = substr(p.word, 1, i) join o y on y.word = substr(p.word, i + 1) group by 1, 2)
+select word, n from (select word, n from f, t where n * total::double >= 3.0 * chance union all select word, n from o where length(word) = 1) order by n desc, word limit {segment.WORDS}"""
+
 _WORDS_AND_GAPS = "[a-z0-9_]+|[^a-z0-9_]+"
 
 
@@ -175,6 +204,8 @@ QUERIES = {
         f"""with {SENT}, m as (select * from (values {", ".join(f"('{a}', '{b}', '{t}')" for a, b, t in MIXED)}) v(aspect_l1, aspect_l2, hit_term)),
         h as (select distinct doc_id, sentence_idx, unnest(regexp_extract_all(lower({_MIXED_SENTENCE}), '\\bof the\\b|屏幕膜|\\bthe\\b|\\bder\\b|屏幕|续航')) as hit_term from sent)
         select doc_id, sentence_idx, hit_term, aspect_l1, aspect_l2 from h join m using (hit_term)"""),
+    "learn_words": (_learnt, _LEARNT_SQL),
+    "segment_words": (_segmented, None),
     "tag_large": (_large, _LARGE_SQL),
     "tag_all_aspects": (
         lambda s, d: lexicon.tag_all(sent(s, d), terms(s), KEY),
