@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from murmura.llm._store import table
 
+#: The lowest score, and the largest component: floats of 32 bits stay far below it.
+LOWEST, MOST = -(1 << 63), 1e140
 SAMPLE, PIVOTS, ANNULI, BLOCK, QUERIES = 16_384, 64, 2048, 2048, 8192
 
 _KEYED = "vec_id long, dim int, pivot int, r double, norm double, vec binary"
@@ -36,7 +38,7 @@ def _whole(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def clean(vectors: DataFrame) -> DataFrame:
     """vec_id, embedding of the vectors that take part."""
-    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > MOST))
     return vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad)
 
@@ -115,7 +117,7 @@ def _bounds(own: pd.DataFrame, p: np.ndarray, q: np.ndarray) -> np.ndarray:
     apart = np.sqrt(np.maximum(qn**2 + (p * p).sum(1) - 2 * inner, 0))
     gap = np.maximum(np.maximum(apart - high, low - apart), 0)
     best = np.minimum(inner + qn * high, (qn**2 + norm**2 - gap**2) / 2)
-    return best + 1 + 1e-9 * np.abs(best)
+    return np.maximum(best + 1 + 1e-9 * np.abs(best), LOWEST)  # scores stop there, too
 
 
 def _route(annuli: pd.DataFrame, pivots: dict[int, np.ndarray], k: int, first: bool):
@@ -144,11 +146,11 @@ def _route(annuli: pd.DataFrame, pivots: dict[int, np.ndarray], k: int, first: b
 
 
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers; beyond what doubles hold exactly, by Python's integers."""
+    """Inner products of whole numbers; beyond what doubles hold exactly, by Python's integers, and beyond 64 bits the nearest of these."""
     if a.shape[1] * max(1.0, np.abs(a).max(initial=0)) * max(1.0, np.abs(b).max(initial=0)) < 2**53:
         return (a @ b.T).astype(np.int64)
     whole = np.array([[int(x) for x in r] for r in a], object) @ np.array([[int(x) for x in r] for r in b], object).T
-    return whole.astype(np.int64)
+    return np.minimum(np.maximum(whole, LOWEST), -LOWEST - 1).astype(np.int64)
 
 
 def _visit(k: int):
@@ -164,7 +166,7 @@ def _visit(k: int):
                 for query, least, row in zip(part["query_id"], part["least"], scores):
                     at = np.flatnonzero((ids != query) & (row >= least))
                     if len(at) > k:  # ids ascend, so a stable order settles ties
-                        at = at[np.argsort(-row[at], kind="stable")[:k]]
+                        at = at[np.argsort(~row[at], kind="stable")[:k]]
                     out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at], "score": row[at]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
 
@@ -202,8 +204,9 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
 def top_k(vectors: DataFrame, k: int = 10, step: int = 100) -> DataFrame:
     """The search with vectors whose vec_id is divisible by step as queries, against all others.
 
-    Components become floor(1024 x). Vectors that are null or hold null or non-finite components, and those with a null
-    vec_id, take no part. A query sees vectors of its own dimension. Rows with the same vec_id are each a candidate for
+    Components become floor(1024 x). Vectors that are null or hold null or non-finite components (or ones above MOST, whose
+    squares doubles don't hold), and those with a null vec_id, take no part. Scores beyond 64 bits are the nearest number of
+    64 bits, and so equal to others beyond. A query sees vectors of its own dimension. Rows with the same vec_id are each a candidate for
     other queries; as a query the smallest of them counts. An empty table gives no rows."""
     index = Index(vectors)
     queries = index.vectors.where(F.col("vec_id") % step == 0).select(F.col("vec_id").alias("query_id"), "dim", "vec")

@@ -552,7 +552,7 @@ def brute_kneser_ney(texts: list[str]):
 def test_kneser_ney(spark):
     texts = [prose(random.Random(i), 20) for i in range(8)] + ["日本語の文章。日本の文", "ABC abc Abc"]
     tables = quality.train(spark.createDataFrame([(t,) for t in texts], "text string"))
-    model, p = quality.Model(tables), brute_kneser_ney(texts)
+    model, p = quality.Model(tables.known.toArrow(), tables.first, tables.unknown, tables.average), brute_kneser_ney(texts)
     asked = [texts[0][:40], "日本人の文", "aBC ABC", "zz\U0001F600日", "x"]
     for t in asked:
         raw = np.frombuffer(t.encode(), np.uint8)
@@ -568,15 +568,18 @@ def test_kneser_ney(spark):
         every = {g[-1] for t in texts for g in [(x,) for x in t]} | {"", "unknown"}
         assert sum(p((*context, x)) for x in every) == pytest.approx(1)
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "row long, text string")
-    joined = {r["row"]: r["perplexity"] for r in quality._joined(frame, tables).collect()}
+    told = quality.scored(frame.repartition(3), tables, ["row"], "row long, perplexity double")
+    joined = {r["row"]: r["perplexity"] for r in told.collect()}
+    assert "ReusedExchange" in told._jdf.queryExecution().executedPlan().toString()  # the texts are shuffled once
     for i, t in enumerate(asked):
         raw = np.frombuffer(t.encode(), np.uint8)
         assert joined[i] == pytest.approx(model.perplexity(raw, np.array([0, len(raw)]))[0])
 
 
-@pytest.mark.parametrize("broadcast", [quality.BROADCAST, 0])
-def test_classifier(spark, none, broadcast, monkeypatch):
-    monkeypatch.setattr(quality, "BROADCAST", broadcast)
+@pytest.mark.parametrize("unit,units", [(quality.UNIT, quality.UNITS), (5000, 1)])
+def test_classifier(spark, none, unit, units, monkeypatch):
+    monkeypatch.setattr(quality, "UNIT", unit)
+    monkeypatch.setattr(quality, "UNITS", units)
     rng = random.Random(9)
     good = [(i, prose(rng, 80), ["en", "de", None][i % 3], None, None) for i in range(700)]
     junk = [(1000 + i, "".join(rng.choice("QZ#@|~") for _ in range(300)), "en", None, None) for i in range(30)]
@@ -589,3 +592,27 @@ def test_classifier(spark, none, broadcast, monkeypatch):
     assert stay.columns == frame.columns and {r["doc_id"] for r in stay.collect()} == {i for i, r in got.items() if r["kept"]}
     assert quality.classify(frame, labels.limit(0)).where("kept").count() == 730
     assert quality.classify(none, labels).count() == 0 and quality.kept(none, labels).count() == 0
+
+
+def test_quality_stage_edges(spark, none):
+    """Null ids, languages and texts, repeated rows and clashing columns in the stages' input."""
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 60), "en", "s", 1) for i in range(200)] + [(None, prose(rng, 60), None, None, None), (7, None, None, None, None), (7, "", "en", "s", 0), (8, "dup " * 20_000, "en", "s", 0), (8, "dup " * 20_000, "en", "s", 0)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    for c in ("part", "perplexity", "unit", "blob", "guard"):
+        frame = frame.withColumn(c, F.lit("x"))
+    labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    got = quality.classify(frame, labels)
+    assert got.count() == len(rows) and got.where("perplexity is null").count() == 2
+    stay = quality.kept(frame, labels)
+    assert stay.columns == frame.columns and stay.count() == got.where("kept").count()
+    assert {r["perplexity"] for r in stay.select("perplexity").distinct().collect()} == {"x"}
+
+
+def test_top_k_of_large_components(spark):
+    rows = [(0, [1e30, 1.0]), (1, [1e17, 1e17]), (2, [1e30, -1.0]), (3, [-1e30, 5.0]), (4, [0.5, 0.25]), (100, [3e38, 3e38])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 10).collect()
+    whole = {i: [math.floor(1024 * float(np.float32(x))) for x in v] for i, v in rows}
+    for q in (0, 100):
+        told = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(whole[q], v)))), i) for i, v in whole.items() if i != q)
+        assert [(r["vec_id"], -r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [(i, s) for s, i in told]
