@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from murmura.functions.labels import argmax
 from murmura.functions.times import parse
+from murmura.operators import selection
 
 
 def label_dist(rows: DataFrame, threshold: float) -> DataFrame:
@@ -33,8 +34,8 @@ def probabilities(rows: DataFrame, tolerance: float = 1e-2) -> DataFrame:
 
 
 def quantiles(rows: DataFrame, points: list[float], by: list[str] | None = None) -> DataFrame:
-    """Exact interpolated quantiles of confidence."""
-    return rows.groupBy(*(by or [])).agg(F.percentile("confidence", points).alias("q")).select(*(by or []), *(F.col("q")[i].alias(f"q{round(100 * p)}") for i, p in enumerate(points)))
+    """Exact interpolated quantiles of confidence, a column each."""
+    return selection.quantiles(rows, "confidence", points, by).select(*(by or []), *(F.get("q", i).alias(f"q{round(100 * p)}") for i, p in enumerate(points)))
 
 
 def aspect_shares(rows: DataFrame, label: str, k: int) -> DataFrame:

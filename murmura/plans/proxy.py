@@ -1,13 +1,12 @@
 """The engine's inputs made of the driver's tables, in Spark and in SQL for DuckDB."""
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmura.functions.labels import argmax
 from murmura.functions.times import parse
+from murmura.sources.scratch import shared  # noqa: F401
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 K5 = "domain, brand, model, aspect_l1, aspect_l2"
@@ -56,20 +55,6 @@ preds as (select * exclude (x), case when p_neg >= p_neu and p_neg >= p_pos then
   concat_ws('-', 's', l_orderkey, l_linenumber) as sentence, md5(concat_ws('#', l_orderkey, l_linenumber, l_partkey, l_suppkey)) as pair_id from timed)"""
 
 
-_own: dict[str, str] = {}
-
-
-def shared(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of this machine's own only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        app = spark.sparkContext.applicationId
-        folder = _own[app] = _own.get(app) or f"file://{tempfile.mkdtemp(prefix='murmura-')}"
-    return folder.rstrip("/")
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
