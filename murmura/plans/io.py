@@ -13,7 +13,7 @@ from murmura.operators import aggregate, coverage, ingest, serving
 from murmura.plans.proxy import KEY, PREDS, documents, preds, shared
 from murmura.plans.serving import STATS, stats
 from murmura.plans.text import tokens_sql
-from murmura.sources import config, sheets, sqlite, tables
+from murmura.sources import config, lines, sheets, sqlite, tables
 from murmura.streaming import incremental
 
 
@@ -87,6 +87,29 @@ def _sheet_terms(s, d):
     return sheets.terms(sheets.read(s, path), "unmapped").select("term", "df", "source")
 
 
+def _line_files(s, d):
+    """A file of JSON lines for each language: some documents behind a blank or broken line, some in arrays of two."""
+    one = F.to_json(F.struct("doc_id", F.col("text").alias("content")))
+    value = F.concat(
+        F.when(F.col("doc_id") % 7 == 0, F.lit("{broken\n")).otherwise(""), F.when(F.col("doc_id") % 11 == 0, F.lit("\r\n")).otherwise(""),
+        F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("["), one, F.lit(", 3, {\"doc_id\": -1}]"))).otherwise(one))
+    root = _folder(s, "lines")
+    rows = s.read.parquet(f"{d}/documents.parquet").select("lang", "doc_id", value.alias("value"))
+    rows.repartition("lang").sortWithinPartitions("lang", "doc_id").select("lang", "value").write.partitionBy("lang").text(root)
+    return root
+
+
+def _lines(s, d, legacy):
+    rows = lines.lines(s, _line_files(s, d))
+    found = lines.line_records(rows, legacy, 1 if legacy else 0)
+    told = F.try_variant_get("record", "$.doc_id", "bigint")
+    return found.select(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang"), "source_line", told.alias("doc_id"), F.coalesce(F.length(F.try_variant_get("record", "$.content", "string")), F.lit(0)).alias("n"))
+
+
+_LINES_SQL = """with a as (select *, case when doc_id % 7 = 0 then 1 else 0 end + case when doc_id % 11 = 0 then 1 else 0 end as before from documents),
+b as (select *, cast(sum(before + 1) over (partition by lang order by doc_id) - 1 as bigint) as line from a)"""
+
+
 def _hive(s, d):
     root = _folder(s, "preds")
     rows = preds(s, d, False).select("brand", "aspect_l1", "pred_label", "l_linenumber")
@@ -248,6 +271,11 @@ QUERIES = {
     "snapshot": (_snapshot, f"with {STATS} select sentiment, cast(sum(count) as bigint) as count from stats where sentiment = 'NEG' group by 1"),
     "csv_pair": (_csv_pair, f"with {STATS} select brand, cast(sum(count) as bigint) as count from stats group by 1"),
     "first_rows": (_first, "select o_orderkey from orders limit 25"),
+    "json_lines": (lambda s, d: _lines(s, d, False), f"{_LINES_SQL} select lang, line as source_line, doc_id, cast(length(text) as integer) as n from b where doc_id % 5 <> 0"),
+    "json_lines_legacy": (
+        lambda s, d: _lines(s, d, True),
+        f"""{_LINES_SQL} select lang, line + 1 as source_line, doc_id, cast(length(text) as integer) as n from b
+        union all select lang, line + 1, -1, 0 from b where doc_id % 5 = 0"""),
     "resumed": (_resumed, f"with {PREDS} select pred_label, count(*) as cnt, cast(sum(2 * l_linenumber) as bigint) as doubled from preds group by 1"),
     "remembered_replies": (
         _remembered, f"with t as (select term from (select doc_id, unnest({tokens_sql('text')}) as term from documents) group by 1 having count(distinct doc_id) >= 5) select term, cast(case when length(term) < 5 then length(term) else -length(term) end as integer) as reply from t"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 import json
 from pathlib import PurePosixPath
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from murmura.operators.lexicon import SCHEMA
@@ -25,9 +26,19 @@ def predictions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def hive(spark: SparkSession, root: str, depth: int = 6) -> DataFrame:
-    """Every Parquet file below a folder, with the columns that name=value folders stand for.
+    """Every Parquet file below a folder, with the columns that name=value folders stand for, as text.
 
-    Folders may mix plain names and name=value; each level is a glob, and files in fewer folders have nulls for the rest."""
+    Where all files lie in folders of the same names, these are Spark's own partitions: files are listed in parallel, and a
+    filter or a join on such a column leaves files unopened. Folders may also mix plain names and name=value; then each
+    level is a glob, values come from the paths, and files in fewer folders have nulls for the rest."""
+    try:
+        rows, inside = spark.read.parquet(root), spark.read.option("recursiveFileLookup", "true").parquet(root).columns
+        named = {c for c in rows.columns if c not in inside}
+        # Spark would leave out files beside partition folders.
+        if named and not _any(spark, f"{root}/*.parquet"):
+            return rows.select(*(F.col(c).cast("string").alias(c) if c in named else F.col(c) for c in rows.columns))
+    except (AnalysisException, SparkRuntimeException, Py4JJavaError):  # folders that Spark can't read as partitions
+        pass
     found: DataFrame | None = None
     for n in range(depth + 1):
         try:
@@ -35,9 +46,10 @@ def hive(spark: SparkSession, root: str, depth: int = 6) -> DataFrame:
         except AnalysisException:
             continue
         path = F.col("_metadata.file_path")
-        below = [f.split("/") for f in part.inputFiles()]
-        names = sorted({x.split("=")[0] for f in below for x in f[-1 - n : -1] if "=" in x} - {c.lower() for c in part.columns})
-        for name in names:
+        # The names are looked for on the executors; a row for each comes back.
+        names = part.select(F.explode(F.regexp_extract_all(path, F.lit("/([^/=]+)=[^/]*(?=/)"), F.lit(1))).alias("name"), path.alias("p")).where(
+            F.expr(f"array_contains(slice(split(p, '/'), -{n + 1}, {n}), concat(name, '=', regexp_extract(p, concat('/', name, '=([^/]*)/'), 1)))") if n else F.lit(False))
+        for name in sorted({r["name"] for r in names.select("name").distinct().collect()} - {c.lower() for c in part.columns}):
             value = F.nullif(F.url_decode(F.regexp_extract(path, f"/{name}=([^/]*)/", 1)), F.lit("__HIVE_DEFAULT_PARTITION__"))
             part = part.withColumn(name, F.nullif(value, F.lit("")))
         found = part if found is None else found.unionByName(part, allowMissingColumns=True)
@@ -46,9 +58,25 @@ def hive(spark: SparkSession, root: str, depth: int = 6) -> DataFrame:
     return found
 
 
+def _any(spark: SparkSession, pattern: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return len(where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []) > 0
+
+
 def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows in the order of files and of their places in these."""
-    return df.select("*", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.row_index").alias("__i")).orderBy("__f", "__i").limit(n).drop("__f", "__i")
+    """The first n rows in the order of files and of their places in these; the rows come in any order.
+
+    How many rows a Parquet file has stands in its footer, so counting them by file reads no column. Files beyond those
+    that hold the first n rows aren't opened again."""
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    counts = df.groupBy(path.alias("path")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    held = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("start") < n).orderBy("path").collect()  # files, at most n
+    if not held:
+        return df.limit(0)
+    *whole, last = held
+    kept = (path == last["path"]) & (place < n - last["start"])
+    return df.where(path.isin([r["path"] for r in held]) & (path.isin([r["path"] for r in whole]) | kept if whole else kept))
 
 
 def columns_of(spark: SparkSession, path: str) -> dict[str, str]:
