@@ -13,7 +13,7 @@ from murmura.operators import aggregate, coverage, ingest, serving
 from murmura.plans.proxy import KEY, PREDS, documents, preds, shared
 from murmura.plans.serving import STATS, stats
 from murmura.plans.text import tokens_sql
-from murmura.sources import config, lines, sheets, sqlite, tables
+from murmura.sources import config, lines, mirror, sheets, sqlite, tables
 from murmura.streaming import incremental
 
 
@@ -164,6 +164,28 @@ def _csv_pair(s, d):
     return back.select(F.col(back.columns[0]).alias("brand"), F.col("count").cast("long").alias("count"))
 
 
+def _mirrored(s, d):
+    """Predictions in two lots of files: the second run reads only the row groups that the first hasn't."""
+    source, target = _folder(s, "predicted"), _folder(s, "mirrored")
+    rows = preds(s, d, False).select("l_orderkey", "l_linenumber", "pred_label")
+    step = lambda df: df.select("pred_label", (F.col("l_linenumber") * 2).alias("doubled"), mirror.FILE, mirror.GROUP)
+    for part in (0, 1):
+        rows.where(F.col("l_orderkey") % 2 == part).write.mode("append").option("parquet.block.size", 1 << 18).parquet(f"{source}/lot={part}")
+        mirror.run(s, source, target, step, batches=2, schema=rows.schema)
+    told = mirror.manifest(s, target).agg(F.sum("rows").alias("manifest_rows"))
+    made = s.read.option("recursiveFileLookup", "true").parquet(target)
+    return made.groupBy("pred_label").agg(F.count("*").alias("cnt"), F.sum("doubled").cast("long").alias("doubled")).join(F.broadcast(told))
+
+
+def _days(s, d):
+    """Monthly stats in a folder a month, of which those from 2001 on are loaded again, doubled, without 2001-02."""
+    path = _folder(s, "months")
+    rows = stats(s, d).groupBy(F.substring("date", 1, 7).alias("month"), "brand", "sentiment").agg(F.sum("count").cast("long").alias("count"))
+    tables.load_days(s, path, rows, "month")
+    tables.load_days(s, path, rows.where("month >= '2001-01' and month <> '2001-02'").withColumn("count", F.col("count") * 2), "month")
+    return tables.days(s, path, "month").groupBy("month").agg(F.sum("count").alias("count"))
+
+
 def _first(s, d):
     return tables.first_rows(s.read.parquet(f"{d}/orders.parquet"), 25).select("o_orderkey")
 
@@ -271,6 +293,11 @@ QUERIES = {
     "snapshot": (_snapshot, f"with {STATS} select sentiment, cast(sum(count) as bigint) as count from stats where sentiment = 'NEG' group by 1"),
     "csv_pair": (_csv_pair, f"with {STATS} select brand, cast(sum(count) as bigint) as count from stats group by 1"),
     "first_rows": (_first, "select o_orderkey from orders limit 25"),
+    "mirrored": (
+        _mirrored, f"""with {PREDS} select pred_label, count(*) as cnt, cast(sum(2 * l_linenumber) as bigint) as doubled, (select count(*) from preds) as manifest_rows from preds group by 1"""),
+    "load_days": (
+        _days, f"""with {STATS} select substr(date, 1, 7) as month, cast(sum(case when date >= '2001-01' then 2 * count else count end) as bigint) as count from stats
+        where substr(date, 1, 7) <> '2001-02' group by 1"""),
     "json_lines": (lambda s, d: _lines(s, d, False), f"{_LINES_SQL} select lang, line as source_line, doc_id, cast(length(text) as integer) as n from b where doc_id % 5 <> 0"),
     "json_lines_legacy": (
         lambda s, d: _lines(s, d, True),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from murmura.operators.lexicon import SCHEMA
+from murmura.sources.scratch import table
 
 #: The largest table that goes into one sheet.
 SHEET_ROWS = 1_000_000
@@ -232,6 +233,31 @@ def load_range(spark: SparkSession, root: str, new: DataFrame) -> None:
     publish({"daily_stats": replace_range(old, new)}, root, stamp)
 
 
+def load_days(spark: SparkSession, path: str, new: DataFrame, day: str = "date") -> None:
+    """Loads days into a table of a folder for each day, in place of all that it has from the first to the last new day.
+
+    Spark stages the new days and moves each over the old one; then the days go that lie in between and have no new rows.
+    Other days' files aren't touched, and a load that is done twice changes nothing. A null day is a folder of its own,
+    which is replaced where there are new rows for it."""
+    new = table(new, "days")  # asked three times
+    ends = new.agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    if files.exists(where) and ends["a"] is not None:
+        old = days(spark, path, day).select(day).distinct().where(F.col(day).between(ends["a"], ends["b"]))
+        gone = [r[0] for r in old.join(new.select(day).distinct(), day, "left_anti").collect()]  # days of the range
+    new.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(day).parquet(path)
+    for x in gone:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(where, f"{day}={x}"), True)
+
+
+def days(spark: SparkSession, path: str, day: str = "date") -> DataFrame:
+    """The table of days; a filter on the day opens only its files."""
+    rows = spark.read.parquet(path)
+    return rows.withColumn(day, F.col(day).cast("string"))
+
+
 def domain_of(path: str, df: DataFrame | None = None, given: str | None = None) -> str:
     """The domain: given, or after outputs/ in the path, or the first that the rows name."""
     parts = PurePosixPath(path).parts

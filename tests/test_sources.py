@@ -77,3 +77,21 @@ def test_first_rows(spark, tmp_path, n):
     files = sorted(f for f in os.listdir(where) if f.endswith(".parquet"))
     every = [r["id"] for f in files for r in spark.read.parquet(f"{where}/{f}").collect()]
     assert sorted(r["id"] for r in tables.first_rows(spark.read.parquet(where), n).collect()) == sorted(every[:n])
+
+
+def test_days(spark, tmp_path):
+    path = f"{tmp_path}/days"
+    frame = lambda rows: spark.createDataFrame(rows, "date string, n int")
+    first = [("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3), ("2024-02-01", 4), (None, 5)]
+    tables.load_days(spark, path, frame(first))
+    told = lambda: sorted(((r["date"], r["n"]) for r in tables.days(spark, path).collect()), key=str)
+    assert told() == sorted(first, key=str)
+    stamps = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if "=" in d}
+    for _ in range(2):
+        tables.load_days(spark, path, frame([("2024-01-01", 10), ("2024-01-03", 30), ("2024-01-03", 31)]))
+        assert told() == sorted([("2024-01-01", 10), ("2024-01-03", 30), ("2024-01-03", 31), ("2024-02-01", 4), (None, 5)], key=str)
+    after = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if "=" in d}
+    assert after["date=2024-02-01"] == stamps["date=2024-02-01"] and "date=2024-01-02" not in after
+    assert after["date=2024-01-01"] != stamps["date=2024-01-01"]
+    tables.load_days(spark, path, frame([]))
+    assert len(told()) == 5
