@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmura.functions.text import ngrams, tokens
+from murmura.sources.scratch import table
 
 
 def tag_counts(sentences: DataFrame, tagged: DataFrame, key: list[str]) -> DataFrame:
@@ -43,10 +44,10 @@ def phrase_counts(texts: DataFrame, column: str, n: int) -> DataFrame:
 def term_stats(sentences: DataFrame, column: str, examples: int = 2) -> DataFrame:
     """tf, df over sentences and the first examples of each word.
 
-    Totals and first places come from one exchange of counts by word and sentence; the examples' texts are fetched last,
-    for the few sentences that are shown."""
+    Totals and first places come from one table of counts by word and sentence; the examples' texts are fetched last, for
+    the few sentences that are shown."""
     key = ["doc_id", "sentence_idx"]
-    once = sentences.select(*key, F.explode(tokens(F.col(column))).alias("term")).groupBy("term", *key).agg(F.count("*").alias("n"))
+    once = table(sentences.select(*key, F.explode(tokens(F.col(column))).alias("term")).groupBy("term", *key).agg(F.count("*").alias("n")), "tokens")
     totals = once.groupBy("term").agg(F.sum("n").alias("tf"), F.count("*").alias("df"))
     first = once.withColumn("k", F.row_number().over(Window.partitionBy("term").orderBy(*key))).where(F.col("k") <= examples).drop("n")
     texts = first.join(sentences.select(*key, F.substring(column, 1, 100).alias("s")), key)

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmura.functions.times import month_end_bin, sunday_week
+from murmura.sources.scratch import table
 
 PERIODS = (7, 30, 90, 180, 365)
 
@@ -81,8 +82,9 @@ def trend(stats: DataFrame, grain: str) -> DataFrame:
     """Counts of each product by day, week from Sunday or month end, without gaps between its first and last."""
     day = F.to_date("date")
     label = {"day": day, "week": sunday_week(day), "month": month_end_bin(day)}[grain]
-    rows = product_key(stats).withColumn("bin", label).groupBy("product_key", "bin").agg(
-        _part("POS").alias("pos"), _part("NEU").alias("neu"), _part("NEG").alias("neg"))
+    # A table, as the ends and the counts both come from it.
+    rows = table(product_key(stats).withColumn("bin", label).groupBy("product_key", "bin").agg(
+        _part("POS").alias("pos"), _part("NEU").alias("neu"), _part("NEG").alias("neg")), "bins")
     step = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month"}[grain]
     ends = rows.groupBy("product_key").agg(F.min("bin").alias("a"), F.max("bin").alias("b"))
     if grain == "month":

@@ -8,6 +8,7 @@ from murmura.ml import student, teacher
 from murmura.operators import coverage, lexicon, segment
 from murmura.plans.proxy import SENT, TAGGED, TERMS, documents, rounded, sent, terms
 from murmura.plans.text import STOP, tokens_sql
+from murmura.sources.scratch import table
 
 KEY = ["doc_id", "sentence_idx"]
 RULES = [("looks", "shape", "^an"), ("power", "battery", "^(de|la)"), ("care", "service", "tion$")]
@@ -59,22 +60,25 @@ def _tokens(s, d):
     return sent(s, d).select(*KEY, F.explode(coverage.tokens(F.col("sentence"))).alias("term")).groupBy("term", *KEY).agg(F.count("*").alias("n"))
 
 
-def _asked(s, d):
+def _asked(s, d, words):
     """The commonest terms that the lexicon doesn't have."""
     known = lexicon.matcher(terms(s)).select("term")
-    counts = _tokens(s, d).groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("tf")).where("df >= 5").where(is_term(F.col("term"), 2, 12, STOP))
+    counts = words.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("tf")).where("df >= 5").where(is_term(F.col("term"), 2, 12, STOP))
     return coverage.top_terms(counts.join(F.broadcast(known), "term", "left_anti"), TERMS_ASKED)
 
 
-def _sampled(s, d, asked=None):
-    asked = asked if asked is not None else _asked(s, d)
-    return coverage.samples(_tokens(s, d).join(F.broadcast(asked.select("term")), "term"), SENTENCES).select("term", *KEY, "k")
+def _sampled(s, d, asked=None, words=None):
+    words = words if words is not None else table(_tokens(s, d), "tokens")
+    asked = asked if asked is not None else _asked(s, d, words)
+    return coverage.samples(words.join(F.broadcast(asked.select("term")), "term"), SENTENCES).select("term", *KEY, "k")
 
 
 def _suggested(s, d):
-    asked = _asked(s, d)
-    shown = _sampled(s, d, asked).join(sent(s, d), KEY)
-    return coverage.suggest(asked, shown, tagged(s, d))
+    words = table(_tokens(s, d), "tokens")
+    asked = table(_asked(s, d, words), "asked")
+    shown = table(_sampled(s, d, asked, words).join(sent(s, d), KEY), "shown")
+    # Only the sentences that are shown are tagged.
+    return coverage.suggest(asked, shown, lexicon.tag(shown.select(*KEY, "sentence").distinct(), terms(s)))
 
 
 def _replies(rows):

@@ -26,7 +26,7 @@ def _bucketed(s, d):
 
 
 def _recent(s, d, by):
-    return web.latest_tally(_bucketed(s, d).withColumn("day", F.to_date("ts")), [*by, "bucket"], None, 30)
+    return web.latest_buckets(preds(s, d).withColumn("day", F.to_date("ts")), by, 10, 30)
 
 
 def _v1(s, d):
