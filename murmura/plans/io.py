@@ -13,7 +13,7 @@ from murmura.operators import aggregate, coverage, ingest, serving
 from murmura.plans.proxy import KEY, PREDS, documents, preds, shared
 from murmura.plans.serving import STATS, stats
 from murmura.plans.text import tokens_sql
-from murmura.sources import config, lines, mirror, sheets, sqlite, tables
+from murmura.sources import config, lines, mirror, sheets, sqlite, steplog, tables
 from murmura.streaming import incremental
 
 
@@ -186,6 +186,16 @@ def _days(s, d):
     return tables.days(s, path, "month").groupBy("month").agg(F.sum("count").alias("count"))
 
 
+def _logged(s, d):
+    """A step over predictions with the log's record of it."""
+    root = _folder(s, "steps")
+    rows = preds(s, d, False).select("brand", "model", "pred_label")
+    steplog.logged(rows, "predict", f"{root}/out", f"{root}/log", counts={"no_model": F.col("model").isNull(), "negative": F.col("pred_label") == "NEG"})
+    steplog.logged(s.read.parquet(f"{root}/out").groupBy("pred_label").count(), "count", f"{root}/counts", f"{root}/log", [f"{root}/out"])
+    told = steplog.records(s, f"{root}/log").where("status = 'done' and output_files > 0 and output_bytes > 0")
+    return told.select("step", "rows", F.coalesce(F.col("counts")["no_model"], F.lit(0)).alias("no_model"), F.coalesce(F.col("counts")["negative"], F.lit(0)).alias("negative"), (F.size("inputs") > 0).alias("has_inputs"))
+
+
 def _first(s, d):
     return tables.first_rows(s.read.parquet(f"{d}/orders.parquet"), 25).select("o_orderkey")
 
@@ -298,6 +308,9 @@ QUERIES = {
     "load_days": (
         _days, f"""with {STATS} select substr(date, 1, 7) as month, cast(sum(case when date >= '2001-01' then 2 * count else count end) as bigint) as count from stats
         where substr(date, 1, 7) <> '2001-02' group by 1"""),
+    "step_log": (
+        _logged, f"""with {PREDS} select 'predict' as step, count(*) as rows, count(case when model is null then 1 end) as no_model, count(case when pred_label = 'NEG' then 1 end) as negative, false as has_inputs from preds
+        union all select 'count', count(distinct pred_label), 0, 0, true from preds"""),
     "json_lines": (lambda s, d: _lines(s, d, False), f"{_LINES_SQL} select lang, line as source_line, doc_id, cast(length(text) as integer) as n from b where doc_id % 5 <> 0"),
     "json_lines_legacy": (
         lambda s, d: _lines(s, d, True),

@@ -95,3 +95,30 @@ def test_days(spark, tmp_path):
     assert after["date=2024-01-01"] != stamps["date=2024-01-01"]
     tables.load_days(spark, path, frame([]))
     assert len(told()) == 5
+
+
+def test_step_log(spark, tmp_path):
+    from murmura.sources import steplog
+
+    src, log, out = f"{tmp_path}/in", f"{tmp_path}/log", f"{tmp_path}/out"
+    spark.range(100).coalesce(1).write.parquet(src)
+    rows = spark.read.parquet(src)
+    assert steplog.stale(spark, log, "a", [src])
+    made = steplog.logged(rows, "a", out, log, [src], {"even": F.col("id") % 2 == 0})
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert (made["rows"], made["counts"], made["output_files"]) == (100, {"even": 50}, len(parts))
+    assert made["output_bytes"] == sum(os.path.getsize(f"{out}/{f}") for f in parts)
+    told = steplog.records(spark, log).collect()
+    assert [(r["step"], r["status"], r["rows"], r["counts"]["even"]) for r in told] == [("a", "done", 100, 50)]
+    import hashlib
+
+    data = [f for f in os.listdir(src) if f.startswith("part-")]
+    assert {(os.path.basename(i["path"]), i["size"], i["sha256"]) for i in told[0]["inputs"] if "part-" in i["path"]} >= {
+        (f, os.path.getsize(f"{src}/{f}"), hashlib.sha256(open(f"{src}/{f}", "rb").read()).hexdigest()) for f in data}
+    assert not steplog.stale(spark, log, "a", [src]) and steplog.stale(spark, log, "b", [src])
+    with pytest.raises(Exception, match="broken"):
+        steplog.logged(rows.select(F.when(F.col("id") == 50, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("id")), "b", out, log)
+    assert {(r["step"], r["status"]) for r in steplog.records(spark, log).collect()} == {("a", "done"), ("b", "failed")}
+    assert steplog.stale(spark, log, "b", [src])
+    spark.range(5).coalesce(1).write.mode("append").parquet(src)
+    assert steplog.stale(spark, log, "a", [src])
