@@ -52,19 +52,21 @@ def label(rows: DataFrame, teacher: Teacher, prompt: str, batch: int = 20, retri
     """rows with pred_label and confidence. Replies count by position: what a short reply leaves over, and batches that fail after retries, are left out."""
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
+            kept, labels, sure = [], [], []
             for a in range(0, len(pdf), batch):
-                part = pdf.iloc[a : a + batch]
+                part = pdf[prompt].iloc[a : a + batch].tolist()
                 for _ in range(retries + 1):
                     try:
-                        replies = parse_reply(teacher.reply(part[prompt].tolist()))
+                        replies = parse_reply(teacher.reply(part))
                         break
                     except OSError:
                         replies = []
-                part = part.iloc[: len(replies)].copy()
-                names = [str(r.get("label", "")).upper() for r in replies[: len(part)]]
-                part["pred_label"] = ["POS" if "POS" in n else "NEG" if "NEG" in n else "NEU" for n in names]
-                part["confidence"] = [float(r.get("confidence", 0)) for r in replies[: len(part)]]
-                yield part
+                replies = replies[: len(part)]
+                kept += range(a, a + len(replies))
+                names = [str(r.get("label", "")).upper() for r in replies]
+                labels += ["POS" if "POS" in n else "NEG" if "NEG" in n else "NEU" for n in names]
+                sure += [float(r.get("confidence", 0)) for r in replies]
+            yield pdf.iloc[kept].assign(pred_label=labels, confidence=sure)
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInPandas(run, f"{names}, {SCHEMA}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from murmura.functions.text import HAN, bound, is_term
-from murmura.ml import student, teacher
+from murmura.ml import bag, teacher
 from murmura.operators import coverage, lexicon, segment
 from murmura.plans.proxy import SENT, TAGGED, TERMS, documents, rounded, sent, terms
 from murmura.plans.text import STOP, tokens_sql
@@ -192,9 +192,8 @@ def _taught(s, d):
 
 
 def _student(s, d):
-    rows = _taught(s, d)
-    model = student.train(rows, "sentence")
-    return student.predict(model, rows.drop("pred_label", "confidence"))
+    rows = table(_taught(s, d), "taught")  # the teacher is asked once
+    return bag.predict(bag.train(rows, "sentence"), rows.drop("pred_label", "confidence"), "sentence")
 
 
 QUERIES = {
