@@ -70,9 +70,9 @@ def _confidence(spark, d):
 
 
 QUERIES = {
-    "agg_all": (lambda s, d: rounded(agg.aggregate_all(preds(s, d, False))), f"with {PREDS} {_all_sql('preds', K5)}"),
-    "agg_hard": (lambda s, d: rounded(agg.aggregate_hard(preds(s, d, False), T)), f"with {PREDS} {_hard_sql('preds', K5)}"),
-    "agg_soft": (lambda s, d: rounded(agg.aggregate_soft(preds(s, d, False))), f"with {PREDS} {_soft_sql('preds', K5)}"),
+    "agg_all": (lambda s, d: rounded(agg.aggregate_all(preds(s, d, False, False))), f"with {PREDS} {_all_sql('preds', K5)}"),
+    "agg_hard": (lambda s, d: rounded(agg.aggregate_hard(preds(s, d, False, False), T)), f"with {PREDS} {_hard_sql('preds', K5)}"),
+    "agg_soft": (lambda s, d: rounded(agg.aggregate_soft(preds(s, d, False, False))), f"with {PREDS} {_soft_sql('preds', K5)}"),
     "label_from_id": (_from_id, f"with {PREDS} select pred_label as label, count(*) as cnt from preds group by 1"),
     "confidence_fallback": (_confidence, f"with {PREDS} select aspect_l1, round(avg(confidence), 6) as avg_confidence, round(max(confidence), 6) as max_confidence from preds group by 1"),
     "hard_filter": (
@@ -100,7 +100,7 @@ QUERIES = {
             f"""select brand, aspect_l1, '{x}' as side, cast(rank as integer) as rank, {KEY_SQL}, round(p_pos, 6) as p_pos, round(p_neg, 6) as p_neg from
             (select *, row_number() over (partition by brand, aspect_l1 order by p_{x} desc, {KEY_SQL}) as rank from preds) where rank <= 3""" for x in ("pos", "neg"))),
     "pivot_l2": (
-        lambda s, d: rounded(agg.pivot_score(agg.aggregate_hard(preds(s, d, False), T), ["F", "O"])),
+        lambda s, d: rounded(agg.pivot_score(agg.aggregate_hard(preds(s, d, False, False), T), ["F", "O"])),
         f"with {PREDS}, h as ({_hard_sql('preds', K5).replace('round((pos_cnt_hard - neg_cnt_hard) / nullif(total_hard, 0), 6)', '(pos_cnt_hard - neg_cnt_hard) / nullif(total_hard, 0)')}) "
         "select aspect_l1, round(avg(case when aspect_l2 = 'F' then sent_score_hard end), 6) as \"F\", round(avg(case when aspect_l2 = 'O' then sent_score_hard end), 6) as \"O\" from h group by 1"),
     "pairs_enrich": (

@@ -13,8 +13,10 @@ K5 = "domain, brand, model, aspect_l1, aspect_l2"
 KEY_SQL = ", ".join(KEY)
 
 
-def preds(spark: SparkSession, sf_dir: str, timed: bool = True) -> DataFrame:
-    """Predictions: a row per line item, with null models and times in four spellings; `ts`, the time that is read, only if asked for."""
+def preds(spark: SparkSession, sf_dir: str, timed: bool = True, stored: bool = True) -> DataFrame:
+    """Predictions: a row per line item, with null models and times in four spellings; `ts`, the time that is read, only if asked for.
+
+    stored: chances are worked out once a row, as queries with filters need it; those that only add up are faster without."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*KEY, "l_shipdate", "l_linestatus")
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_brand", "p_type")
     ship = F.col("l_shipdate").cast("timestamp")
@@ -27,8 +29,8 @@ def preds(spark: SparkSession, sf_dir: str, timed: bool = True) -> DataFrame:
         F.when(kind == 0, epoch.cast("string")).when(kind == 1, (epoch * 1000).cast("string"))
         .when(kind == 2, F.date_format(ship, "yyyy-MM-dd HH:mm:ss")).when(kind == 3, F.date_format(ship, "yyyy/MM/dd")).otherwise("n/a"))
     chances = [(w / (wn + wu + wp)).alias(n) for n, w in (("p_neg", wn), ("p_neu", wu), ("p_pos", wp))]
-    # Stored values would be columns; as expressions they would be worked out anew wherever a filter on the parsed time looks at them.
-    made = [F.inline_outer(F.array(F.struct(*chances, ctime.alias("ctime"))))] if timed else chances
+    # Stored values would be columns; as expressions they would be worked out anew wherever a filter or the parser looks at them.
+    made = [F.inline_outer(F.array(F.struct(*chances, ctime.alias("ctime")) if timed else F.struct(*chances)))] if timed or stored else chances
     rows = items.join(part, F.col("l_partkey") == F.col("p_partkey")).select("*", *made).select(
         F.lit("phone").alias("domain"), F.col("p_brand").alias("brand"), F.when(F.col("l_suppkey") % 20 != 0, F.col("p_type")).alias("model"),
         F.concat(F.lit("L"), (F.col("l_partkey") % 15).cast("string")).alias("aspect_l1"), F.col("l_linestatus").alias("aspect_l2"), *KEY,
