@@ -15,14 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura.functions.text import HAN
-from murmura.operators.matching import Automaton, points
+from murmura.operators.matching import Automaton, pieces, points, widths
+from murmura.sources.scratch import table
 
 #: Words of a dictionary at most, the commonest: it is a model of fixed size and so is broadcast.
 WORDS = 500_000
 #: What a cost is counted in, and a cost above all others.
 UNIT, NEVER = 1000, 1 << 60
-#: Characters that are cut at once.
-PIECE = 1 << 17
+#: Characters that are cut at once; bytes of texts whose strings are counted at once, and codes that are counted in a table.
+PIECE, COUNTED, DENSE = 1 << 17, 1 << 24, 1 << 22
 #: The ideographs of functions.text.HAN.
 _RANGES = ((0x3400, 0x4DBF), (0x4E00, 0x9FFF))
 
@@ -34,25 +35,47 @@ def runs(text: Column) -> Column:
 
 def _strings(longest: int):
     """word, n, a0, a1, b0, b1: the strings of a batch's runs, how often they occur, least and greatest neighbour on either side (0: the end of a run)."""
+    def counted(values: pa.Array) -> Iterator[pa.RecordBatch]:
+        text, _ = points(values)
+        # Characters by their place in the alphabet, which keeps their order; 0 stands for the end of a run.
+        there = np.zeros(0x110001, bool)
+        there[text] = True
+        there[0x110000] = False
+        chars = np.concatenate(([0], np.flatnonzero(there)))
+        number = np.zeros(0x110001, np.int32)
+        number[chars[1:]] = np.arange(1, len(chars))
+        text = np.concatenate((np.zeros(1, np.int32), number[text], np.zeros(longest + 1, np.int32)))
+        here = np.flatnonzero(text)
+        node, width, made = np.zeros(len(here), np.int64), len(chars), np.zeros((1, 0), np.int32)
+        for k in range(1, longest + 1):
+            inside = text[here + k - 1] > 0
+            here, node = here[inside], node[inside]
+            if not len(here):
+                break
+            node = node * width + text[here + k - 1]
+            if len(made) * width <= DENSE:
+                n = np.bincount(node, minlength=len(made) * width)
+                codes = np.flatnonzero(n)
+                n, place = n[codes], np.cumsum(n > 0) - 1
+                node = place[node]
+            else:
+                codes, node, n = np.unique(node, return_inverse=True, return_counts=True)
+            ends = []
+            for side in (text[here - 1], text[here + k]):
+                low, high = np.full(len(codes), width, np.int32), np.zeros(len(codes), np.int32)
+                np.minimum.at(low, node, side)
+                np.maximum.at(high, node, side)
+                ends += [chars[low], chars[high]]
+            made = np.concatenate((made[codes // width], chars[codes % width][:, None].astype(np.int32)), 1)
+            word = [made[i : i + 65536].tobytes().decode("utf-32-le") for i in range(0, len(made), 65536)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w[i : i + k] for w in word for i in range(0, len(w), k)], pa.string()), pa.array(n.astype(np.int64)), *(pa.array(x.astype(np.int32)) for x in ends)], ["word", "n", "a0", "a1", "b0", "b1"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, at = points(batch.column("runs").flatten())
-            text = np.concatenate(([0], np.where(text == 0x110000, 0, text), np.zeros(longest + 1, text.dtype))).astype(np.int64)
-            here = np.flatnonzero(text)
-            node = np.zeros(len(here), np.int64)
-            for k in range(1, longest + 1):
-                inside = text[here + k - 1] > 0
-                here, node = here[inside], node[inside]
-                if not len(here):
-                    break
-                _, first, node, n = np.unique(node << 21 | text[here + k - 1], return_index=True, return_inverse=True, return_counts=True)
-                order = np.argsort(node, kind="stable")
-                begin = np.cumsum(n) - n
-                ends = [f.reduceat(side[order], begin) for side in (text[here - 1], text[here + k]) for f in (np.minimum, np.maximum)]
-                made = np.stack([text[here[first] + i] for i in range(k)], 1).astype(np.int32)
-                word = [made[i : i + 65536].tobytes().decode("utf-32-le") for i in range(0, len(made), 65536)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([w[i : i + k] for w in word for i in range(0, len(w), k)], pa.string()), pa.array(n), *(pa.array(x.astype(np.int32)) for x in ends)], ["word", "n", "a0", "a1", "b0", "b1"])
+            values = batch.column("runs").flatten()
+            for i, j in pieces(widths(values), COUNTED):
+                yield from counted(values.slice(i, j - i))
 
     return run
 
@@ -64,7 +87,7 @@ def dictionary(texts: DataFrame, column: str, longest: int = 4, least: int = 5,
     The end of a run is a neighbour of its own kind. At most `words` words, the commonest, ties by the word. Null and empty
     texts have none. Strings are counted where they stand before anything is shuffled."""
     told = texts.select(runs(F.col(column)).alias("runs")).where(F.size("runs") > 0).mapInArrow(_strings(longest), "word string, n long, a0 int, a1 int, b0 int, b1 int")
-    once = told.groupBy("word").agg(F.sum("n").alias("n"), F.min("a0").alias("a0"), F.max("a1").alias("a1"), F.min("b0").alias("b0"), F.max("b1").alias("b1"))
+    once = table(told.groupBy("word").agg(F.sum("n").alias("n"), F.min("a0").alias("a0"), F.max("a1").alias("a1"), F.min("b0").alias("b0"), F.max("b1").alias("b1")), "strings")
     whole = once.where(F.length("word") == 1).agg(F.sum("n").alias("total"))
     often = once.where((F.col("n") >= least) & (F.length("word") > 1) & (F.col("a0") < F.col("a1")) & (F.col("b0") < F.col("b1"))).select("word", "n")
     parts = often.select("word", "n", F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("i")).select(
@@ -116,9 +139,18 @@ class Lexicon:
         return ends
 
 
+def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """A batch by rows whose lists together have a bounded number of bytes; a longer row is a batch of its own."""
+    lists = batch.column(column)
+    off = np.asarray(lists.offsets).astype(np.int64)
+    upto = np.concatenate(([0], np.cumsum(widths(lists.values.slice(off[0], off[-1] - off[0])), dtype=np.int64)))
+    for i, j in pieces(np.diff(upto[off - off[0]])):
+        yield batch.slice(i, j - i)
+
+
 def _segment(lexicon, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole, column)):
             lists = batch.column(column)
             off = np.asarray(lists.offsets).astype(np.int64)
             values = lists.values.slice(off[0], off[-1] - off[0])
