@@ -27,9 +27,9 @@ from murmura.llm._store import discard, table
 from murmura.llm._text import columns, mix, pieces, tidy
 
 ORDER = 5
-#: Trusted texts that the model learns from at most, chosen by a hash of their ids among four of five; thresholds take
-#: all the others, as the model fits too well what it has learnt from.
-TRUSTED = 20_000
+#: The model learns from all trusted texts but one of so many, by a hash of their ids; thresholds take all of these, as the
+#: model fits too well what it has learnt from.
+HELD = 5
 #: Bytes of texts in a unit, and the units that a small table has at least, so that they spread.
 UNIT, UNITS = 1 << 26, 16
 #: The quantile of trusted perplexity above which a text goes, and the trusted texts that a language needs for one of its own.
@@ -289,15 +289,14 @@ class Classifier:
 
 
 def fit(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, whole: bool = False) -> tuple[Classifier | None, DataFrame | None, str]:
-    """A classifier, a table of each row of docs with its perplexity, and the name of that column.
+    """A classifier by all trusted texts, a table of each row of docs with its perplexity, and the name of that column.
 
     The rows have doc_id and lang, or with whole all their columns. labels(doc_id, quality): a document is trusted if all
     its labels have quality 1. A language with fewer than LEAST trusted texts, and a null one, has the threshold of all
     languages together. Without trusted texts to learn from and others to set thresholds by there is no classifier."""
     trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1 and doc_id is not null").select("doc_id")
-    key = F.xxhash64("doc_id")
-    sample = F.broadcast(trusted.where(F.pmod(key, F.lit(5)) != 0).orderBy(key, "doc_id").limit(TRUSTED))  # at most TRUSTED ids
-    tables = train(docs.select("doc_id", "text").join(sample, "doc_id", "left_semi").where("text <> ''"))
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD)) == 0
+    tables = train(docs.select("doc_id", "text").join(trusted.where(~held), "doc_id", "left_semi").where("text <> ''"))
     if tables is None:
         return None, None, ""
     rows = docs if whole else docs.select(F.col("doc_id").cast("long"), "lang", "text")
@@ -305,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, whole: b
     name = fresh_name("perplexity", rows.columns)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*(F.col(f"`{c}`") for c in keep)).schema.fields), f"`{name}` double"])
     found = table(scored(rows, tables, keep, schema), "perplexities")
-    good = found.select("doc_id", "lang", F.col(name).alias("p")).where("p is not null").join(trusted.join(sample, "doc_id", "left_anti"), "doc_id", "left_semi")
+    good = found.select("doc_id", "lang", F.col(name).alias("p")).where("p is not null").join(trusted.where(held), "doc_id", "left_semi")
     every = good.agg(F.percentile_approx("p", quantile, 100_000)).first()[0]
     if every is None:
         return None, None, ""
