@@ -15,22 +15,25 @@ from murmura.sources.reviews import records
 SPLITS = 100_000
 
 
-def lines(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
+def lines(spark: SparkSession, paths: str | list[str], pattern: str = "*", folders: bool = False) -> DataFrame:
     """path, number (from 0), value of every line below the paths, without its end and without a byte order mark at a file's begin.
 
-    Only a line feed, or one after a carriage return, ends a line. An empty file has no lines."""
+    Only a line feed, or one after a carriage return, ends a line. An empty file has no lines. folders: the files of a folder
+    are parts in the order of their names; path is the folder, and numbers go on from part to part."""
     read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(paths, lineSep="\n")
     # Files, split sizes and settings decide which splits a task reads, so both passes number them alike.
     placed = read.select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
     splits = placed.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = splits.select("path", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    whole = F.regexp_replace("path", "/[^/]*$", "") if folders else F.col("path")
+    before = Window.partitionBy(whole).orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = splits.select("path", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"), "first")
     shifts = F.broadcast(shifts) if splits.count() <= SPLITS else shifts
     plain = F.regexp_replace("value", "\r$", "")
     number = F.col("id") + F.col("shift")
+    first = (F.col("id") == F.col("first")) & (F.col("block") == 0)
     return placed.join(shifts, ["path", "block"]).select(
-        "path", number.alias("number"), F.when(number == 0, F.regexp_replace(plain, "^﻿", "")).otherwise(plain).alias("value"))
+        whole.alias("path"), number.alias("number"), F.when(first, F.regexp_replace(plain, "^﻿", "")).otherwise(plain).alias("value"))
 
 
 def line_records(rows: DataFrame, nested: bool = False, first: int = 0) -> DataFrame:
