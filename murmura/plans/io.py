@@ -14,6 +14,7 @@ from murmura.plans.proxy import KEY, PREDS, documents, preds, shared
 from murmura.plans.serving import STATS, stats
 from murmura.plans.text import tokens_sql
 from murmura.sources import config, lines, mirror, sheets, sqlite, steplog, tables
+from murmura.sources.scratch import table
 from murmura.streaming import incremental
 
 
@@ -88,22 +89,22 @@ def _sheet_terms(s, d):
 
 
 def _line_files(s, d):
-    """A file of JSON lines for each language: some documents behind a blank or broken line, some in arrays of two."""
+    """JSON lines of each language, in a folder of parts that go on one after the other: some documents behind a blank or broken line, some in arrays of two."""
     one = F.to_json(F.struct("doc_id", F.col("text").alias("content")))
     value = F.concat(
         F.when(F.col("doc_id") % 7 == 0, F.lit("{broken\n")).otherwise(""), F.when(F.col("doc_id") % 11 == 0, F.lit("\r\n")).otherwise(""),
         F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("["), one, F.lit(", 3, {\"doc_id\": -1}]"))).otherwise(one))
     root = _folder(s, "lines")
     rows = s.read.parquet(f"{d}/documents.parquet").select("lang", "doc_id", value.alias("value"))
-    rows.repartition("lang").sortWithinPartitions("lang", "doc_id").select("lang", "value").write.partitionBy("lang").text(root)
+    rows.repartitionByRange(int(s.conf.get("spark.sql.shuffle.partitions")), "lang", "doc_id").sortWithinPartitions("lang", "doc_id").select("lang", "value").write.partitionBy("lang").text(root)
     return root
 
 
 def _lines(s, d, legacy):
-    rows = lines.lines(s, _line_files(s, d))
+    rows = lines.lines(s, _line_files(s, d), folders=True)
     found = lines.line_records(rows, legacy, 1 if legacy else 0)
     told = F.try_variant_get("record", "$.doc_id", "bigint")
-    return found.select(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang"), "source_line", told.alias("doc_id"), F.coalesce(F.length(F.try_variant_get("record", "$.content", "string")), F.lit(0)).alias("n"))
+    return found.select(F.regexp_extract("path", "lang=([^/]*)$", 1).alias("lang"), "source_line", told.alias("doc_id"), F.coalesce(F.length(F.try_variant_get("record", "$.content", "string")), F.lit(0)).alias("n"))
 
 
 _LINES_SQL = """with a as (select *, case when doc_id % 7 = 0 then 1 else 0 end + case when doc_id % 11 = 0 then 1 else 0 end as before from documents),
@@ -135,9 +136,11 @@ def _layouts(s, d):
 def _reconcile(s, d):
     """A folder with a file that its manifest doesn't name."""
     root = _folder(s, "reconcile")
-    preds(s, d, False).where("l_linenumber < 4").select("brand").coalesce(1).write.parquet(root)
+    # Worked out by all tasks; one task writes a file only out of what was made, a column of few values.
+    brands = table(preds(s, d, False, False).select("brand", (F.col("l_linenumber") < 4).alias("named")), "brands")
+    brands.where("named").select("brand").coalesce(1).write.parquet(root)
     named = [r[0] for r in s.read.parquet(root).select(F.col("_metadata.file_path")).distinct().collect()]
-    preds(s, d, False).where("l_linenumber >= 4").select("brand").coalesce(1).write.mode("append").parquet(root)
+    brands.where("not named").select("brand").coalesce(1).write.mode("append").parquet(root)
     where = _folder(s, "manifest")
     tables.write_text(s, f"{where}/manifest.jsonl", "\n".join([json.dumps({"file": named[0]}), named[0].rsplit("/", 1)[1], "", "gone.parquet", "notes.txt"]))
     return tables.reconciled(s, f"{where}/manifest.jsonl", root)
@@ -180,7 +183,7 @@ def _mirrored(s, d):
 def _days(s, d):
     """Monthly stats in a folder a month, of which those from 2001 on are loaded again, doubled, without 2001-02."""
     path = _folder(s, "months")
-    rows = stats(s, d).groupBy(F.substring("date", 1, 7).alias("month"), "brand", "sentiment").agg(F.sum("count").cast("long").alias("count"))
+    rows = table(stats(s, d).groupBy(F.substring("date", 1, 7).alias("month"), "brand", "sentiment").agg(F.sum("count").cast("long").alias("count")), "months")
     tables.load_days(s, path, rows, "month")
     tables.load_days(s, path, rows.where("month >= '2001-01' and month <> '2001-02'").withColumn("count", F.col("count") * 2), "month")
     return tables.days(s, path, "month").groupBy("month").agg(F.sum("count").alias("count"))
@@ -212,7 +215,7 @@ def _resumed(s, d):
 
 def _remembered(s, d):
     cache = _folder(s, "replies")
-    words = coverage.token_counts(documents(s, d), "text").where("df >= 5")
+    words = table(coverage.token_counts(documents(s, d), "text").where("df >= 5"), "words")
     ask = lambda df: df.select("term", F.length("term").alias("reply"))
     incremental.remember(words.where("length(term) < 5"), ["term"], cache, ask)
     return incremental.remember(words, ["term"], cache, lambda df: df.select("term", (-F.length("term")).alias("reply")))
