@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,10 +40,23 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """What is written within leaves no shuffle files behind; Spark else keeps them until its driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the scratch folder as Parquet and reads it again: a lost executor costs no recomputation."""
     path = fresh(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with cleaned(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

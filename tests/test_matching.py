@@ -79,3 +79,30 @@ def test_many_terms(spark):
     got = {(r["id"], r["hit_term"], r["aspect_l1"]) for r in lexicon.tag(rows, terms).collect()}
     want = {(i, f"term{k}", str(k % 7)) for i in range(3000) for k in (i * 61, i * 67, 2) if k < 200_000}
     assert got == want
+
+
+def test_a_large_lexicon_travels_once(spark, monkeypatch):
+    """A text of many different characters isn't sent once for each of them: what is shuffled stays near the size of texts and terms."""
+    from murmura.sources.scratch import table
+
+    monkeypatch.setattr(matching, "BROADCAST", 1000)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = table(spark.range(4000).select("id", F.concat_ws(" ", *(F.concat(F.lit(x), F.substring(F.md5(F.concat("id", F.lit(x))), 1, 12)) for x in letters)).alias("sentence")), "rows")
+    terms = spark.range(26 * 20).select(F.lit("d").alias("domain"), F.lit("l").alias("l1"), F.lit("x").alias("l2"), F.concat(F.substring(F.lit(letters), (F.col("id") % 26 + 1).cast("int"), 1), F.substring(F.md5(F.concat(
+        (F.col("id") * 7).cast("string"), F.substring(F.lit(letters), (F.col("id") % 26 + 1).cast("int"), 1))), 1, 12)).alias("term"), F.col("id").cast("int").alias("ord"))
+    out = lexicon.tag(rows, terms, drop=("sentence",))
+    assert set(out.columns) == {"id", "hit_term", "aspect_l1", "aspect_l2"} and out.count() == sum(i * 7 < 4000 for i in range(520))
+    plan = out._jdf.queryExecution().executedPlan()
+    assert "Generate" not in plan.toString()
+
+
+def test_tables_leave_no_shuffle(spark):
+    """The shuffle that made a table is gone when it is written."""
+    from murmura.llm import _store
+    from murmura.sources import scratch
+
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    for made in (scratch.table, _store.table):
+        before = tracker.shuffleStatuses().size()
+        made(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+        assert tracker.shuffleStatuses().size() <= before
