@@ -43,6 +43,9 @@ _LENGTH = np.arange(ORDER + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 _SUFFIXES = [f"c{n}" for n in range(1, ORDER + 1)]
 _CONTEXTS = [f"x{n}" for n in range(1, ORDER)]
 _GRAMS = [*_SUFFIXES, *_CONTEXTS]
+_CODES = ["code", "below", "context"]
+#: Bits of a symbol, and how many symbols of an n-gram the second of two numbers holds.
+BITS, LOW = 21, 3
 
 
 def symbols(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,14 +77,43 @@ def grams(full: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.stack([*(code(full, place, n) for n in range(1, ORDER + 1)), *(code(full, place - 1, n) for n in range(1, ORDER))])
 
 
+def packed(full: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ORDER symbols that end at each place in two numbers: the last LOW, and those before; a symbol has BITS bits."""
+    high, low = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+    for k in range(ORDER):
+        own = full[place - (ORDER - 1 - k)].astype(np.int64)
+        if k < ORDER - LOW:
+            high = high << BITS | own
+        else:
+            low = low << BITS | own
+    return high, low
+
+
 @tidy
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, off = columns(batch)
         for i, j in pieces(off, 1 << 21):
             full, place, _ = symbols(data[off[i] : off[j]], off[i : j + 1] - off[i])
-            _, first, count = np.unique(code(full, place, ORDER), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([*map(pa.array, grams(full, place[first])), pa.array(count.astype(np.int64))], [*_GRAMS, "c"])
+            number, first = _distinct(code(full, place, ORDER))
+            high, low = packed(full, place[first])
+            yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(low), pa.array(np.bincount(number, minlength=len(first)).astype(np.int64))], ["high", "low", "c"])
+
+
+def _coded(n: int):
+    """code: the hash of each packed n-gram; below: of all its symbols but the first, context: of all but the last; c: its count."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            high, low = np.asarray(batch.column("high")), np.asarray(batch.column("low"))
+            full = np.zeros((batch.num_rows, ORDER), np.uint32)
+            for k in range(ORDER):
+                own, at = (high, ORDER - LOW - 1 - k) if k < ORDER - LOW else (low, ORDER - 1 - k)
+                full[:, k] = own >> (BITS * at) & ((1 << BITS) - 1)
+            full, place = full.ravel(), np.arange(batch.num_rows) * ORDER + ORDER - 1
+            made = [code(full, place, n), *([code(full, place, n - 1), code(full, place - 1, n - 1)] if n > 1 else [])]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, made), batch.column("c")], _CODES[: len(made)] + ["c"])
+
+    return tidy(run)
 
 
 def _discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -105,39 +137,37 @@ class Tables:
 
 def train(texts: DataFrame) -> Tables | None:
     """The model of all of texts; None if there are no symbols."""
-    rest = [c for c in _GRAMS if c != f"c{ORDER}"]
-    level = table(texts.select("text").mapInArrow(_count, ", ".join(f"{c} long" for c in [*_GRAMS, "c"])).groupBy(f"c{ORDER}").agg(
-        F.sum("c").alias("c"), *(F.first(c).alias(c) for c in rest)), "ngrams")
-    counts = [level]
+    # Symbols are shuffled and kept, which take a fourth of the hashes of all their parts; those are worked out where they are used.
+    counts = [table(texts.select("text").mapInArrow(_count, "high long, low long, c long").groupBy("high", "low").agg(F.sum("c").alias("c")), "ngrams")]
     for n in range(ORDER - 1, 0, -1):
         # Below the highest order an n-gram counts once for each symbol before it.
-        rest = [*(f"c{k}" for k in range(1, n)), *(f"x{k}" for k in range(1, n))]
-        level = level.groupBy(f"c{n}").agg(F.count("*").alias("c"), *(F.first(c).alias(c) for c in rest))
-        counts.insert(0, level)
+        high, low = (F.col(c).bitwiseAND(F.lit((1 << BITS * max(0, k)) - 1)).alias(c) for c, k in (("high", n - LOW), ("low", min(n, LOW))))
+        counts.insert(0, table(counts[0].select(high, low).groupBy("high", "low").agg(F.count("*").alias("c")), "ngrams"))
     seen = counts[0].count()
     if not seen:
         return None
     probabilities, weights, first = [], [], 0.0
     unknown = 1 / (seen + 1)
-    for n, level in enumerate(counts, 1):
-        d1, d2, d3 = _discounts(level)
+    for n, made in enumerate(counts, 1):
+        d1, d2, d3 = _discounts(made)
         cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         total, weight = F.sum("c"), F.sum(cut) / F.sum("c")
+        level = made.mapInArrow(_coded(n), ", ".join(f"{c} long" for c in [*_CODES[: 3 if n > 1 else 1], "c"]))
         if n == 1:
-            whole = level.agg(total.alias("total"), weight.alias("weight")).first()
+            whole = made.agg(total.alias("total"), weight.alias("weight")).first()
             first = float(np.log2(whole["weight"]))
-            own = level.select(F.col("c1").alias("code"), ((F.col("c") - cut) / F.lit(whole["total"])).alias("own"), F.lit(whole["weight"]).alias("weight"), "c", F.lit(unknown).alias("q"))
+            own = level.select("code", ((F.col("c") - cut) / F.lit(whole["total"])).alias("own"), F.lit(whole["weight"]).alias("weight"), "c", F.lit(unknown).alias("q"))
         else:
-            contexts = table(level.groupBy(F.col(f"x{n - 1}").alias("context")).agg(total.alias("total"), weight.alias("weight")), "contexts")
-            own = level.withColumn("context", F.col(f"x{n - 1}")).join(contexts, "context").select(
-                F.col(f"c{n}").alias("code"), F.col(f"c{n - 1}").alias("below"), ((F.col("c") - cut) / F.col("total")).alias("own"), "weight", "c")
+            contexts = table(level.groupBy("context").agg(total.alias("total"), weight.alias("weight")), "contexts")
+            own = level.join(contexts, "context").select("code", "below", ((F.col("c") - cut) / F.col("total")).alias("own"), "weight", "c")
             own = own.join(probabilities[-1].select(F.col("code").alias("below"), F.pow(F.lit(2.0), F.col("p")).alias("q")), "below")
             weights.append(contexts.select(F.col("context").alias("code"), F.log2("weight").alias("w")))
         probabilities.append(table(own.select("code", F.log2(F.col("own") + F.col("weight") * F.col("q")).alias("p"), "c"), "probabilities"))
+        discard(made)
     average = probabilities[-1].agg(F.sum(F.col("c") * F.col("p")) / F.sum("c")).first()[0]
     every = reduce(DataFrame.union, [p.select("code", "p") for p in probabilities])
     known = table(every.join(reduce(DataFrame.union, weights), "code", "full"), "model")
-    for made in (level, *probabilities):
+    for made in (*probabilities, *weights):
         discard(made)
     return Tables(known, first, float(np.log2(unknown)), average)
 
