@@ -105,7 +105,8 @@ def product_documents(stats: DataFrame) -> DataFrame:
     Weeks go by their Sunday and months by the month end before them, without gaps between the first and the last that
     has rows; a period without rows is null. Counts become one row for each product, aspect, label and day before
     anything is nested, so lists are bounded by aspects and by the days of a year."""
-    rows = product_key(stats).withColumn("day", F.to_date("date"))
+    # A table, as aspects, days and the list of products come from it.
+    rows = table(product_key(stats).select("product_key", "sentiment", "aspect", F.to_date("date").alias("day"), "count"), "keyed")
     by_aspect = rows.where(F.col("sentiment").isin("POS", "NEG")).groupBy("product_key", "sentiment", "aspect").agg(F.sum("count").cast("long").alias("count"))
     listed = lambda x: F.transform(F.array_sort(F.collect_list(F.when(F.col("sentiment") == x, F.struct((-F.col("count")).alias("o"), "aspect", "count")))), lambda r: F.struct(r["aspect"], r["count"]))
     aspects = by_aspect.groupBy("product_key").agg(listed("POS").alias("POS"), listed("NEG").alias("NEG"))

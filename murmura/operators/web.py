@@ -28,34 +28,39 @@ def latest(preds: DataFrame, days: int, column: str = "ts") -> DataFrame:
     return rows.join(F.broadcast(limit), F.col("day").between(F.date_sub("max_day", days - 1), F.col("max_day"))).drop("max_day")
 
 
-def latest_tally(rows: DataFrame, keys: list[str], weight: Column | None, days: int) -> DataFrame:
-    """Counts by keys and day over the last days up to the latest day of all.
+def _narrow(rows: DataFrame, keys: list, weight: Column | None, name: str) -> DataFrame:
+    """Keys, label and weight of each row as a table: it has the limit, and only rows within it are shuffled for their counts."""
+    return table(rows.select(*keys, "pred_label", (F.lit(1) if weight is None else weight).alias("__weight")), name)
+
 
-    Rows become one for each group and day, in a table in which the limit is looked for, so the source is read once."""
-    daily = table(tally(rows.where(F.col("day").isNotNull()), [*keys, "day"], weight), "daily")
+def latest_tally(rows: DataFrame, keys: list[str], weight: Column | None, days: int) -> DataFrame:
+    """Counts by keys and day over the last days up to the latest day of all; the source is read once."""
+    daily = _narrow(rows.where(F.col("day").isNotNull()), [*keys, "day"], weight, "daily")
     limit = daily.agg(F.max("day").alias("__max"))
-    return daily.join(F.broadcast(limit), F.col("day") >= F.date_sub("__max", days - 1)).drop("__max")
+    recent = daily.join(F.broadcast(limit), F.col("day") >= F.date_sub("__max", days - 1))
+    return tally(recent, [*keys, "day"], None if weight is None else F.col("__weight"))
 
 
 def weekly_tally(rows: DataFrame, keys: list[str], weight: Column | None, n: int) -> DataFrame:
     """Counts by keys and week from Monday (week_start, week_end) over the last n weeks, in the same way."""
     start = F.date_sub("day", F.weekday("day"))
-    weekly = table(tally(rows.where(F.col("day").isNotNull()), [*keys, start.alias("week_start")], weight), "weekly")
+    weekly = _narrow(rows.where(F.col("day").isNotNull()), [*keys, start.alias("week_start")], weight, "weekly")
     limit = weekly.agg(F.max("week_start").alias("__max"))
-    return weekly.join(F.broadcast(limit), F.col("week_start") >= F.date_sub("__max", 7 * (n - 1))).drop("__max").withColumn("week_end", F.date_add("week_start", 6))
+    recent = weekly.join(F.broadcast(limit), F.col("week_start") >= F.date_sub("__max", 7 * (n - 1)))
+    return tally(recent, [*keys, "week_start"], None if weight is None else F.col("__weight")).withColumn("week_end", F.date_add("week_start", 6))
 
 
 def latest_buckets(rows: DataFrame, keys: list[str], keep: int, days: int) -> DataFrame:
     """Counts by keys, bucket of the aspect and day over the last days; buckets go by the counts of all rows, with a day or without.
 
-    Rows become one for each group, aspect and day first, so the source is read once."""
-    daily = table(tally(rows, [*keys, "aspect_l1", "day"]), "daily")
-    sizes = daily.where(F.col("aspect_l1").isNotNull()).groupBy("aspect_l1").agg(F.sum("total_cnt").alias("n"))
+    The source is read once."""
+    daily = _narrow(rows, [*keys, "aspect_l1", "day"], None, "daily")
+    sizes = daily.where(F.col("aspect_l1").isNotNull()).groupBy("aspect_l1").agg(F.count("*").alias("n"))
     top = sizes.orderBy(F.desc("n"), "aspect_l1").limit(keep).select(F.col("aspect_l1").alias("__top"), F.col("aspect_l1").alias("bucket"))
     limit = daily.agg(F.max("day").alias("__max"))
     recent = daily.join(F.broadcast(limit), F.col("day") >= F.date_sub("__max", days - 1)).join(F.broadcast(top), F.col("aspect_l1") == F.col("__top"), "left")
     bucket = F.when(F.col("aspect_l1").isNotNull(), F.coalesce("bucket", F.lit(OTHER)))
-    return recent.groupBy(*keys, bucket.alias("bucket"), "day").agg(*(F.sum(c).cast("long").alias(c) for c in ("pos_cnt", "neu_cnt", "neg_cnt", "total_cnt")))
+    return tally(recent, [*keys, bucket.alias("bucket"), "day"])
 
 
 def pie(daily: DataFrame, label: str, by: list[str]) -> DataFrame:

@@ -139,3 +139,26 @@ def test_remembered_once(spark, tmp_path):
     rows = spark.range(10).mapInArrow(seen, "id long")
     assert incremental.remember(rows, ["id"], str(tmp_path / "cache"), lambda df: df.selectExpr("id", "id + 1 as reply")).count() == 10
     assert worked.value == 10
+
+
+def test_times_are_read_once(spark):
+    """A filter on the time doesn't read it again, nor does a column made of it."""
+    from pyspark.sql import functions as F
+
+    from murmura.plans.proxy import preds
+
+    rows = preds(spark, "/root/testdata/sf0.001")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    one = plan(rows.select("ts")).count("yyyy/MM/dd HH:mm:ss")
+    assert plan(rows.where("ts is not null").select(F.to_date("ts").alias("day")).where("day is not null")).count("yyyy/MM/dd HH:mm:ss") == one
+
+
+def test_limits_before_counts(spark):
+    """Rows outside the last days aren't counted by group, and documents of products read their source once."""
+    from murmura.operators import serving, web
+
+    rows = spark.createDataFrame([("a", 1, "POS"), ("a", 9, "NEG"), ("b", 9, "POS"), ("b", 10, "NEU")], "k string, n int, pred_label string").selectExpr("k", "date_add(date'2024-01-01', n) as day", "pred_label")
+    for made in (web.latest_tally(rows, ["k"], None, 2), web.weekly_tally(rows, ["k"], None, 1)):
+        assert "Aggregate" in made._jdf.queryExecution().optimizedPlan().toString().split("Join")[0] and sum(r["total_cnt"] for r in made.collect()) == 3
+    stats = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").selectExpr("'2024-01-01' as date", "'b' as brand", "l_linestatus as model", "'x' as aspect", "'POS' as sentiment", "1 as count")
+    assert not any("lineitem" in f for f in serving.product_documents(stats).inputFiles())
