@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -22,6 +23,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from murmura.sources.scratch import table
+
 #: Columns that tell which row group a row comes from.
 FILE, GROUP = "source_file", "source_group"
 #: Codecs that a part may have.
@@ -72,6 +75,11 @@ def read_groups(groups: DataFrame, schema: StructType, tasks: int | None = None)
     return dealt.mapInArrow(run, told)
 
 
+def tasks(spark: SparkSession, groups: int) -> int:
+    """Tasks for so many row groups. A table of their places is so small that Spark would give all of them to one task if it weren't told."""
+    return max(1, min(groups, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)))
+
+
 @dataclass
 class Parts(WriterCommitMessage):
     """What a task has written: source file, row group, rows, place to be, and the file as it is now."""
@@ -118,12 +126,16 @@ class MirrorWriter(DataSourceArrowWriter):
         if len({p[3] for p in parts}) < len(parts):
             self.abort(messages)
             raise ValueError("rows of a row group came from several tasks; the step must not move rows")
-        lines = []
-        for path, group, rows, place, beside in parts:
+
+        def settle(part: tuple[str, int, int, str, str]) -> str:
+            path, group, rows, place, beside = part
             files.create_dir(f"{root}/{place}".rpartition("/")[0], recursive=True)
             size = files.get_file_info(beside).size
             files.move(beside, f"{root}/{place}")
-            lines.append(json.dumps({FILE: path, GROUP: group, "rows": rows, "file": place, "bytes": size}))
+            return json.dumps({FILE: path, GROUP: group, "rows": rows, "file": place, "bytes": size})
+
+        with ThreadPoolExecutor(16) as pool:  # calls to a file system wait for it
+            lines = list(pool.map(settle, parts))
         if lines:
             beside = f"{root}/_tmp/{self.run}/manifest.json"
             with files.open_output_stream(beside) as out:
@@ -169,12 +181,13 @@ def run(spark: SparkSession, source: str, target: str, step: Callable[[DataFrame
     keeps nothing has no part, and is read again by the next run; so is one whose part was taken from the manifest."""
     spark.dataSource.register(MirrorSource)
     schema = schema or spark.read.option("recursiveFileLookup", "true").parquet(source).schema
-    opened = row_groups(spark, source).join(manifest(spark, target), [FILE, GROUP], "left_anti").select(FILE, GROUP)
+    # Footers are read once a run, for the questions and the batches.
+    opened = table(row_groups(spark, source).join(manifest(spark, target), [FILE, GROUP], "left_anti").select(FILE, GROUP), "opened")
     count = 0
     for i in range(batches):
         part = opened.where(F.pmod(F.xxhash64(FILE, GROUP), F.lit(batches)) == i)
         n = part.count()
         if n:
-            step(read_groups(part, schema)).write.format("mirror").option("source", source).option("target", target).option("codec", codec).mode("append").save()
+            step(read_groups(part, schema, tasks(spark, n))).write.format("mirror").option("source", source).option("target", target).option("codec", codec).mode("append").save()
             count += n
     return count

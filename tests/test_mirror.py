@@ -78,3 +78,17 @@ def test_moved_rows_are_refused(spark, source, tmp_path):
     assert parts(f"{tmp_path}/out") == []
     with pytest.raises(Exception, match="codec"):
         mirror.run(spark, source, f"{tmp_path}/out", twice, "lzma")
+
+
+def test_row_groups_are_dealt(spark, tmp_path):
+    """Row groups go to several tasks, though a table of their places is small."""
+    rows = spark.range(4000)
+    rows.repartition(8).write.parquet(str(tmp_path / "in"))
+    groups = mirror.row_groups(spark, str(tmp_path / "in"))
+    seen = []
+
+    def step(df):
+        seen.append(df.rdd.getNumPartitions())
+        return df
+
+    assert mirror.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), step) == groups.count() == 8 and seen == [8]
