@@ -162,3 +162,17 @@ def test_limits_before_counts(spark):
         assert "Aggregate" in made._jdf.queryExecution().optimizedPlan().toString().split("Join")[0] and sum(r["total_cnt"] for r in made.collect()) == 3
     stats = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").selectExpr("'2024-01-01' as date", "'b' as brand", "l_linestatus as model", "'x' as aspect", "'POS' as sentiment", "1 as count")
     assert not any("lineitem" in f for f in serving.product_documents(stats).inputFiles())
+
+
+@pytest.mark.parametrize("most", [1000, 10])
+def test_all_aspects_by_bits(spark, most, monkeypatch):
+    """A key has one row where its aspects are made distinct, whatever it has; repeated and null keys, more aspects than a number has bits."""
+    monkeypatch.setattr(lexicon, "MASKED", most, raising=False)
+    terms = spark.createDataFrame([("d", None if i == 3 else f"l{i % 50}", str(i), f"t{i:03}", i) for i in range(150)] + [("d", "x", "y", "t001", 150)], lexicon.SCHEMA)
+    rows = spark.createDataFrame([(1, "t001 t003 t149"), (1, "t001t062t063"), (None, "t064"), (None, "t064 t003"), (2, "none"), (3, None)], "id int, s string")
+    out = lexicon.tag_all(rows, terms, ["id"], "s")
+    name = lambda i: (None if i == 3 else f"l{i % 50}", str(i))
+    want = [(1, *name(i)) for i in (1, 3, 149, 62, 63)] + [(1, "x", "y"), (None, *name(64)), (None, *name(3))]
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, want))
+    if most == 1000:
+        assert "bit_or" in out._jdf.queryExecution().optimizedPlan().toString()
