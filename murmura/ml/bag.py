@@ -1,6 +1,6 @@
 """A student of low rank: a sentence is the mean of its words' and word pairs' embeddings, and a small head tells the label.
 
-Words and pairs go by hash, in arrays that Spark makes and keeps in a table. In a round every task learns from its rows,
+Words and pairs go by hash, in arrays that Spark makes once and keeps in a table. In a round every task learns from its rows,
 starting from the same weights; what its steps changed is summed by embedding in Spark, weighted by rows, and the mean is
 the next start. The driver holds the model alone: `features` times `rank` numbers.
 """
@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from murmura.functions.text import bound
 from murmura.ml.student import LABELS
@@ -28,6 +29,21 @@ def hashed(text: Column, features: int) -> Column:
     return bound(words, lambda w: F.transform(F.concat(w, pairs(w)), lambda x: F.pmod(F.xxhash64(x), F.lit(features)).cast("int")))
 
 
+def _given(rows: DataFrame, text: str, features: int) -> Column:
+    """hashed() of a column of texts; a column of arrays holds it already."""
+    return F.col(text) if isinstance(rows.schema[text].dataType, ArrayType) else hashed(F.col(text), features)
+
+
+def _means(embeddings: np.ndarray, ids: np.ndarray, off: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of each row's embeddings; nothing for a row without any. n: the differences of off."""
+    if n.all() and len(n):
+        return np.add.reduceat(embeddings.take(ids, 0), off[:-1], axis=0) / n[:, None]
+    out, full = np.zeros((len(n), embeddings.shape[1])), np.flatnonzero(n)
+    if len(full):
+        out[full] = np.add.reduceat(embeddings.take(ids, 0), off[full], axis=0) / n[full, None]
+    return out
+
+
 class Bag:
     """Embeddings, head and bias."""
 
@@ -40,9 +56,7 @@ class Bag:
         return cls(rng.uniform(-1 / rank, 1 / rank, (features, rank)), np.zeros((rank, len(LABELS))), np.zeros(len(LABELS)))
 
     def means(self, ids: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Of each row's embeddings; nothing for a row without any."""
-        sums = np.concatenate((np.zeros((1, self.embeddings.shape[1])), np.cumsum(self.embeddings[ids], 0)))
-        return (sums[off[1:]] - sums[off[:-1]]) / np.maximum(np.diff(off), 1)[:, None]
+        return _means(self.embeddings, ids, off, np.diff(off))
 
     def chances(self, means: np.ndarray) -> np.ndarray:
         z = means @ self.head + self.bias
@@ -61,23 +75,21 @@ def _learn(start, rate: float, batch: int):
         first = start.value
         own = Bag(first.embeddings.copy(), first.head.copy(), first.bias.copy())
         seen, rank = 0, own.embeddings.shape[1]
+        flat, across = own.embeddings.reshape(-1), np.arange(rank)
         for rows in batches:
             ids, off = _ids(rows.column("ids"))
-            labels, weights = np.asarray(rows.column("label")), np.asarray(rows.column("weight"))
-            seen += len(labels)
-            for a in range(0, len(labels), batch):
-                b = min(a + batch, len(labels))
-                part, at = ids[off[a] : off[b]], off[a : b + 1] - off[a]
-                means = own.means(part, at)
-                wrong = own.chances(means)
-                wrong[np.arange(b - a), labels[a:b]] -= 1
-                wrong *= weights[a:b, None]
-                n = np.diff(at)
-                back = np.repeat((wrong @ own.head.T) / np.maximum(n, 1)[:, None], n, 0)
-                touched, place = np.unique(part, return_inverse=True)
-                slopes = np.stack([np.bincount(place, back[:, k], len(touched)) for k in range(rank)], 1) if len(part) else np.zeros((0, rank))
-                own.embeddings[touched] -= rate * slopes
-                own.head -= rate * means.T @ wrong
+            ids, n = ids.astype(np.int64), np.diff(off)
+            least = np.maximum(n, 1)[:, None]
+            truth, weights = np.eye(len(LABELS))[np.asarray(rows.column("label"))], np.asarray(rows.column("weight"))[:, None]
+            seen += len(n)
+            for a in range(0, len(n), batch):
+                b = min(a + batch, len(n))
+                part = ids[off[a] : off[b]]
+                means = _means(own.embeddings, part, off[a : b + 1] - off[a], n[a:b])
+                wrong = (own.chances(means) - truth[a:b]) * weights[a:b]
+                back = np.repeat((wrong @ own.head.T) * (-rate / least[a:b]), n[a:b], 0)
+                np.add.at(flat, (part[:, None] * rank + across).reshape(-1), back.reshape(-1))  # in one dimension, where it is fast
+                own.head -= rate * (means.T @ wrong)
                 own.bias -= rate * wrong.sum(0)
         if not seen:
             return
@@ -97,13 +109,19 @@ def _learn(start, rate: float, batch: int):
 def train(rows: DataFrame, text: str, features: int = FEATURES, rank: int = RANK, rounds: int = ROUNDS, rate: float = RATE, batch: int = BATCH) -> Bag:
     """The model of rows(text, pred_label); labels weigh as much as each other. Other labels and null ones don't count.
 
-    Steps of `batch` rows grow smaller from round to round; a smaller batch learns more from few rows."""
+    Steps of `batch` rows grow smaller from round to round; a smaller batch learns more from few rows. text: a column of texts,
+    or of hashed() that is stored, which is read again each round."""
     if rank < len(LABELS):
         raise ValueError("the rank is at least the number of labels")
     spark = rows.sparkSession
     number = F.array_position(F.array(*map(F.lit, LABELS)), F.col("pred_label")) - 1
-    weights = F.broadcast(class_weights(rows).select("pred_label", "weight"))
-    data = table(rows.join(weights, "pred_label").where(number >= 0).select(number.cast("int").alias("label"), F.col("weight").cast("double").alias("weight"), hashed(F.col(text), features).alias("ids")), "features")
+    weight = F.lit(None).cast("double")
+    for r in class_weights(rows).where(F.col("pred_label").isin(*LABELS)).collect():  # a row a label
+        weight = F.when(F.col("pred_label") == r["pred_label"], r["weight"]).otherwise(weight)
+    ids = _given(rows, text, features)
+    data = rows.where(number >= 0).select(number.cast("int").alias("label"), weight.alias("weight"), ids.alias("ids"))
+    if not isinstance(rows.schema[text].dataType, ArrayType):
+        data = table(data, "features")
     model = Bag.fresh(features, rank)
     schema = "row int, " + ", ".join(f"v{k} double" for k in range(rank))
     for i in range(rounds):
@@ -131,14 +149,18 @@ def _predict(model):
             best = p.argmax(1)
             kept = [c for c in rows.schema.names if c != "__ids"]
             yield pa.RecordBatch.from_arrays(
-                [*(rows.column(c) for c in kept), pa.array(best.astype(np.int16)), pa.array(np.array(LABELS, object)[best], pa.string()), pa.array(p.max(1, initial=0)), *(pa.array(p[:, k]) for k in range(len(LABELS)))],
+                [*(rows.column(c) for c in kept), pa.array(best.astype(np.int16)), pa.array(LABELS, pa.string()).take(pa.array(best)), pa.array(p.max(1, initial=0)), *(pa.array(p[:, k]) for k in range(len(LABELS)))],
                 [*kept, "pred_id", "pred_label", "confidence", *(f"p_{x.lower()}" for x in LABELS)])
 
     return run
 
 
 def predict(model: Bag, rows: DataFrame, text: str) -> DataFrame:
-    """rows with pred_id, pred_label, confidence, p_neg, p_neu, p_pos; a null or wordless text has the chances of the bias."""
+    """rows with pred_id, pred_label, confidence, p_neg, p_neu, p_pos; a null or wordless text has the chances of the bias.
+
+    text: a column of texts, or of hashed() that is stored, which is left out."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "pred_id short, pred_label string, confidence float, p_neg float, p_neu float, p_pos float"])
-    return rows.withColumn("__ids", hashed(F.col(text), len(model.embeddings))).mapInArrow(_predict(sent), schema)
+    ids = _given(rows, text, len(model.embeddings)).alias("__ids")
+    rest = rows.drop(text) if isinstance(rows.schema[text].dataType, ArrayType) else rows
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields), "pred_id short, pred_label string, confidence float, p_neg float, p_neu float, p_pos float"])
+    return rows.select(*rest.columns, ids).mapInArrow(_predict(sent), schema)

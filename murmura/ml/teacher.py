@@ -5,7 +5,7 @@ import json
 from collections.abc import Iterator
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SCHEMA = "pred_label string, confidence double"
@@ -27,7 +27,7 @@ class LexiconTeacher:
         out = []
         for p in prompts:
             words = p.lower().split()
-            g, b = sum(w in self.good for w in words), sum(w in self.bad for w in words)
+            g, b = (0 if own.isdisjoint(words) else sum(w in own for w in words) for own in (self.good, self.bad))
             out.append({"label": "POS" if g > b else "NEG" if b > g else "NEU", "confidence": 0.5 + 0.5 * abs(g - b) / max(1, g + b)})
         return json.dumps(out)
 
@@ -50,11 +50,12 @@ def parse_reply(text: str) -> list[dict]:
 
 def label(rows: DataFrame, teacher: Teacher, prompt: str, batch: int = 20, retries: int = 2) -> DataFrame:
     """rows with pred_label and confidence. Replies count by position: what a short reply leaves over, and batches that fail after retries, are left out."""
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            prompts = rows.column(prompt).to_pylist()
             kept, labels, sure = [], [], []
-            for a in range(0, len(pdf), batch):
-                part = pdf[prompt].iloc[a : a + batch].tolist()
+            for a in range(0, len(prompts), batch):
+                part = prompts[a : a + batch]
                 for _ in range(retries + 1):
                     try:
                         replies = parse_reply(teacher.reply(part))
@@ -66,7 +67,8 @@ def label(rows: DataFrame, teacher: Teacher, prompt: str, batch: int = 20, retri
                 names = [str(r.get("label", "")).upper() for r in replies]
                 labels += ["POS" if "POS" in n else "NEG" if "NEG" in n else "NEU" for n in names]
                 sure += [float(r.get("confidence", 0)) for r in replies]
-            yield pdf.iloc[kept].assign(pred_label=labels, confidence=sure)
+            told = rows if len(kept) == len(prompts) else rows.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*told.columns, pa.array(labels, pa.string()), pa.array(sure, pa.float64())], [*rows.schema.names, "pred_label", "confidence"])
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInPandas(run, f"{names}, {SCHEMA}")
+    return rows.mapInArrow(run, f"{names}, {SCHEMA}")

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,3 +43,50 @@ def test_edges(spark):
     assert np.isfinite(bag.train(rows.limit(0), "sentence", features=64, rounds=2).embeddings).all()
     with pytest.raises(ValueError, match="rank"):
         bag.train(rows, "sentence", rank=2)
+
+
+def test_words_are_hashed_once(spark, monkeypatch):
+    from murmura.plans import lexicon
+
+    calls, real = [], bag.hashed
+    monkeypatch.setattr(bag, "hashed", lambda *a: calls.append(a) or real(*a))
+    got = lexicon.QUERIES["student_predict"][0](spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
+    assert got.columns == ["doc_id", "sentence_idx", "sentence", "pred_id", "pred_label", "confidence", "p_neg", "p_neu", "p_pos"]
+
+
+@pytest.mark.parametrize("batch", [1, 3, 32])
+def test_steps_by_brute_force(batch):
+    """Rows without words, with words that stand several times, and words that rows share."""
+    features, rank, rate = 50, 4, 0.1
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(0, features, n).tolist() for n in (0, 5, 0, 1, 30, 2, 0, 0, 7, 3, 0)] + [[4, 4, 4, 9]]
+    labels, weights = rng.integers(0, 3, len(rows)), rng.random(len(rows)) + 0.5
+
+    class Sent:
+        value = bag.Bag.fresh(features, rank)
+
+    given = pa.RecordBatch.from_arrays([pa.array(labels.astype(np.int32)), pa.array(weights), pa.array(rows, pa.list_(pa.int32()))], ["label", "weight", "ids"])
+    told = next(bag._learn(Sent, rate, batch)(iter([given.slice(0, 5), given.slice(5)])))
+    own, head, bias = Sent.value.embeddings.copy(), Sent.value.head.copy(), Sent.value.bias.copy()
+    for start, end in ((0, 5), (5, len(rows))):
+        for a in range(start, end, batch):
+            grads, heads, biases = np.zeros_like(own), np.zeros_like(head), np.zeros_like(bias)
+            for i in range(a, min(a + batch, end)):
+                mean = own[rows[i]].mean(0) if rows[i] else np.zeros(rank)
+                z = np.exp(mean @ head + bias)
+                wrong = (z / z.sum() - np.eye(3)[labels[i]]) * weights[i]
+                for w in rows[i]:
+                    grads[w] += head @ wrong / len(rows[i])
+                heads += np.outer(mean, wrong)
+                biases += wrong
+            own, head, bias = own - rate * grads, head - rate * heads, bias - rate * biases
+    at = np.asarray(told.column("row"))
+    values = np.stack([np.asarray(told.column(f"v{k}")) for k in range(rank)], 1) / len(rows)
+    inside = (at >= 0) & (at < features)
+    moved = np.zeros_like(own)
+    moved[at[inside]] = values[inside]
+    np.testing.assert_allclose(moved, own - Sent.value.embeddings, atol=1e-12)
+    np.testing.assert_allclose(np.stack([values[at == features + k][0] for k in range(3)], 1), head, atol=1e-12)
+    np.testing.assert_allclose(values[at == features + 3][0][:3], bias, atol=1e-12)
+    assert values[at == -1, 0] == 1
