@@ -15,15 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura.functions.text import HAN
-from murmura.operators.matching import Automaton, pieces, points, widths
+from murmura.operators.matching import Automaton, distinct, pieces, points, widths
 from murmura.sources.scratch import table
 
 #: Words of a dictionary at most, the commonest: it is a model of fixed size and so is broadcast.
 WORDS = 500_000
 #: What a cost is counted in, and a cost above all others.
-UNIT, NEVER = 1000, 1 << 60
+UNIT, NEVER = 1000, 1 << 61
 #: Characters that are cut at once; bytes of texts whose strings are counted at once, and codes that are counted in a table.
-PIECE, COUNTED, DENSE = 1 << 17, 1 << 24, 1 << 22
+PIECE, COUNTED, DENSE = 1 << 19, 1 << 24, 1 << 22
 #: The ideographs of functions.text.HAN.
 _RANGES = ((0x3400, 0x4DBF), (0x4E00, 0x9FFF))
 
@@ -105,6 +105,7 @@ class Lexicon:
 
     def __init__(self, words: list[str], counts: list[int]) -> None:
         self.known = Automaton(words)
+        self.known.terms = []  # places are all that is asked for
         n = np.array(counts, float)
         self.cost = np.rint(-UNIT * np.log(n / n.sum())).astype(np.int64)
         self.unknown = int(np.rint(-UNIT * np.log(0.5 / n.sum()))) if len(n) else UNIT
@@ -115,25 +116,38 @@ class Lexicon:
         The least sum counts; of equal ones that with the longer last word, and so on towards the begin. The runs are
         worked on side by side, a place of each at once."""
         size, longest = np.diff(at) - 1, max(1, self.known.longest)
-        costs = np.full((len(text), longest), NEVER, np.int64)
-        begin, number = self.known.find(text)
-        costs[begin + self.known.size[number] - 1, self.known.size[number] - 1] = self.cost[number]
-        costs[:, 0] = np.minimum(costs[:, 0], self.unknown)
-        best, back = np.zeros(len(text) + 1, np.int64), np.ones(len(text), np.int64)
+        # Longer runs first: the places of all runs at the same distance from their begins then stand side by side, those of fewer runs further on.
         order = np.argsort(-size, kind="stable")
         starts, sizes = at[:-1][order], size[order]
-        lengths = np.arange(longest, 0, -1)
-        for t in range(int(size.max(initial=0))):
-            p = starts[: np.searchsorted(-sizes, -t)] + t
-            sums = best[np.maximum(p[:, None] + 1 - lengths, 0)] + costs[p][:, ::-1]
-            least = sums.argmin(1)
-            best[p + 1] = sums[np.arange(len(p)), least]
-            back[p] = lengths[least]
+        most = int(size.max(initial=0))
+        live = np.searchsorted(-sizes, -np.arange(most))
+        offset = np.concatenate(([0], np.cumsum(live)))
+        place = np.zeros(len(text), np.int64)
+        rank = np.repeat(np.arange(len(sizes)), sizes)
+        far = np.arange(len(rank)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        place[starts[rank] + far] = offset[far] + rank
+        # A cost's low bits tell the row, longer words first, so that the least number tells both.
+        bits = longest.bit_length()
+        never = (longest + 1) * (max(self.unknown, int(self.cost.max(initial=0))) + 1)
+        costs = np.full((longest, offset[-1]), never, np.int32 if never << bits < 1 << 31 else np.int64)
+        for end, number in self.known.ends(text):
+            costs[longest - self.known.size[number], place[end]] = self.cost[number]
+        np.minimum(costs[-1], self.unknown, out=costs[-1])
+        costs <<= bits
+        costs |= np.arange(longest, dtype=costs.dtype)[:, None]
+        best, back = np.full((longest, len(sizes)), NEVER, np.int64), np.ones(offset[-1], np.int32)
+        best[0] = 0
+        for t in range(most):
+            a, m = offset[t], live[t]
+            least = (best[np.arange(t + 1 - longest, t + 1) % longest, :m] + costs[:, a : a + m]).min(0)
+            row = least & ((1 << bits) - 1)
+            best[(t + 1) % longest, :m] = least - row
+            back[a : a + m] = longest - row
         ends = np.zeros(len(text), bool)
         p, first = (at[1:] - 2)[size > 0], at[:-1][size > 0]
         while len(p):
             ends[p] = True
-            p = p - back[p]
+            p = p - back[place[p]]
             inside = p >= first
             p, first = p[inside], first[inside]
         return ends
@@ -178,19 +192,68 @@ def _segment(lexicon, column: str):
     return run
 
 
+def _lexicon(known: DataFrame, most: int):
+    """The words of known in a broadcast lexicon."""
+    used = known.where("n > 0 and word <> ''").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).toPandas()
+    return known.sparkSession.sparkContext.broadcast(Lexicon(used["word"].tolist(), used["n"].tolist()))
+
+
+def _split(column: str) -> Column:
+    return F.filter(F.split(F.regexp_replace(F.lower(column), f"({HAN}+)", " $1 "), r"[^\p{L}\p{N}_]+"), lambda x: x != "")
+
+
 def words(texts: DataFrame, column: str, known: DataFrame, name: str = "words", least: int = 2, most: int = WORDS) -> DataFrame:
     """texts with the words of a column, as column name: letters, digits and _ in lower case, runs of ideographs cut by known(word, n).
 
     Words of fewer characters than least are left out. A null text has null words, an empty one none. Words of known with a
     count below one don't count, repeated ones count together; of more than `most` the commonest are used."""
-    spark = texts.sparkSession
-    used = known.where("n > 0 and word <> ''").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).toPandas()
-    made = spark.sparkContext.broadcast(Lexicon(used["word"].tolist(), used["n"].tolist()))
-    split = texts.withColumn(name, F.filter(F.split(F.regexp_replace(F.lower(column), f"({HAN}+)", " $1 "), r"[^\p{L}\p{N}_]+"), lambda x: x != ""))
+    made = _lexicon(known, most)
+    split = texts.withColumn(name, _split(column))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in split.schema.fields)
     return split.mapInArrow(_segment(made, name), schema).withColumn(name, F.filter(name, lambda x: F.length(x) >= least))
 
 
+def _counted(lexicon, column: str, least: int):
+    """term, tf, df: how often the words of some COUNTED bytes occur, and in how many rows."""
+    def told(held: list[tuple[pa.Array, np.ndarray]], rows: int) -> pa.RecordBatch:
+        coded = pa.concat_arrays([x for x, _ in held]).dictionary_encode()
+        code = np.asarray(coded.indices).astype(np.int64)
+        pair = distinct(code * rows + np.concatenate([x for _, x in held]))
+        n = len(coded.dictionary)
+        return pa.RecordBatch.from_arrays([coded.dictionary, pa.array(np.bincount(code, minlength=n)), pa.array(np.bincount(pair // rows, minlength=n))], ["term", "tf", "df"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, rows = [], 0, 0
+        for batch in _segment(lexicon, column)(batches):
+            lists = batch.column(column)
+            found, row = lists.flatten(), np.asarray(pc.list_parent_indices(lists)).astype(np.int64)
+            keep = pc.greater_equal(pc.utf8_length(found), least)
+            held.append((found.filter(keep), row[np.asarray(keep)] + rows))
+            size, rows = size + int(widths(found).sum()), rows + batch.num_rows
+            if size >= COUNTED:
+                yield told(held, rows)
+                held, size, rows = [], 0, 0
+        if rows:
+            yield told(held, rows)
+
+    return run
+
+
+def counts(texts: DataFrame, column: str, known: DataFrame, least: int = 2, most: int = WORDS) -> DataFrame:
+    """word_counts() of the words() of a column: term, tf, df.
+
+    Words are counted where they stand, so only counts are shuffled; only texts whose doc_id stands in several rows go by word and key."""
+    made = _lexicon(known, most)
+    several = table(texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id")), "repeated")
+    none = several.isEmpty()
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    own = texts if none else texts.join(several, same, "left_anti")
+    told = own.select(_split(column).alias("words")).mapInArrow(_counted(made, "words", least), "term string, tf long, df long")
+    if not none:
+        told = told.unionByName(word_counts(words(texts.join(several, same, "left_semi"), column, known, least=least, most=most)))
+    return told.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
 def word_counts(segmented: DataFrame, name: str = "words", stop: tuple[str, ...] = ()) -> DataFrame:
     """term, tf, df of doc_id's words."""
     rows = segmented.select("doc_id", F.explode(name).alias("term"))
